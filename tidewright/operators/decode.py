@@ -17,12 +17,16 @@ def decode_json(envelope: DataFrame, contract: Contract,
     Extra keys vanish, missing keys and mistyped fields are NULL, a malformed
     message gives a row of NULLs. ``metadata`` maps envelope columns to the
     names under which they are kept.
+
+    The struct is opened with ``inline`` rather than ``message.*``: a filter on a
+    parsed field would otherwise be pushed below the projection and parse the
+    text again for every condition in it.
     """
     kept = metadata or {}
     parsed = F.from_json(F.col("value").cast("string"), contract.schema)
     return envelope.select(
-        *[F.col(source).alias(target) for source, target in kept.items()], parsed.alias("_message")
-    ).select(*kept.values(), "_message.*")
+        *[F.col(source).alias(target) for source, target in kept.items()], F.inline(F.array(parsed))
+    )
 
 
 def encode_json(df: DataFrame, key: Column | None = None, timestamp: Column | None = None) -> DataFrame:

@@ -27,6 +27,7 @@ from tidewright.operators.features import log_features, log_names
 from tidewright.operators.project import project_contract
 from tidewright.operators.quality import all_of, outfield_lenient, outfield_strict
 from tidewright.operators.views import repaired_height
+from tidewright.session import spread
 
 SEED = 42
 
@@ -55,8 +56,8 @@ MARKET_NUMBERS = (
 
 @contextmanager
 def kept(df: DataFrame):
-    """Training rows held in memory and on disk while an iterative fit reads them."""
-    held = df.persist(StorageLevel.MEMORY_AND_DISK)
+    """Training rows dealt to all cores and held in memory and on disk while a fit reads them."""
+    held = spread(df).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         yield held
     finally:
@@ -217,7 +218,7 @@ def player_pipeline(regressor) -> Pipeline:
 
 def score_players(players: DataFrame, model: PipelineModel, ingest_time: str = "kafka_ingest_timestamp") -> DataFrame:
     """Messages to scored rows; the same call serves a table and a stream."""
-    scored = model.transform(scorable_players(players))
+    scored = model.transform(spread(scorable_players(players)))
     return project_contract(scored.withColumns({
         "predicted_market_value": F.col("prediction"),
         "kafka_ingest_timestamp": F.col(ingest_time),

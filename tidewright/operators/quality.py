@@ -65,21 +65,32 @@ def player_rules() -> dict[str, Column]:
     return rules
 
 
-def with_reasons(df: DataFrame, rules: Mapping[str, Column], required: Sequence[str] = ()) -> DataFrame:
-    """Every row kept, with the array of reasons for which it would be rejected."""
+def check_columns(df: DataFrame, required: Sequence[str]) -> DataFrame:
+    """The input itself, or an error that names the required columns it lacks."""
     absent = [c for c in required if c not in df.columns]
     if absent:
         raise ValueError(f"input lacks required columns: {', '.join(absent)}")
-    reasons = F.array_compact(F.array(*[F.when(bad, F.lit(name)) for name, bad in rules.items()]))
-    return df.withColumn("reject_reasons", reasons)
+    return df
+
+
+def accepted(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
+    """Rows to which no rule applies; plain conditions, so NULL tests reach the scan."""
+    return df.filter(all_of([~F.coalesce(bad, F.lit(False)) for bad in rules.values()]))
 
 
-def accepted(checked: DataFrame) -> DataFrame:
-    return checked.filter(F.size("reject_reasons") == 0).drop("reject_reasons")
+def with_reasons(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
+    """Every row kept, with the array of reasons for which it would be rejected.
+
+    ``concat_ws`` skips NULLs and stays in generated code; filtering an array of
+    optional reasons with a lambda does not.
+    """
+    text = F.concat_ws(",", *[F.when(bad, F.lit(name)) for name, bad in rules.items()])
+    none = F.array().cast("array<string>")
+    return df.withColumn("reject_reasons", F.when(text == "", none).otherwise(F.split(text, ",")))
 
 
-def rejected(checked: DataFrame) -> DataFrame:
-    return checked.filter(F.size("reject_reasons") > 0)
+def rejected(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
+    return with_reasons(df, rules).filter(F.size("reject_reasons") > 0)
 
 
 def reason_counts(checked: DataFrame) -> DataFrame:

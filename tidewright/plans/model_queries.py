@@ -16,7 +16,7 @@ from tidewright.operators.keyed import latest_per_key
 from tidewright.operators.metrics import regression_metrics
 from tidewright.plans import bindings as B
 from tidewright.plans.registry import query
-from tidewright.session import scratch_path
+from tidewright.session import scratch_path, spread
 
 TICK_NUMBERS = ["buy_price", "year", "month", "day"]
 CALENDAR = ["year", "month", "day"]
@@ -38,7 +38,7 @@ def part(rows, name):
 
 def evaluated(model, rows, name, label="label", prediction="prediction"):
     """Metrics of every split in one pass, tagged with the model's name."""
-    metrics = regression_metrics(model.transform(rows), label, prediction, by=["split"])
+    metrics = regression_metrics(model.transform(spread(rows)), label, prediction, by=["split"])
     return metrics.select(F.lit(name).alias("model"), "*")
 
 
@@ -94,7 +94,7 @@ def fit_device_sales(spark, sf):
 def fit_mlp_bands(spark, sf):
     rows = tick_features(spark, sf)
     train = part(rows, "train")
-    scored = rows
+    scored = spread(rows)
     for target in ("buy_price", "sell_price"):
         scored = M.fit_bands(train, CALENDAR, "gold_type", target).transform(scored)
     metrics = [

@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidewright.session import apply_runtime_settings
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -36,9 +38,7 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     def register(build: Query) -> Query:
         @wraps(build)
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            # Epoch values of zone-less timestamps are taken as UTC throughout.
-            spark.conf.set("spark.sql.session.timeZone", "UTC")
-            return portable(build(spark, sf_dir.rstrip("/")))
+            return portable(build(apply_runtime_settings(spark), sf_dir.rstrip("/")))
 
         QUERIES[name] = run
         if sql is not None:

@@ -153,13 +153,13 @@ _ACCEPTED_SQL = " AND ".join(f"NOT coalesce({rule}, false)" for rule in _RULES_S
 
 
 def _checked(spark, sf):
-    return quality.with_reasons(_players(spark, sf), quality.player_rules(), quality.PLAYER_REQUIRED)
+    return quality.check_columns(_players(spark, sf), quality.PLAYER_REQUIRED)
 
 
 @query("validate_records", "WITH " + B.PLAYERS_SQL + f"""
 SELECT player_id, position, strong_foot, CAST(goals AS DOUBLE) AS goals FROM players WHERE {_ACCEPTED_SQL}""")
 def validate_records(spark, sf):
-    return quality.accepted(_checked(spark, sf)).select("player_id", "position", "strong_foot", "goals")
+    return quality.accepted(_checked(spark, sf), quality.player_rules()).select("player_id", "position", "strong_foot", "goals")
 
 
 @query("validate_reject_reasons", "WITH " + B.PLAYERS_SQL
@@ -167,7 +167,7 @@ def validate_records(spark, sf):
        + "".join(f" UNION ALL SELECT '{name}', count(*) FROM players WHERE {rule} HAVING count(*) > 0"
                  for name, rule in _RULES_SQL.items()))
 def validate_reject_reasons(spark, sf):
-    return quality.reason_counts(_checked(spark, sf))
+    return quality.reason_counts(quality.with_reasons(_checked(spark, sf), quality.player_rules()))
 
 
 # --- profiles -----------------------------------------------------------------------------------

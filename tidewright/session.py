@@ -11,6 +11,15 @@ from pyspark.sql import DataFrame, SparkSession
 # Rows up to which a lookup table may be broadcast. Callers measure before they hint.
 BROADCAST_MAX_ROWS = 100_000
 
+RUNTIME_SETTINGS = {
+    # Zone-less timestamps are taken as UTC throughout.
+    "spark.sql.session.timeZone": "UTC",
+    # The JVM leaves methods above 8000 bytes of bytecode uncompiled. Wide messages
+    # (30 columns and more) pass that in one fused method and then run ten times
+    # slower; below the limit Spark splits the projection into small methods.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+}
+
 
 def build_session(app_name: str = "tidewright", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings every job here relies on: UTC, ANSI on, AQE on.
@@ -22,10 +31,10 @@ def build_session(app_name: str = "tidewright", master: str | None = None, **con
     if master:
         builder = builder.master(master)
     settings = {
-        "spark.sql.session.timeZone": "UTC",
         "spark.sql.ansi.enabled": "true",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        **RUNTIME_SETTINGS,
         **conf,
     }
     for key, value in settings.items():
@@ -33,6 +42,25 @@ def build_session(app_name: str = "tidewright", master: str | None = None, **con
     return builder.getOrCreate()
 
 
+def apply_runtime_settings(spark: SparkSession) -> SparkSession:
+    """The settings a session made elsewhere can still take."""
+    for key, value in RUNTIME_SETTINGS.items():
+        spark.conf.set(key, value)
+    return spark
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Rows dealt out over all cores when the input comes in fewer pieces than that.
+
+    For work that costs far more per row than moving the row, such as tree
+    models. A large input already has more splits than cores and is left as it is.
+    """
+    if df.isStreaming:
+        return df
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach, as named in ``spark.checkpoint.dir``.
 
