@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 STORAGE_SIZE = r"^[0-9]+(GB|TB)$"
 STORAGE_PAIR = r"^([0-9]+(?:GB|TB))/([0-9]+(?:GB|TB))$"
 URL_TAIL_ID = r"/([0-9]+)([?#]|$)"
-BOM = "﻿"
+BOM = "\ufeff"
 # ------------------------------------------------------------------------------
 
 
@@ -83,4 +83,4 @@ def join_url(base: str, *parts: Column | str) -> Column:
 
 
 def strip_bom(text: Column) -> Column:
-    return F.ltrim(F.lit(BOM), text)
+    return F.ltrim(text, F.lit(BOM))

@@ -127,7 +127,7 @@ class BandModel:
         pairs = [F.lit(v) for k, m in sorted(self.band_means.items()) for v in (float(k), float(m))]
         guess = F.element_at(F.create_map(*pairs), F.col(f"{self.target}_class"))
         scored = self.model.transform(df).withColumn(f"predicted_{self.target}", guess)
-        extras = [f"{self.target}_{k}" for k in ("class", "raw", "probability", "features", "band")]
+        extras = [f"{self.target}_{k}" for k in ("class", "raw", "probability", "raw_features", "features", "band")]
         return scored.drop(*extras, "_category_index", "_category_encoded")
 
 
