@@ -1,13 +1,13 @@
 """Latest row per key, keyed replace and keyed merge.
 
-All three are one grouped aggregate with ``max_by``. Spark folds the rows of a
+Rows of a key are folded by a grouped aggregate with ``max_by``. Spark folds the rows of a
 key on the map side first, so a key that holds a third of all rows still sends
 one row per task over the network; a ranking window would sort them all in one task.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,8 +26,13 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) ->
 
 
 def replace_by_key(base: DataFrame, updates: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """Base with rows replaced by newer updates; an older update does not win."""
-    return latest_per_key(base.unionByName(updates), keys, order)
+    """Base with rows replaced by newer updates; an older update does not win, an equally old one does."""
+    def newer(column: str) -> Column:
+        old, new = _order(order), F.struct(*[F.col(f"_new.`{c}`") for c in order])
+        wins = F.col("_new").isNotNull() & (new >= old)
+        return F.when(wins, F.col(f"_new.`{column}`")).otherwise(F.col(f"`{column}`"))
+
+    return _upsert(base, latest_per_key(_keyed(updates, keys), keys, order), keys, newer)
 
 
 def last_values_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -41,10 +46,35 @@ def last_values_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]
 
 def merge_by_key(base: DataFrame, updates: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Upsert of fields: an update's values overwrite, its NULLs leave the old value."""
-    folded = last_values_per_key(updates, keys, order).alias("u")
-    return (
-        base.alias("b").join(folded, list(keys), "full_outer")
-        .select(*keys, *[F.coalesce(F.col(f"u.`{c}`"), F.col(f"b.`{c}`")).alias(c)
-                         for c in base.columns if c not in keys])
-        .select(*[F.col(f"`{c}`") for c in base.columns])
-    )
+    def kept(column: str) -> Column:
+        return F.coalesce(F.col(f"_new.`{column}`"), F.col(f"`{column}`"))
+
+    return _upsert(base, last_values_per_key(_keyed(updates, keys), keys, order), keys, kept)
+
+
+def _keyed(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return rows.dropna(subset=list(keys))
+
+
+def _filled(rows: DataFrame, like: DataFrame) -> DataFrame:
+    """The rows with the columns only ``like`` has, as NULL."""
+    absent = {f.name: F.lit(None).cast(f.dataType) for f in like.schema.fields if f.name not in rows.columns}
+    return rows.withColumns(absent) if absent else rows
+
+
+def _upsert(base: DataFrame, folded: DataFrame, keys: Sequence[str],
+            pick: Callable[[str], Column]) -> DataFrame:
+    """Base (one row per key) with folded updates (one row per key) applied.
+
+    Written as a left join plus the keys that are new, not as a full outer join:
+    the usual case is a large base and few updates, and then the small side of
+    every join here can be broadcast, so the base is neither shuffled nor sorted.
+    The engine decides that by size; with large updates all are sort-merge joins.
+    """
+    base, folded = _filled(base, folded), _filled(folded, base)
+    rest = [c for c in base.columns if c not in keys]
+    new = folded.select(*keys, F.struct(*[F.col(f"`{c}`") for c in rest]).alias("_new"))
+    updated = base.join(new, list(keys), "left").select(*keys, *[pick(c).alias(c) for c in rest])
+    known = base.select(*keys).join(folded.select(*keys), list(keys), "left_semi")
+    added = folded.join(known, list(keys), "left_anti")
+    return updated.unionByName(added).select(*[F.col(f"`{c}`") for c in base.columns])

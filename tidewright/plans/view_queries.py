@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewright.contracts import PLAYER_SPEED, TICK, Contract
+from tidewright.functions.dates import days_before
 from tidewright.operators import keyed, views
 from tidewright.operators.decode import decode_json, encode_json
 from tidewright.operators.project import project_contract, rename_and_drop
@@ -55,7 +56,11 @@ def daily_batch_view(spark, sf):
 @query("daily_batch_view_last_n", "WITH " + B.TICKS_SQL + DAILY_SELECT.format(
     where="WHERE price_date >= strftime(DATE '2024-01-31' - 10, '%Y-%m-%d')"))
 def daily_batch_view_last_n(spark, sf):
-    recent = views.trailing_days(ticks(spark, sf), views.parse_days("10"), B.AS_OF)
+    days = views.parse_days("10")
+    # The bound on the stored time reaches the scan; the one on the date text is the view's own.
+    events = B.table(spark, sf, "events").filter(
+        F.col("ts") >= days_before(B.AS_OF, days).cast("timestamp_ntz"))
+    recent = views.trailing_days(B.ticks(events), days, B.AS_OF)
     return rounded(views.daily_view(recent))
 
 

@@ -85,11 +85,12 @@ def extract_records(pages: DataFrame, record: str, fields: Mapping[str, Column],
 
     ``fields`` are expressions over the column ``element``. ``position`` counts
     from 1 over all elements of the page; incomplete elements are then dropped,
-    so positions keep their gaps.
+    so positions keep their gaps. ``inline`` keeps that filter above the
+    extraction, so each pattern runs once per element.
     """
     exploded = pages.select(*keep, F.posexplode(matches(F.col(html), record)).alias("_pos", "element"))
     shaped = exploded.select(*keep, (F.col("_pos") + 1).alias("position"),
-                             *[value.alias(name) for name, value in fields.items()])
+                             F.inline(F.array(F.struct(*[value.alias(name) for name, value in fields.items()]))))
     return shaped.dropna(subset=list(required)) if required else shaped
 
 

@@ -1,8 +1,9 @@
 """A keyed table kept on plain Parquet, fed by micro-batches.
 
 A batch is folded to one row per key and stored in its own folder, so a write
-costs what the batch costs, whatever the size of the table. Reading folds the
-last compacted base with the batches after it. ``compact`` writes a new base.
+costs what the batch costs, whatever the size of the table. Reading applies the
+batches after the last compacted base to it; while they are small the base is
+not shuffled for that. ``compact`` writes a new base.
 
 A folder counts once Spark has put its ``_SUCCESS`` file there; a batch that is
 repeated after a failure overwrites its own folder. Both together make the
@@ -18,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidewright.operators.keyed import last_values_per_key, latest_per_key
+from tidewright.operators.keyed import last_values_per_key, latest_per_key, merge_by_key, replace_by_key
 from tidewright.streaming.jobs import each_batch
 
 ARRIVAL = "_arrival"
@@ -74,18 +75,19 @@ class ServingTable:
         base = self._committed(spark, "base")
         covered = base[-1] if base else -1
         later = [self._folder("changes", b) for b in self._committed(spark, "changes") if b > covered]
-        parts = [spark.read.parquet(*later)] if later else []
-        if base:
-            parts.insert(0, spark.read.parquet(self._folder("base", covered)))
-        if not parts:
-            raise ValueError(f"nothing stored at {self.path}")
-        if len(parts) == 1 and base:
-            return parts[0]
-        # A field added later is NULL in older folders.
-        rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1], allowMissingColumns=True)
+        stored = spark.read.parquet(self._folder("base", covered)) if base else None
+        if not later:
+            if stored is None:
+                raise ValueError(f"nothing stored at {self.path}")
+            return stored
+        # A field that came later is missing from the older folders.
+        changes = spark.read.option("mergeSchema", "true").parquet(*later)
         if self.mode == REPLACE:
-            return latest_per_key(rows, self.keys, [*self.order, ARRIVAL])
-        return last_values_per_key(rows, self.keys, [ARRIVAL])
+            order = [*self.order, ARRIVAL]
+            return latest_per_key(changes, self.keys, order) if stored is None else \
+                replace_by_key(stored, changes, self.keys, order)
+        return last_values_per_key(changes, self.keys, [ARRIVAL]) if stored is None else \
+            merge_by_key(stored, changes, self.keys, [ARRIVAL])
 
     # --- folders ---
 
