@@ -131,6 +131,19 @@ class BandModel:
         return scored.drop(*extras, "_category_index", "_category_encoded")
 
 
+def save_bands(spark: SparkSession, bands: BandModel, path: str) -> None:
+    """The fitted stages and, beside them, the mean of each band; fails if the path exists."""
+    save(bands.model, f"{path}/model", overwrite=False)
+    means = [(bands.target, int(k), float(v)) for k, v in bands.band_means.items()]
+    spark.createDataFrame(means, "target string, band int, mean double").write.parquet(f"{path}/bands")
+
+
+def load_bands(spark: SparkSession, path: str) -> BandModel:
+    # As many rows as the network has classes.
+    rows = spark.read.parquet(f"{path}/bands").collect()
+    return BandModel(load(f"{path}/model"), {r.band: r.mean for r in rows}, rows[0].target)
+
+
 def fit_bands(train: DataFrame, numbers: Sequence[str], category: str, target: str,
               bands: int = 8, **overrides) -> BandModel:
     """Network [inputs, 16, 12, bands] on quantile bands of ``target``.

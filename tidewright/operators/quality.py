@@ -102,6 +102,15 @@ def reason_counts(checked: DataFrame) -> DataFrame:
     )
 
 
+def observed(df: DataFrame, name: str, rules: Mapping[str, Column] | None = None) -> DataFrame:
+    """Row counters taken while the rows flow by, on a table or a stream, without a job of their own.
+
+    They arrive with the query's progress, or in a ``pyspark.sql.Observation`` of that name.
+    """
+    refused = ~all_of([~F.coalesce(bad, F.lit(False)) for bad in rules.values()]) if rules else F.lit(False)
+    return df.observe(name, F.count(F.lit(1)).alias("row_count"), F.count_if(refused).alias("rejected_count"))
+
+
 # --- profiles -------------------------------------------------------------------
 
 

@@ -12,105 +12,75 @@ from pyspark.sql import functions as F
 
 from tidewright.operators import features as ft
 from tidewright.operators import models as M
+from tidewright.operators.clean import clean_products, typed_devices
 from tidewright.operators.keyed import latest_per_key
 from tidewright.operators.metrics import regression_metrics
+from tidewright.operators.training import TRAINERS, Trained, fit_tick_bands
 from tidewright.plans import bindings as B
 from tidewright.plans.registry import query
-from tidewright.session import scratch_path, spread
+from tidewright.session import scratch_path
 
-TICK_NUMBERS = ["buy_price", "year", "month", "day"]
-CALENDAR = ["year", "month", "day"]
 
+def source(spark, sf, kind):
+    """The rows each trainer reads, from the given tables."""
+    if kind.startswith("tick"):
+        return B.ticks(B.table(spark, sf, "events"))
+    if kind.startswith("device"):
+        return typed_devices(clean_products(B.devices(B.table(spark, sf, "part"))))
+    return B.players(B.table(spark, sf, "lineitem"))
 
-def tick_features(spark, sf):
-    ticks = ft.calendar_features(B.ticks(B.table(spark, sf, "events")))
-    return ft.with_split(ticks.withColumn("label", F.col("sell_price").cast("double")), F.col("seq"))
 
+def trained(spark, sf, kind, **settings):
+    return TRAINERS[kind].fit(source(spark, sf, kind), **settings)
 
-def player_rows(spark, sf):
-    rows = M.training_players(B.players(B.table(spark, sf, "lineitem")))
-    return ft.with_split(rows, ft.text_number(F.col("player_id")))
 
-
-def part(rows, name):
-    return rows.filter(F.col("split") == name)
-
-
-def evaluated(model, rows, name, label="label", prediction="prediction"):
-    """Metrics of every split in one pass, tagged with the model's name."""
-    metrics = regression_metrics(model.transform(spread(rows)), label, prediction, by=["split"])
-    return metrics.select(F.lit(name).alias("model"), "*")
-
-
-def linear_model(spark, sf):
-    rows = tick_features(spark, sf)
-    return M.fit(M.encoded_pipeline(M.linear(), TICK_NUMBERS, "gold_type"), part(rows, "train")), rows
+def metrics_of(kind):
+    def build(spark, sf):
+        return trained(spark, sf, kind).metrics().select(F.lit(kind).alias("model"), "*")
+    return build
 
 
 def scoring_model(spark, sf):
     """A light forest for the scoring queries, whose subject is scoring, not the fit."""
-    regressor = M.forest(numTrees=20, maxDepth=8, labelCol="market_value")
-    return M.fit(M.player_pipeline(regressor), part(player_rows(spark, sf), "train"))
+    return trained(spark, sf, "player_forest", numTrees=20, maxDepth=8).model
 
 
-@query("fit_linear")
-def fit_linear(spark, sf):
-    model, rows = linear_model(spark, sf)
-    return evaluated(model, rows, "linear")
-
-
-@query("model_coefficients")
-def model_coefficients(spark, sf):
-    model, rows = linear_model(spark, sf)
-    return M.coefficients(spark, model, M.assembled_names(model.transform(rows)))
-
-
-@query("fit_forest")
-def fit_forest(spark, sf):
-    rows = player_rows(spark, sf)
-    model = M.fit(M.player_pipeline(M.forest(labelCol="market_value")), part(rows, "train"))
-    return evaluated(model, rows, "forest", "market_value")
-
-
-@query("fit_gbt")
-def fit_gbt(spark, sf):
-    rows = player_rows(spark, sf).withColumn("contract_value_time", F.col("contract_value_time").try_cast("float"))
-    pipeline = M.scaled_pipeline(M.boosted(labelCol="market_value"), M.MARKET_NUMBERS, M.MARKET_CATEGORIES)
-    return evaluated(M.fit(pipeline, part(rows, "train")), rows, "boosted", "market_value")
+# The deepest settings (100 trees of depth 20, 200 rounds of depth 15) are for a cluster;
+# here those two kinds of model are fitted with the market value settings.
+query("fit_linear")(metrics_of("tick_linear"))
+query("fit_forest")(metrics_of("market_forest"))
+query("fit_gbt")(metrics_of("market_boosted"))
 
 
 @query("fit_device_sales")
 def fit_device_sales(spark, sf):
     """Sold counts from prices and categories, split 70/10/20 inside each category."""
-    from tidewright.operators.clean import clean_products, typed_devices
-    devices = typed_devices(clean_products(B.devices(B.table(spark, sf, "part"))))
-    rows = ft.with_stratified_split(devices.filter(F.col("sold").isNotNull()), F.col("category"), F.col("product_id"))
-    regressor = M.boosted("boosted_device", labelCol="sold", maxIter=20, maxDepth=5)
-    pipeline = M.scaled_pipeline(regressor, M.DEVICE_NUMBERS, M.DEVICE_CATEGORIES)
-    return evaluated(M.fit(pipeline, part(rows, "train")), rows, "boosted_device", "sold")
+    done = trained(spark, sf, "device_boosted", maxIter=20, maxDepth=5)
+    return done.metrics().select(F.lit("device_boosted").alias("model"), "*")
+
+
+@query("model_coefficients")
+def model_coefficients(spark, sf):
+    done = trained(spark, sf, "tick_linear")
+    return M.coefficients(spark, done.model, M.assembled_names(done.scored()))
 
 
 @query("fit_mlp_bands")
 def fit_mlp_bands(spark, sf):
-    rows = tick_features(spark, sf)
-    train = part(rows, "train")
-    scored = spread(rows)
-    for target in ("buy_price", "sell_price"):
-        scored = M.fit_bands(train, CALENDAR, "gold_type", target).transform(scored)
-    metrics = [
-        regression_metrics(scored, target, f"predicted_{target}", by=["split"])
-        .select(F.lit(f"bands_{target}").alias("model"), "*") for target in ("buy_price", "sell_price")
-    ]
-    return metrics[0].unionByName(metrics[1])
+    fitted, scored = fit_tick_bands(source(spark, sf, "tick"))
+    parts = [regression_metrics(scored, t, f"predicted_{t}", by=["split"]).select(F.lit(f"bands_{t}").alias("model"), "*")
+             for t in fitted]
+    return parts[0].unionByName(parts[1])
 
 
 @query("fit_cv")
 def fit_cv(spark, sf):
-    rows = player_rows(spark, sf)
+    rows = TRAINERS["player_forest"].rows(source(spark, sf, "player"))
     regressor = M.forest(numTrees=10, labelCol="market_value")
-    search = M.cross_validate(M.player_pipeline(regressor), {regressor.maxDepth: [3, 6]}, part(rows, "train"),
-                              label="market_value")
-    return evaluated(search.bestModel, rows, "cross_validated", "market_value")
+    search = M.cross_validate(M.player_pipeline(regressor), {regressor.maxDepth: [3, 6]},
+                              rows.filter(F.col("split") == "train"), label="market_value")
+    done = Trained(search.bestModel, rows, "market_value")
+    return done.metrics().select(F.lit("cross_validated").alias("model"), "*")
 
 
 @query("score_batch")
@@ -126,7 +96,7 @@ def score_batch(spark, sf):
 def score_literal(spark, sf):
     """Tomorrow's sell price per type, from the newest tick of each."""
     path = scratch_path(spark, "tick-model")
-    M.save(linear_model(spark, sf)[0], path)
+    M.save(trained(spark, sf, "tick_linear").model, path)
     newest = latest_per_key(B.ticks(B.table(spark, sf, "events")), ["gold_type"], ["crawl_timestamp", "seq"])
     tomorrow = newest.withColumn("price_date", F.lit(str(B.AS_OF + dt.timedelta(days=1))))
     scored = M.load(path).transform(ft.calendar_features(tomorrow))
@@ -135,6 +105,6 @@ def score_literal(spark, sf):
 
 @query("sample_predictions")
 def sample_predictions(spark, sf):
-    model, rows = linear_model(spark, sf)
-    scored = model.transform(part(rows, "test")).select("seq", "price_date", "gold_type", "label", "prediction")
+    scored = trained(spark, sf, "tick_linear").scored().filter(F.col("split") == "test").select(
+        "seq", "price_date", "gold_type", "label", "prediction")
     return M.sample_rows(scored, ["seq"], 10)

@@ -57,7 +57,9 @@ def skip_existing(spark: SparkSession, topic: FolderTopic, checkpoint: str) -> N
     """First start of a "latest" consumer on a folder: mark present files as read.
 
     The files are listed, not read. Positions live in the checkpoint, so a later
-    restart picks up whatever arrived meanwhile instead of skipping again.
+    restart picks up whatever arrived meanwhile instead of skipping again. The
+    skipped part counts as batch 0, which the Parquet sink's own log would miss:
+    go on with ``each_batch``, ``land_batches`` or ``publish``, not with ``land``.
     """
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(f"{checkpoint}/commits")
     if not hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path):
@@ -68,7 +70,10 @@ def publish(messages: DataFrame, topic: KafkaTopic | FolderTopic, checkpoint: st
             every: str | None = None) -> StreamingQuery:
     """Key/value rows of a stream onto a topic."""
     if isinstance(topic, FolderTopic):
-        return land(as_envelope(messages), topic.path, checkpoint, every=every)
+        def write(batch: DataFrame, batch_id: int) -> None:
+            batch.write.mode("overwrite").parquet(f"{topic.path}/batch-{batch_id}")
+
+        return each_batch(as_envelope(messages), write, checkpoint, every)
     writer = (
         messages.select("key", "value").writeStream.format("kafka")
         .option("kafka.bootstrap.servers", topic.servers).option("topic", topic.topic)
