@@ -243,6 +243,13 @@ def test_csv_with_byte_order_mark(spark, tmp_path):
     (tmp_path / "d.csv").write_text("\ufeffname,brand\nPhone,Maker\n", encoding="utf-8")
     schema = C.struct((C.STRING, "name brand"))
     assert [tuple(r) for r in tables.scan_csv(spark, str(tmp_path), schema).collect()] == [("Phone", "Maker")]
+    swapped = C.struct((C.STRING, "brand name"))
+    with pytest.raises(Exception, match="header"):
+        tables.scan_csv(spark, str(tmp_path), swapped).collect()
+    device = tmp_path / "devices"
+    device.mkdir()
+    (device / "d.csv").write_text("\ufeff" + ",".join(C.DEVICE_CSV.columns) + "\nX 8GB/1TB" + ",v" * 10 + "\n", "utf-8")
+    assert tables.scan_csv(spark, str(device), C.DEVICE_CSV.schema).first().name == "X 8GB/1TB"
     odd = spark.createDataFrame([(1,)], ["\ufeffname"])
     assert tables.clean_header(odd).columns == ["name"]
 

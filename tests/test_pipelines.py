@@ -29,7 +29,11 @@ def messages(spark, domain):
               .withColumn("player_id", F.monotonically_increasing_id())
               .withColumn("processing_timestamp", F.col("crawl_timestamp"))
               .withColumn("contract_value_time", F.col("contract_value_time").cast("float"))}[domain]()
-    return align_to(source, P.DOMAINS[domain].contract.schema)
+    rows = align_to(source, P.DOMAINS[domain].contract.schema)
+    if domain.startswith("player"):  # a few days of crawling, not seven years of dates
+        stamp = P.DOMAINS[domain].order[0]
+        rows = rows.withColumn(stamp, F.col(stamp) % (3 * 86_400_000))
+    return rows
 
 
 @pytest.mark.parametrize("domain", sorted(P.DOMAINS))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidewright.contracts import DEVICE, STAT_COLUMNS
 from tidewright.functions import numbers as N
 from tidewright.functions import text as X
+from tidewright.sources.pages import NOT_RATED
 
 PRODUCT_DEFAULTS = {"brand": N.MISSING, "color": N.MISSING, "category": N.MISSING, "name": N.MISSING}
 
@@ -49,7 +50,8 @@ def clean_phones(raw: DataFrame) -> DataFrame:
         **{c: F.coalesce(F.col(c), missing) for c in ("screen_size", "resolution", "percent")},
         "new_price": N.digits_only(F.col("new_price")),
         "old_price": N.digits_only(F.col("old_price")),
-        "sold": F.coalesce(N.abbreviated_count(F.col("sold")), F.lit(0)).cast("string"),
+        "rating": F.coalesce("rating", F.lit(NOT_RATED)),
+        "sold": F.coalesce(N.abbreviated_count(F.col("sold")).cast("string"), missing),
     })
 
 

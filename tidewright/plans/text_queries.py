@@ -148,6 +148,31 @@ def default_fill(spark, sf):
     return clean.clean_products(_devices(spark, sf))
 
 
+@query("clean_phones", """
+WITH t AS (SELECT p_partkey, p_name || ' Pro ' || CASE WHEN p_size % 2 = 0 THEN '8GB/' || (p_size % 5 * 64 + 64) || 'GB'
+                  ELSE (p_size % 5 * 64 + 64) || 'GB' END AS name FROM part),
+w AS (SELECT *, string_split(name, ' ') AS words FROM t)
+SELECT w.p_partkey, name, words[1] AS brand, array_to_string(words[2:-2], ' ') AS model, words[-1] AS capacity,
+       CASE WHEN p_size % 2 = 0 THEN '8GB' ELSE 'N/A' END AS "RAM",
+       CASE WHEN p_size % 2 = 0 THEN split_part(words[-1], '/', 2) ELSE 'N/A' END AS "ROM",
+       'N/A' AS screen_size, p_size || ' px' AS resolution, CAST(p_size * 1000 + 9990 AS VARCHAR) AS new_price,
+       'N/A' AS old_price, '-' || p_size || '%' AS percent,
+       CASE WHEN p_size % 3 = 0 THEN 'Chưa có đánh giá' ELSE '4.5' END AS rating,
+       CASE WHEN p_size % 3 = 0 THEN 'N/A' ELSE CAST(p_size * 1000 AS VARCHAR) END AS sold
+FROM w JOIN part ON w.p_partkey = part.p_partkey""")
+def clean_phones(spark, sf):
+    tiles = B.table(spark, sf, "part").selectExpr(
+        "p_partkey",
+        "concat(p_name, ' Pro ', CASE WHEN p_size % 2 = 0 THEN concat('8GB/', p_size % 5 * 64 + 64, 'GB') "
+        "ELSE concat(p_size % 5 * 64 + 64, 'GB') END) AS name",
+        "CAST(NULL AS STRING) AS screen_size", "concat(p_size, ' px') AS resolution",
+        "concat(p_size * 1000 + 9990, ' đ') AS new_price", "CAST(NULL AS STRING) AS old_price",
+        "concat('-', p_size, '%') AS percent", "CASE WHEN p_size % 3 <> 0 THEN '4.5' END AS rating",
+        "CASE WHEN p_size % 3 <> 0 THEN concat('sold ', p_size, ',0K') END AS sold",
+    )
+    return clean.clean_phones(tiles)
+
+
 # --- generated rows ------------------------------------------------------------------------------
 
 

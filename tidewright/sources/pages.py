@@ -165,7 +165,7 @@ def phone_tiles(pages: DataFrame, keep: Sequence[str] = ("source",)) -> DataFram
             "old_price": field_of(element, PHONE_OLD_PRICE),
             "percent": field_of(element, PHONE_PERCENT),
             "rating": field_of(rating_box, BOLD),
-            "sold": field_of(rating_box, SPAN),
+            "sold": F.when(rating_box.isNotNull(), F.coalesce(field_of(rating_box, SPAN), F.lit("0"))),
         },
         keep, required=["link"],
     )

@@ -66,17 +66,18 @@ def compact(spark: SparkSession, source: str, target: str, parts: Sequence[str]
 def scan_csv(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = False) -> DataFrame:
     """CSV with header against a declared schema (no inference pass).
 
-    ``multi_line`` accepts line breaks inside quotes but makes files unsplittable.
+    A header that names other columns, or the same in another order, is an error
+    rather than values in the wrong column. ``multi_line`` accepts line breaks
+    inside quotes but makes files unsplittable.
     """
-    df = (
+    return (
         spark.read.schema(schema)
         .option("header", "true")
-        .option("enforceSchema", "true")
+        .option("enforceSchema", "false")
         .option("escape", '"')
         .option("multiLine", str(multi_line).lower())
         .csv(path)
     )
-    return df
 
 
 def clean_header(df: DataFrame) -> DataFrame:
