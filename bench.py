@@ -2,7 +2,7 @@
 
 BENCH_SF_DIR   folder of the tables   (default /root/testdata/sf0.1)
 BENCH_CPUS     local threads          (default 8)
-BENCH_RUNS     timed runs per query, the median counts (default 3; fits run once)
+BENCH_RUNS     timed runs per query, the median counts (default 3; fits are timed once)
 BENCH_QUERIES  blank separated names, or "all"
 """
 
@@ -50,8 +50,7 @@ def main() -> None:
     spark.read.parquet(f"{sf_dir}/events.parquet").count()
     timings = {}
     for name in names:
-        if not name.startswith(ONCE):
-            seconds(spark, name, sf_dir)  # warm-up
+        seconds(spark, name, sf_dir)  # warm-up
         repeats = 1 if name.startswith(ONCE) else runs
         timings[name] = round(statistics.median(seconds(spark, name, sf_dir) for _ in range(repeats)), 4)
         print(f"{name} {timings[name]}", file=sys.stderr, flush=True)

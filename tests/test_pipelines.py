@@ -48,6 +48,7 @@ def test_raw_and_speed_jobs(spark, scratch, domain):
     whole = quality.complete_stats(sent) if domain == "player" else sent
     assert raw.count() == whole.count()
     assert set(P.DOMAINS[domain].partitions) <= set(raw.columns)
+    assert main(["compact-serving", "--domain", domain, "--path", f"{scratch}/speed"]) == 0
     served = P.serving(P.DOMAINS[domain], f"{scratch}/speed").read(spark)
     keys = P.DOMAINS[domain].key
     assert served.select(*keys).distinct().count() == served.count() > 0

@@ -156,12 +156,34 @@ def test_merge_across_batches(spark, scratch):
     assert shown(table, spark) == {**expected, 1: (4, "d", "e")}
 
 
+def test_new_field_is_null_in_older_rows(spark, scratch):
+    table = ServingTable(scratch, ["k"], ["ts"])
+    table.apply(batch(spark, (1, 1, "a", "b"), (2, 1, "c", "d")), 0)
+    for compacted in (False, True):
+        if compacted:
+            table.compact(spark)
+        table.apply(batch(spark, (2, 5, "e", None)).withColumn("extra", F.lit(7)), 1 + compacted)
+        assert {r.k: (r.a, r.extra) for r in table.read(spark).collect()} == {1: ("a", None), 2: ("e", 7)}
+
+
+def test_vacuum_keeps_what_readers_need(spark, scratch):
+    table = ServingTable(scratch, ["k"], ["ts"])
+    for n in range(4):
+        table.apply(batch(spark, (n, 1, "a", "b"), (9, n, str(n), None)), n)
+        table.compact(spark)
+    before = shown(table, spark)
+    table.vacuum(spark, keep=2)
+    assert table._committed(spark, "base") == [2, 3] and table._committed(spark, "changes") == [3]
+    assert shown(table, spark) == before and before[9] == (3, "3", None) and len(before) == 5
+
+
 def test_stream_upsert_equals_batch_latest(spark, scratch):
     topic = FolderTopic(f"{scratch}/topic")
     for start in (20, 0, 10):  # out of order
         publish(spark, topic, range(start, start + 10))
     table = ServingTable(f"{scratch}/serving", ["gold_type"], ["crawl_timestamp"])
-    table.follow(decode_json(topic.read_stream(spark, max_per_trigger=1), C.TICK), f"{scratch}/cp")
+    table.follow(decode_json(topic.read_stream(spark, max_per_trigger=1), C.TICK), f"{scratch}/cp", compact_every=2)
+    assert table._committed(spark, "base") == [n for n in table._committed(spark, "changes") if n % 2]
     expected = keyed.latest_per_key(ticks(spark, range(30)), ["gold_type"], ["crawl_timestamp"])
     assert sorted(table.read(spark).select(*expected.columns).collect()) == sorted(expected.collect())
 

@@ -67,6 +67,10 @@ def parser() -> argparse.ArgumentParser:
     compact = job("compact", "fold small files of a raw table into a new folder")
     compact.add_argument("--input", required=True)
     compact.add_argument("--output", required=True)
+    fold = job("compact-serving", "fold served changes into a new base and remove what is no longer needed")
+    fold.add_argument("--domain", choices=P.DOMAINS, required=True)
+    fold.add_argument("--path", required=True)
+    fold.add_argument("--keep", type=int, default=2)
     return top
 
 
@@ -101,6 +105,10 @@ def main(argv: list[str] | None = None) -> int:
         df.show(args.rows, truncate=False)
     elif args.job == "compact":
         tables.compact(spark, args.input, args.output)
+    elif args.job == "compact-serving":
+        served = P.serving(P.DOMAINS[args.domain], args.path)
+        served.compact(spark)
+        served.vacuum(spark, args.keep)
     if query is not None:
         query.awaitTermination()
     return 0

@@ -4,10 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidewright.contracts import STAT_COLUMNS
+from tidewright.contracts import FEATURE_COLUMNS, STAT_COLUMNS
 from tidewright.operators import clean, project, quality, views
 from tidewright.operators.features import log_features, log_names
-from tidewright.contracts import FEATURE_COLUMNS
 from tidewright.plans import bindings as B
 from tidewright.plans.registry import query
 from tidewright.session import scratch_path

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidewright.functions import dates as D
 from tidewright.functions import numbers as N
 from tidewright.functions import text as X
 from tidewright.operators import clean

@@ -7,9 +7,10 @@ import datetime as dt
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewright.contracts import PLAYER_SPEED, TICK, Contract
+from tidewright.contracts import DEVICE, PHONE, PLAYER_SPEED, TICK, Contract
 from tidewright.functions.dates import days_before
 from tidewright.operators import keyed, views
+from tidewright.operators.clean import null_out_nan
 from tidewright.operators.decode import decode_json, encode_json
 from tidewright.operators.project import project_contract, rename_and_drop
 from tidewright.plans import bindings as B
@@ -108,7 +109,6 @@ SELECT crawl_timestamp, product_id, name, brand, category, color,
        source, crawl_timestamp * 1000 AS "@timestamp", 'stream' AS view_type
 FROM devices""")
 def speed_view_devices(spark, sf):
-    from tidewright.contracts import DEVICE
     messages = encode_json(B.devices(B.table(spark, sf, "part")))
     return views.device_speed(decode_json(messages, DEVICE))
 
@@ -121,12 +121,11 @@ SELECT name, brand, CAST(NULL AS VARCHAR) AS capacity, CAST(NULL AS VARCHAR) AS
        strftime(epoch_ms(crawl_timestamp), '%Y-%m-%d') AS crawl_date_dt, 'stream' AS view_type
 FROM devices""")
 def speed_view_phones(spark, sf):
-    from tidewright.contracts import PHONE
     messages = encode_json(B.devices(B.table(spark, sf, "part")))
     return views.phone_speed(decode_json(messages, PHONE))
 
 
-def _sql_columns(contract, doubles=True):
+def _sql_columns(contract):
     names = []
     for field in contract.schema.fields:
         quoted = f'"{field.name}"'
@@ -141,7 +140,6 @@ tagged AS (SELECT * REPLACE (coalesce(player_agent, 'None') AS player_agent,
 SELECT {_sql_columns(PLAYER_SPEED)} FROM tagged
 WHERE appearances IS NOT NULL AND minutes_per_goal IS NOT NULL""")
 def speed_view_players(spark, sf):
-    from tidewright.operators.clean import null_out_nan
     return views.player_speed(null_out_nan(B.players(B.table(spark, sf, "lineitem"))))
 
 

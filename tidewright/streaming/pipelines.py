@@ -9,11 +9,12 @@ from dataclasses import dataclass
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidewright import contracts as C
 from tidewright.operators import views
-from tidewright.operators.clean import typed_devices
+from tidewright.operators.clean import null_out_nan, typed_devices
 from tidewright.operators.decode import decode_json, encode_json
 from tidewright.operators.models import score_players
 from tidewright.sources import tables
@@ -118,9 +119,8 @@ def publish_csv(spark: SparkSession, csv: str, contract: C.Contract, topic: Topi
                 stamp: str | None = None) -> None:
     """CSV rows as messages; rows without the key are left out, ``stamp`` gets the time of sending."""
     missing = [f for f in contract.schema.fields if f.name == stamp]
-    schema = C.T.StructType([f for f in contract.schema.fields if f not in missing])
+    schema = T.StructType([f for f in contract.schema.fields if f not in missing])
     rows = tables.scan_csv(spark, csv, schema).filter(F.col(key).isNotNull())
     if stamp:
         rows = rows.withColumn(stamp, F.unix_millis(F.current_timestamp()))
-    from tidewright.operators.clean import null_out_nan
     topic.publish(encode_json(null_out_nan(rows).select(*contract.columns), F.col(key)))

@@ -48,15 +48,22 @@ class ServingTable:
         fold = latest_per_key if self.mode == REPLACE else last_values_per_key
         fold(keyed, self.keys, self.order).write.mode("overwrite").parquet(self._folder("changes", batch_id))
 
-    def follow(self, rows: DataFrame, checkpoint: str, every: str | None = None) -> StreamingQuery:
-        return each_batch(rows, self.apply, checkpoint, every)
+    def follow(self, rows: DataFrame, checkpoint: str, every: str | None = None,
+               compact_every: int | None = None) -> StreamingQuery:
+        """Feed from a stream; ``compact_every`` batches the changes are folded into a new base."""
+        def store(batch: DataFrame, batch_id: int) -> None:
+            self.apply(batch, batch_id)
+            if compact_every and (batch_id + 1) % compact_every == 0:
+                self.compact(batch.sparkSession)
+
+        return each_batch(rows, store, checkpoint, every)
 
     def compact(self, spark: SparkSession) -> None:
         """Fold everything stored so far into a new base, named after its last batch."""
         batches = self._committed(spark, "changes")
         base = self._committed(spark, "base")
         if not batches or (base and base[-1] >= batches[-1]):
-            return
+            return  # nothing new since the last base
         table = self._folded(spark)
         if self.partition_by:
             # AQE splits a partition value that holds most rows and merges small ones.
@@ -66,6 +73,21 @@ class ServingTable:
             writer = writer.partitionBy(*self.partition_by)
         writer.parquet(self._folder("base", batches[-1]))
 
+    def vacuum(self, spark: SparkSession, keep: int = 2) -> None:
+        """Remove bases older than the last ``keep`` and the changes they all contain.
+
+        Readers that started on a base that is kept are not disturbed.
+        """
+        bases = self._committed(spark, "base")
+        if len(bases) <= keep:
+            return
+        oldest = bases[-keep]
+        expired = [self._folder("base", b) for b in bases if b < oldest]
+        expired += [self._folder("changes", b) for b in self._committed(spark, "changes") if b <= oldest]
+        for folder in expired:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
     # --- reading ---
 
     def read(self, spark: SparkSession) -> DataFrame:
@@ -80,8 +102,8 @@ class ServingTable:
             if stored is None:
                 raise ValueError(f"nothing stored at {self.path}")
             return stored
-        # A field that came later is missing from the older folders.
-        changes = spark.read.option("mergeSchema", "true").parquet(*later)
+        # The newest folder's schema for all: one footer read, and a field that came later is NULL before.
+        changes = spark.read.schema(spark.read.parquet(later[-1]).schema).parquet(*later)
         if self.mode == REPLACE:
             order = [*self.order, ARRIVAL]
             return latest_per_key(changes, self.keys, order) if stored is None else \
