@@ -9,7 +9,8 @@ with one anchor form a run, and each window lies in exactly one run.
    each. Batches settle equal runs among themselves first, so a passage that a third of all
    documents share reaches its bucket once per batch.
 2. Where an anchor has several different runs, their windows may still be equal in part (at
-   the ends of a shared passage). Such runs are set on end, group by group, and sorted into
+   the ends of a shared passage). Two runs with a window in common agree in the 17 bytes
+   before the anchor or in the 17 after it, so runs that share neither print are out. The rest are set on end, group by group, and sorted into
    a suffix array and its Burrows-Wheeler transform. Breadth-first backward extension finds
    the boundaries of the intervals of equal prefixes by increasing length and stops at 50:
    then every interval holds the places of one 50-byte string, and its least document keeps it.
@@ -24,10 +25,11 @@ other. An empty table gives no rows.
 from __future__ import annotations
 
 import hashlib
+import zlib
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute  # noqa: F401
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,18 +38,27 @@ from tidewright.llm.common import kept_table, per_batch
 
 LENGTH, GRAM = 50, 16
 #: Bytes of text whose anchors share a bucket; different runs of an anchor that one task takes.
-BUCKET_BYTES, HOT = 16 << 20, 2048
+BUCKET_BYTES, HOT = 4 << 20, 2048
 #: Bytes set on end for one transform.
-TRANSFORM_BYTES = 1 << 20
+TRANSFORM_BYTES = 1 << 18
+#: Runs of neighbouring texts that settle equal ones among themselves.
+MEETING_RUNS = 1 << 19
 NULL_ID = (1 << 63) - 1
 FULL, PARTIAL, WINDOWED = 1, 2, 3
 
 
-def runs(part: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(text, first window, last window, anchor hash, key of the run's bytes) of each run."""
+SIDE = (LENGTH - GRAM) // 2
+
+
+def runs(part: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(text, first window, last window, anchor hash, key, right print) of each run.
+
+    The key is a hash of the run's bytes whose low 16 bits print the bytes before the
+    anchor; a print is 0 where no window of the run reaches so far.
+    """
     none = np.zeros(0, np.int64)
     if len(part) < LENGTH:
-        return none, none, none, none.astype(np.uint64), none.astype(np.uint64)
+        return none, none, none, none.astype(np.uint64), none.astype(np.uint64), none.astype(np.uint16)
     wide = np.ndarray(len(part) - 7, "<u8", part.tobytes(), strides=(1,))
     grams = A.mix(wide[:-8] ^ A.mix(wide[8:]))
     best = (grams & np.uint64(0xFFFFFFFF00000000)) | np.arange(len(grams), dtype=np.uint64)
@@ -71,8 +82,12 @@ def runs(part: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     first, last = np.flatnonzero(begins), np.flatnonzero(ends)
     at = anchor[first]
     key = A.mix(A.span_hashes(part, first, last + LENGTH) + (at - first).astype(np.uint64))
+    left, right = at - first >= SIDE, last + LENGTH - at - GRAM >= SIDE
+    prints = [np.where(has, A.span_hashes(part, np.where(has, a, 0), np.where(has, a + SIDE, 0)) & np.uint64(0xFFFF) | np.uint64(1), 0)
+              for has, a in ((left, at - SIDE), (right, at + GRAM))]
+    key = (key & ~np.uint64(0xFFFF)) | prints[0].astype(np.uint64)
     text = np.searchsorted(bounds, first, "right") - 1
-    return text, first, last, grams[at], key
+    return text, first, last, grams[at], key, prints[1].astype(np.uint16)
 
 
 def _ids(column: pa.Array) -> np.ndarray:
@@ -87,69 +102,92 @@ def _groups(*keys: np.ndarray) -> np.ndarray:
     return np.flatnonzero(new)
 
 
-def _by_document(doc: np.ndarray, key: np.ndarray, flag: int):
-    """Per document, the keys of its runs that share a fate."""
-    order = np.argsort(doc, kind="stable")
-    doc, key = doc[order], key[order]
-    starts = _groups(doc)
-    for a, b in zip(starts, np.append(starts, len(doc))[1:], strict=True):
-        yield int(doc[a]), key[a:b].tobytes(), flag
+def part_of(doc: np.ndarray, parts: int) -> np.ndarray:
+    """The part of each document: crc32 of the id as text, as Spark has it."""
+    ids, back = np.unique(doc, return_inverse=True)
+    return np.array([zlib.crc32(str(i).encode()) % parts for i in ids.tolist()], np.int64)[back]
+
+
+def _by_part(doc: np.ndarray, key: np.ndarray, parts: int):
+    """(part, keys, docs) of runs that share a fate."""
+    part = part_of(doc, parts)
+    order = np.lexsort((doc, part))
+    doc, key, part = doc[order], key[order], part[order]
+    starts = _groups(part)
+    for a, b in zip(starts, np.append(starts, len(part))[1:], strict=True):
+        yield int(part[a]), key[a:b].tobytes(), doc[a:b].tobytes()
+
+
+MET = pa.schema([("bucket", pa.int32()), ("anchors", pa.binary()), ("keys", pa.binary()), ("rights", pa.binary()), ("docs", pa.binary()), ("flag", pa.int32())])
+
+
+def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    columns = list(zip(*rows, strict=True)) if rows else [[] for _ in schema]
+    return pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(columns, schema, strict=True)], schema=schema)
 
 
 def meeting_rows(buckets: int):
-    """Batches of texts to rows (bucket, doc_id, anchors, keys, docs, flag)."""
-    schema = pa.schema([("bucket", pa.int32()), ("doc_id", pa.int64()), ("anchors", pa.binary()), ("keys", pa.binary()), ("docs", pa.binary()), ("flag", pa.int32())])
-
-    def work(batch: pa.RecordBatch) -> pa.RecordBatch | None:
-        data, offsets = A.text_bytes(batch.column("text"))
-        ids = _ids(batch.column("doc_id"))
-        found = []
-        for i, _, part, bounds in A.chunks(data, offsets):
-            text, _, _, anchor, key = runs(part, bounds)
-            found.append((ids[i + text], anchor, key))
-        doc, anchor, key = (np.concatenate(x) for x in zip(*found, strict=True))
+    """Batches of texts to rows of MET: entries of anchors (flag 0) or settled runs, by part."""
+    def met(doc: np.ndarray, anchor: np.ndarray, key: np.ndarray, right: np.ndarray) -> pa.RecordBatch:
         order = np.lexsort((doc, key))
-        doc, anchor, key = doc[order], anchor[order], key[order]
+        doc, anchor, key, right = doc[order], anchor[order], key[order], right[order]
         starts = _groups(key)
-        sizes = np.diff(np.append(starts, len(key)))
-        least = np.repeat(doc[starts], sizes)
-        later = doc > least
-        rows = [(buckets + k % buckets, d, None, keys, None, flag) for k, (d, keys, flag) in enumerate(_by_document(doc[later], key[later], FULL))]
-        doc, anchor, key = doc[starts], anchor[starts], key[starts]
+        later = doc > np.repeat(doc[starts], np.diff(np.append(starts, len(key))))
+        rows = [(buckets + part, None, keys, None, docs, FULL) for part, keys, docs in _by_part(doc[later], key[later], buckets)]
+        doc, anchor, key, right = doc[starts], anchor[starts], key[starts], right[starts]
         bucket = (anchor % np.uint64(buckets)).astype(np.int64)
         order = np.lexsort((doc, bucket))
-        doc, anchor, key, bucket = doc[order], anchor[order], key[order], bucket[order]
+        doc, anchor, key, right, bucket = doc[order], anchor[order], key[order], right[order], bucket[order]
         starts = _groups(bucket)
         short = (anchor >> np.uint64(32)).astype(np.uint32)
         for a, b in zip(starts, np.append(starts, len(bucket))[1:], strict=True):
-            rows.append((int(bucket[a]), None, short[a:b].tobytes(), key[a:b].tobytes(), doc[a:b].tobytes(), 0))
-        return pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema) if rows else None
+            rows.append((int(bucket[a]), short[a:b].tobytes(), key[a:b].tobytes(), right[a:b].tobytes(), doc[a:b].tobytes(), 0))
+        return _batch(rows, MET)
+
+    def run(batches):
+        for batch in batches:
+            data, offsets = A.text_bytes(batch.column("text"))
+            ids, found, size = _ids(batch.column("doc_id")), [], 0
+            for i, _, part, bounds in A.chunks(data, offsets):
+                text, _, _, anchor, key, right = runs(part, bounds)
+                found.append((ids[i + text], anchor, key, right))
+                size += len(text)
+                if size >= MEETING_RUNS:
+                    yield met(*(np.concatenate(x) for x in zip(*found, strict=True)))
+                    found, size = [], 0
+            if size:
+                yield met(*(np.concatenate(x) for x in zip(*found, strict=True)))
 
-    return per_batch(work)
+    return run
 
 
-FATES = pa.schema([("doc_id", pa.int64()), ("keys", pa.binary()), ("flag", pa.int32())])
+FATES = pa.schema([("part", pa.int32()), ("keys", pa.binary()), ("docs", pa.binary()), ("flag", pa.int32())])
 
 
-def settle(hot: int):
+def settle(buckets: int, hot: int):
     """A bucket of anchors to the fates of the runs in it."""
     def work(group: pa.Table) -> pa.Table:
-        rows = [(d, k, f) for d, k, f in zip(group["doc_id"].to_pylist(), group["keys"].to_pylist(), group["flag"].to_pylist(), strict=True) if f]
-        entries = group.filter(pa.compute.equal(group["flag"], 0))
+        rows = [(b - buckets, k, d, f) for b, k, d, f in zip(*(group[c].to_pylist() for c in ("bucket", "keys", "docs", "flag")), strict=True) if f]
+        entries = group.filter(pc.equal(group["flag"], 0))
         if entries.num_rows:
-            anchor, key, doc = (np.frombuffer(b"".join(entries[c].to_pylist()), t) for c, t in (("anchors", np.uint32), ("keys", np.uint64), ("docs", np.int64)))
+            anchor, key, right, doc = (np.frombuffer(b"".join(entries[c].to_pylist()), t) for c, t in (("anchors", np.uint32), ("keys", np.uint64), ("rights", np.uint16), ("docs", np.int64)))
             order = np.lexsort((doc, key, anchor))
-            anchor, key, doc = anchor[order], key[order], doc[order]
+            anchor, key, right, doc = anchor[order], key[order], right[order], doc[order]
             starts = _groups(anchor, key)
-            least = np.repeat(doc[starts], np.diff(np.append(starts, len(doc))))
-            later = doc > least
-            rows += _by_document(doc[later], key[later], FULL)
-            anchor, key, doc = anchor[starts], key[starts], doc[starts]
-            groups = _groups(anchor)
-            several = np.repeat(np.diff(np.append(groups, len(anchor))), np.diff(np.append(groups, len(anchor))))
-            for flag, chosen in ((PARTIAL, (several > 1) & (several <= hot)), (WINDOWED, several > hot)):
-                rows += _by_document(doc[chosen], key[chosen], flag)
-        return pa.table([pa.array(x, f.type) for x, f in zip(zip(*rows, strict=True), FATES, strict=True)], schema=FATES) if rows else FATES.empty_table()
+            later = doc > np.repeat(doc[starts], np.diff(np.append(starts, len(doc))))
+            rows += [(*row, FULL) for row in _by_part(doc[later], key[later], buckets)]
+            anchor, key, right, doc = (x[starts].astype(x.dtype) for x in (anchor, key, right, doc))
+            left = key & np.uint64(0xFFFF)
+            alike = np.zeros(len(key), bool)
+            for prints in (left, right.astype(np.uint64)):
+                has = np.flatnonzero(prints)
+                alike[has] |= A.repeats((anchor[has].astype(np.uint64) << np.uint64(16)) | prints[has])[0]
+            anchor, key, doc = anchor[alike], key[alike], doc[alike]
+            groups = np.diff(np.append(_groups(anchor), len(anchor)))
+            many = np.repeat(groups, groups) > hot
+            for flag, chosen in ((PARTIAL, ~many), (WINDOWED, many)):
+                rows += [(*row, flag) for row in _by_part(doc[chosen], key[chosen], buckets)]
+        return pa.Table.from_batches([_batch(rows, FATES)])
     return work
 
 
@@ -172,59 +210,92 @@ PIECES = pa.schema([
 DONE, WAITING, RUN, WINDOW = 0, 1, 2, 3
 
 
-def pieces(buckets: int):
-    """Texts with their fates to finished documents, waiting ones, and what those wait for."""
-    def row(**values):
-        return tuple(values.get(f.name) for f in PIECES)
+def _pieces(n: int, **columns) -> pa.RecordBatch:
+    arrays = [pa.array(columns[f.name], f.type) if f.name in columns else pa.nulls(n, f.type) for f in PIECES]
+    return pa.RecordBatch.from_arrays(arrays, schema=PIECES)
+
 
-    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        data, offsets = A.text_bytes(batch.column("text"))
+def pieces(buckets: int):
+    """A part of the documents and its fates to finished documents, waiting ones, and what those wait for."""
+    def work(docs: pa.Table, fates: pa.Table) -> pa.Table:
+        known = {}
+        for flag in (FULL, PARTIAL, WINDOWED):
+            own = fates.filter(pc.equal(fates["flag"], flag))
+            key, doc = (np.frombuffer(b"".join(own[c].to_pylist()), t) for c, t in (("keys", np.uint64), ("docs", np.int64)))
+            known[flag] = np.unique(A.mix(key + A.mix(doc.view(np.uint64))))
         out = []
-        for i in range(batch.num_rows):
-            text, doc = data[offsets[i]:offsets[i + 1]], batch.column("doc_id")[i].as_py()
-            fates = batch.column("fates")[i].as_py()
-            if not fates:
-                n, removed, spans, sha = verdict(text, np.zeros(len(text), bool))
-                out.append(row(kind=DONE, doc_id=doc, n_bytes=n, n_removed=removed, n_spans=spans, kept_sha256=sha))
-                continue
-            _, first, last, anchor, key = runs(text, np.array([0, len(text)]))
-            by = {flag: np.isin(key, np.frombuffer(b"".join(f["keys"] for f in fates if f["flag"] == flag), np.uint64)) for flag in (FULL, PARTIAL, WINDOWED)}
-            gone = covered(len(text), first[by[FULL]], last[by[FULL]] + LENGTH)
-            open_runs = np.flatnonzero((by[PARTIAL] | by[WINDOWED]) & ~by[FULL])
-            if not len(open_runs):
-                n, removed, spans, sha = verdict(text, gone)
-                out.append(row(kind=DONE, doc_id=doc, n_bytes=n, n_removed=removed, n_spans=spans, kept_sha256=sha))
-                continue
-            row_key = int.from_bytes(hashlib.blake2b(text.tobytes(), digest_size=8).digest(), "little", signed=True)
-            out.append(row(kind=WAITING, doc_id=doc, row_key=row_key, bytes=text.tobytes(), spans=np.packbits(gone).tobytes()))
-            for r in open_runs:
-                if by[PARTIAL][r]:
-                    out.append(row(kind=RUN, doc_id=doc, row_key=row_key, bytes=text[first[r]:last[r] + LENGTH].tobytes(), place=int(first[r]), bucket=int(anchor[r] % np.uint64(buckets)), hash_a=int(anchor[r].view(np.int64))))
-            places = np.concatenate([np.zeros(0, np.int64)] + [np.arange(first[r], last[r] + 1) for r in open_runs if by[WINDOWED][r]])
-            if len(places):
-                sums = [A.span_hashes(text, places, places + LENGTH, w).view(np.int64).tolist() for w in (0, 1)]
-                out += [row(kind=WINDOW, doc_id=doc, row_key=row_key, hash_a=a, hash_b=b, place=p) for a, b, p in zip(*sums, places.tolist(), strict=True)]
-        return pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*out, strict=True), PIECES, strict=True)], schema=PIECES)
-
-    return per_batch(work)
+        for batch in docs.to_batches():
+            data, offsets = A.text_bytes(batch.column("text"))
+            for i, j, part, bounds in A.chunks(data, offsets):
+                out += chunk(batch.column("doc_id").slice(i, j - i), part, bounds, known)
+        return pa.Table.from_batches(out, schema=PIECES)
+
+    def chunk(column: pa.Array, part: np.ndarray, bounds: np.ndarray, known: dict[int, np.ndarray]):
+        ids = _ids(column)
+        text, first, last, anchor, key, _ = runs(part, bounds)
+        mine = A.mix(key + A.mix(ids[text].view(np.uint64)))
+        by = {}
+        for flag, fate in known.items():
+            at = np.minimum(np.searchsorted(fate, mine), max(0, len(fate) - 1))
+            by[flag] = fate[at] == mine if len(fate) else np.zeros(len(mine), bool)
+        gone = covered(len(part), first[by[FULL]], last[by[FULL]] + LENGTH)
+        waits = np.zeros(len(ids), bool)
+        waits[text[(by[PARTIAL] | by[WINDOWED]) & ~by[FULL]]] = True
+        head = gone.copy()
+        head[1:] &= ~gone[:-1]
+        edges = bounds[:-1][bounds[:-1] < len(part)]
+        head[edges] |= gone[edges]
+        done = np.flatnonzero(~waits)
+        sums = []
+        for d in done.tolist():
+            a, b = bounds[d], bounds[d + 1]
+            sums.append(hashlib.sha256(part[a:b][~gone[a:b]] if gone[a:b].any() else part[a:b]).hexdigest())
+        yield _pieces(len(done), kind=np.full(len(done), DONE), doc_id=column.take(pa.array(done)), n_bytes=np.diff(bounds)[done], n_removed=A.per_text(gone, bounds)[done], n_spans=A.per_text(head, bounds)[done], kept_sha256=sums)
+        open_texts = np.flatnonzero(waits)
+        if not len(open_texts):
+            return
+        bodies = [part[bounds[d]:bounds[d + 1]].tobytes() for d in open_texts.tolist()]
+        row_keys = np.zeros(len(ids), np.int64)
+        row_keys[open_texts] = [int.from_bytes(hashlib.blake2b(b, digest_size=8).digest(), "little", signed=True) for b in bodies]
+        yield _pieces(len(bodies), kind=np.full(len(bodies), WAITING), doc_id=column.take(pa.array(open_texts)), row_key=row_keys[open_texts], bytes=bodies,
+                      spans=[np.packbits(gone[bounds[d]:bounds[d + 1]]).tobytes() for d in open_texts.tolist()])
+        partial = np.flatnonzero(by[PARTIAL] & ~by[FULL])
+        if len(partial):
+            yield _pieces(len(partial), kind=np.full(len(partial), RUN), doc_id=column.take(pa.array(text[partial])), row_key=row_keys[text[partial]],
+                          bytes=[part[a:b + LENGTH].tobytes() for a, b in zip(first[partial].tolist(), last[partial].tolist(), strict=True)],
+                          place=first[partial] - bounds[text[partial]], bucket=(anchor[partial] % np.uint64(buckets)).astype(np.int32), hash_a=anchor[partial].view(np.int64))
+        wide = np.flatnonzero(by[WINDOWED] & ~by[FULL])
+        if len(wide):
+            counts = last[wide] - first[wide] + 1
+            places = np.repeat(first[wide], counts) + np.arange(int(counts.sum())) - np.repeat(np.cumsum(counts) - counts, counts)
+            of = np.repeat(text[wide], counts)
+            yield _pieces(len(places), kind=np.full(len(places), WINDOW), doc_id=column.take(pa.array(of)), row_key=row_keys[of], place=places - bounds[of],
+                          hash_a=A.span_hashes(part, places, places + LENGTH, 0).view(np.int64), hash_b=A.span_hashes(part, places, places + LENGTH, 1).view(np.int64))
+
+    return work
 
 
 def suffix_array(symbols: np.ndarray) -> np.ndarray:
     """Order of the suffixes of numbers in which every text ends with a number of its own."""
-    order = np.argsort(symbols, kind="stable")
-    rank = np.empty(len(symbols), np.int64)
-    ranked = symbols[order]
-    rank[order] = np.concatenate([[0], np.cumsum(ranked[1:] != ranked[:-1])])
+    bits = int(symbols.max() + 1).bit_length()
     step = 1
-    while rank.max() < len(symbols) - 1:
+    key = symbols + 1
+    while 2 * step * bits <= 62:  # the first few symbols fit one number
+        beyond = np.zeros(len(key), np.int64)
+        beyond[:-step] = key[step:]
+        key = (key << (step * bits)) | beyond
+        step *= 2
+    rank = np.empty(len(symbols), np.int64)
+    while True:
+        order = np.argsort(key)
+        ranked = key[order]
+        rank[order] = np.concatenate([[0], np.cumsum(ranked[1:] != ranked[:-1])])
+        if rank[order[-1]] == len(symbols) - 1:
+            return order
         beyond = np.zeros(len(rank), np.int64)
         beyond[:-step] = rank[step:] + 1
-        pair = rank * (len(rank) + 1) + beyond
-        order = np.argsort(pair, kind="stable")
-        ranked = pair[order]
-        rank[order] = np.concatenate([[0], np.cumsum(ranked[1:] != ranked[:-1])])
+        key = rank * (len(rank) + 1) + beyond
         step *= 2
-    return np.argsort(rank, kind="stable")
 
 
 def interval_starts(symbols: np.ndarray, order: np.ndarray, ends: int, length: int) -> np.ndarray:
@@ -236,7 +307,7 @@ def interval_starts(symbols: np.ndarray, order: np.ndarray, ends: int, length: i
     """
     n = len(symbols)
     transform = symbols[order - 1]
-    by_symbol = np.argsort(transform, kind="stable")
+    by_symbol = np.argsort(transform * n + np.arange(n))
     to = np.empty(n, np.int64)  # backward extension of each place
     to[by_symbol] = np.arange(n)
     before = np.full(n, -1, np.int64)  # the place before with the same symbol
@@ -246,10 +317,9 @@ def interval_starts(symbols: np.ndarray, order: np.ndarray, ends: int, length: i
     known[0] = True
     active = np.flatnonzero(transform >= ends)
     for _ in range(length):
-        level = np.cumsum(known)
+        level = np.cumsum(known, dtype=np.int32)
         previous = before[active]
         new = (previous < 0) | (level[active] > level[np.maximum(previous, 0)])
-        known = known.copy()
         known[to[active[new]]] = True
         known[:ends] = True  # text ends differ from all else in their first symbol
         active = active[~new]
@@ -318,13 +388,13 @@ def substring_dedup(docs: DataFrame, bucket_bytes: int = BUCKET_BYTES, hot: int
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     total = texts.agg(F.sum(F.octet_length("text"))).head()[0] or 0
     buckets = max(1, -(-int(total) // bucket_bytes))
-    met = texts.mapInArrow(meeting_rows(buckets), "bucket int, doc_id long, anchors binary, keys binary, docs binary, flag int")
-    fates = met.groupBy("bucket").applyInArrow(settle(hot), "doc_id long, keys binary, flag int")
+    met = texts.mapInArrow(meeting_rows(buckets), "bucket int, anchors binary, keys binary, rights binary, docs binary, flag int")
+    fates = kept_table(met.groupBy("bucket").applyInArrow(settle(buckets, hot), "part int, keys binary, docs binary, flag int"), "fates")
     null_id = F.lit(NULL_ID)
-    by_doc = kept_table(fates, "fates").groupBy(F.col("doc_id").alias("f_id")).agg(F.collect_list(F.struct("flag", "keys")).alias("fates"))
-    joined = texts.join(by_doc, F.coalesce("doc_id", null_id) == F.col("f_id"), "left").select("doc_id", "text", "fates")
+    own_part = F.pmod(F.crc32(F.coalesce("doc_id", null_id).cast("string")), F.lit(buckets)).cast("int")
+    joined = texts.withColumn("part", own_part).groupBy("part").cogroup(fates.groupBy("part"))
     schema = "kind int, doc_id long, row_key long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, bytes binary, spans binary, bucket int, hash_a long, hash_b long, place long"
-    parts = kept_table(joined.mapInArrow(pieces(buckets), schema), "pieces")
+    parts = kept_table(joined.applyInArrow(pieces(buckets), schema), "pieces")
     done = parts.where(F.col("kind") == DONE).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
     found = parts.where(F.col("kind") == RUN).select("bucket", "doc_id", "row_key", "hash_a", "bytes", "place").groupBy("bucket").applyInArrow(
