@@ -30,7 +30,7 @@ from tidewright.llm.common import kept_table, per_batch
 
 WEIGHTS = (5.0, 2.0, 1.0)
 SHARE, MOST = 1.5, 2.0
-BLOCK_WORDS, SHARD_SLOTS, BIN_WORDS = 64, 8192, 1 << 22
+BLOCK_WORDS, SHARD_SLOTS, BIN_WORDS = 64, 8192, 1 << 19
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -171,7 +171,8 @@ def mixed_sources(docs: DataFrame, block_words: int = BLOCK_WORDS, shard_slots:
     plan = Plan([n for _, n, _ in rows], [t for _, _, t in rows], block_words, shard_slots, seed)
     sources = spark.createDataFrame([(i, s, n, float(t)) for i, (s, n, t) in enumerate(rows)], "src long, s_source string, source_size long, target double")
     pieces = packed_blocks(sizes, sources, block_words, bin_words)
-    taken_blocks = mix_plan(spark, plan).groupBy("src", "block").agg(F.count("*").alias("times")).withColumnsRenamed({"src": "t_src", "block": "t_block"})
+    # Spark takes the slots to be as few as the draws that they come from, so it must be told not to broadcast them.
+    taken_blocks = mix_plan(spark, plan).groupBy("src", "block").agg(F.count("*").alias("times")).withColumnsRenamed({"src": "t_src", "block": "t_block"}).hint("merge")
     taken = pieces.join(taken_blocks, (F.col("src") == F.col("t_src")) & (F.col("block") == F.col("t_block"))).groupBy("src", "doc_id").agg(
         F.sum(F.col("words") * F.col("times")).alias("id_taken")).withColumnsRenamed({"src": "k_src", "doc_id": "k_id"})
     # Rows that repeat an id within a source share what the id takes by their sizes.
