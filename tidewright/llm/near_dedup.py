@@ -13,7 +13,7 @@ Texts with the same words are one class from the start (an aggregate, so a group
 of any size costs nothing later). Their representatives meet in buckets of equal bands. A
 bucket of up to SMALL members gives its pairs. In larger ones each member is paired with the
 members in the middle of the group (those that share most buckets) and, with the members
-dealt into cells of SMALL by a hash that differs from band to band, with its cell; members
+dealt into cells of a few by a hash that differs from band to band, with its cell; members
 of dense groups meet many of each other over 32 bands. Every pair is then checked on the
 whole texts, and the classes are the components over pairs at or above the threshold, found
 by minimum labels with pointer jumping.
@@ -149,7 +149,7 @@ def candidate_pairs(bands: DataFrame) -> DataFrame:
     shared = kept_table(rows.join(sizes, (F.col("band") == F.col("s_band")) & (F.col("hash") == F.col("s_hash"))).select("id", "band", "hash", "members"), "buckets")
     small = shared.where(F.col("members") <= SMALL).withColumn("cell", F.lit(0).cast("bigint"))
     large = shared.where(F.col("members") > SMALL)
-    cells = large.withColumn("cell", F.pmod(F.xxhash64("id", "band"), F.ceil(F.col("members") * 2 / SMALL)))
+    cells = large.withColumn("cell", F.pmod(F.xxhash64("id", "band"), F.ceil(F.col("members") * 6 / SMALL)))
     groups = small.unionByName(cells).groupBy("band", "hash", "cell").agg(F.sort_array(F.collect_list("id")).alias("ids")).where(F.size("ids") > 1)
     inner = groups.select("ids", F.posexplode("ids").alias("k", "a")).select("a", F.explode(F.expr("slice(ids, k + 2, size(ids))")).alias("b"))
 
