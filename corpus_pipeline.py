@@ -37,7 +37,8 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def sharded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     places = sharding.extendible_shards(docs).select(F.col("doc_id").alias("__id"), "shard", "depth").dropDuplicates(["__id"])
-    return docs.join(places, docs["doc_id"].eqNullSafe(F.col("__id"))).select(*[docs[c] for c in docs.columns], places["shard"].alias("shard"), places["depth"].alias("depth"))
+    own = [docs[c] for c in docs.columns if c not in ("shard", "depth")]
+    return docs.join(places, docs["doc_id"].eqNullSafe(F.col("__id"))).select(*own, places["shard"], places["depth"])
 
 
 STAGES = [

@@ -105,14 +105,16 @@ def score_outliers(stats: DataFrame, model: DataFrame) -> DataFrame:
 
     @F.pandas_udf("double")
     def distance(x: pd.Series, parts: pd.Series) -> pd.Series:
-        if not len(x):
-            return pd.Series([], dtype="float64")
-        points, models = np.stack(x.to_numpy()), np.stack(parts.to_numpy())
-        z = points - models[:, :DIMS]
-        scatter = models[:, DIMS:].reshape(-1, DIMS, DIMS)
-        return pd.Series(np.einsum("ij,ij->i", z, np.linalg.solve(scatter, z[:, :, None])[:, :, 0]))
+        out = np.full(len(x), np.nan)
+        known = parts.notna().to_numpy()  # a group without a single good document has no estimate
+        if known.any():
+            points, models = np.stack(x[known].to_numpy()), np.stack(parts[known].to_numpy())
+            z = points - models[:, :DIMS]
+            scatter = models[:, DIMS:].reshape(-1, DIMS, DIMS)
+            out[known] = np.einsum("ij,ij->i", z, np.linalg.solve(scatter, z[:, :, None])[:, :, 0])
+        return pd.Series(out)
 
-    return joined.withColumn("distance", F.round(distance("x", "parts"), 6)).drop("m_lang", "m_source", "parts")
+    return joined.withColumn("distance", F.nanvl(F.round(distance("x", "parts"), 6), F.lit(None).cast("double"))).drop("m_lang", "m_source", "parts")
 
 
 def quality_rules(docs: DataFrame, block_rows: int = 2000, tail: float = TAIL) -> DataFrame:
@@ -128,7 +130,7 @@ def quality_rules(docs: DataFrame, block_rows: int = 2000, tail: float = TAIL) -
     scored = score_outliers(vectors, model)
     return scored.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
-        (~F.col("base_failed") & (F.col("distance") <= chi_square(1 - tail, DIMS))).alias("kept"), "distance")
+        (~F.col("base_failed") & F.coalesce(F.col("distance") <= chi_square(1 - tail, DIMS), F.lit(False))).alias("kept"), "distance")
 
 
 def drop_rejected(docs: DataFrame, verdicts: DataFrame) -> DataFrame:

@@ -82,16 +82,16 @@ def extendible_shards_sql(limit: int = LIMIT_BYTES) -> str:
     """DuckDB twin over ``documents``: sums at every depth, the shallowest prefix that fits."""
     return f"""
 WITH h AS (
-  SELECT doc_id, ('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15))::BIGINT AS hash,
+  SELECT row_number() OVER () AS row, doc_id, ('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15))::BIGINT AS hash,
          coalesce(strlen(text), 0)::BIGINT AS bytes
   FROM documents
 ), sums AS (
   SELECT d, hash >> (60 - d) AS p, CAST(sum(bytes) AS BIGINT) AS bytes,
-         sum(bytes) <= {limit} OR min(hash) = max(hash) OR d = 60 AS fits
-  FROM h, (SELECT unnest(range(0, 61))::INTEGER AS d) GROUP BY ALL
+         sum(bytes) <= {limit} OR min(hash) = max(hash) AS fits
+  FROM h, (SELECT unnest(range(0, 61))::INTEGER AS d) GROUP BY d, hash >> (60 - d)
 ), first AS (
   SELECT h.doc_id, h.hash, h.bytes, min(d) AS depth
-  FROM h JOIN sums ON sums.p = h.hash >> (60 - d) WHERE fits GROUP BY ALL
+  FROM h JOIN sums ON sums.p = h.hash >> (60 - d) WHERE fits GROUP BY h.doc_id, h.hash, h.bytes, h.row
 )
 SELECT doc_id, first.bytes AS n_bytes,
        CASE WHEN depth = 0 THEN '' ELSE lpad(bin(p), depth, '0') END AS shard, depth, sums.bytes AS shard_bytes
