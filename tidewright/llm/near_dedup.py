@@ -16,7 +16,7 @@ members in the middle of the group (those that share most buckets) and, with the
 dealt into cells of a few by a hash that differs from band to band, with its cell; members
 of dense groups meet many of each other over 32 bands. Every pair is then checked on the
 whole texts, and the classes are the components over pairs at or above the threshold, found
-by minimum labels with pointer jumping.
+by pointing ids at their least neighbours and contracting the links.
 
 A text of fewer than five words has one shingle of all of them. A null text or one without
 words is like no other and is a class of its own. Class ids are the least doc_id of the
@@ -199,17 +199,27 @@ def verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
 
 
 def components(links: DataFrame) -> DataFrame:
-    """(id, root): the least id that each id of ``links`` (a, b) reaches."""
-    both = kept_table(links.union(links.select("b", "a")).toDF("a", "b"), "links")
-    labels = kept_table(both.groupBy("a").agg(F.least("a", F.min("b")).alias("root")).withColumnRenamed("a", "id"), "labels")
+    """(id, root): the least id that each id of ``links`` (a, b) reaches.
+
+    Each round points every id at its least neighbour, jumps once, and goes on with the
+    links between different roots only; at least half of the linked ids leave each time.
+    """
+    edges = links
+    labels = None
     while True:
-        near = both.join(labels, F.col("b") == F.col("id")).groupBy("a").agg(F.min("root").alias("near"))
-        step = labels.join(near, F.col("id") == F.col("a")).select("id", F.col("root").alias("old"), F.least("root", "near").alias("root"))
-        up = step.select(F.col("id").alias("up_id"), F.col("root").alias("up_root"))
-        jumped = kept_table(step.join(up, F.col("root") == F.col("up_id")).select("id", "old", F.col("up_root").alias("root")), "labels")
-        if jumped.where("root <> old").isEmpty():
-            return jumped.select("id", "root")
-        labels = jumped.select("id", "root")
+        both = edges.union(edges.select("b", "a")).toDF("a", "b")
+        near = kept_table(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("id"), F.least("a", "m").alias("root")), "near")
+        up = near.select(F.col("id").alias("up_id"), F.col("root").alias("up_root"))
+        parents = kept_table(near.join(up, F.col("root") == F.col("up_id")).select(F.col("id").alias("p_id"), F.col("up_root").alias("p_root")), "parents")
+        if labels is None:
+            labels = parents.select(F.col("p_id").alias("id"), F.col("p_root").alias("root"))
+        else:
+            labels = kept_table(labels.join(parents, F.col("root") == F.col("p_id"), "left").select("id", F.coalesce("p_root", "root").alias("root")), "labels")
+        one = edges.join(parents, F.col("a") == F.col("p_id")).select(F.col("p_root").alias("a"), "b")
+        other = one.join(parents, F.col("b") == F.col("p_id")).select("a", F.col("p_root").alias("b"))
+        edges = kept_table(other.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "links")
+        if edges.isEmpty():
+            return labels
 
 
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
