@@ -229,10 +229,10 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     copies = kept_table(copies.withColumnsRenamed({"words_a": "c_a", "words_b": "c_b"}), "copies")
     # Representatives: distinct texts. A row with a null id stands for itself only among null ids.
     firsts = copies.where("first_id is not null").select(F.col("first_id").alias("f_id"))
-    bands = marks.join(firsts, F.col("doc_id") == F.col("f_id")).select(F.col("doc_id").alias("id"), "bands").dropDuplicates(["id"])
+    bands = marks.join(firsts.hint("merge"), F.col("doc_id") == F.col("f_id")).select(F.col("doc_id").alias("id"), "bands").dropDuplicates(["id"])
     pairs = kept_table(candidate_pairs(bands), "pairs")
     ends = pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "end")
-    texts = docs.select("doc_id", "text").join(ends, F.col("doc_id") == F.col("end"), "left_semi").select(F.col("doc_id").alias("id"), "text").dropDuplicates(["id"])
+    texts = docs.select("doc_id", "text").join(ends.hint("merge"), F.col("doc_id") == F.col("end"), "left_semi").select(F.col("doc_id").alias("id"), "text").dropDuplicates(["id"])
     links = kept_table(verified(pairs, texts, threshold), "verified")
     roots = components(links).withColumnRenamed("id", "r_id")
     classes = copies.join(roots, F.col("first_id") == F.col("r_id"), "left").select("c_a", "c_b", F.coalesce("root", "first_id").alias("class_id"))
