@@ -51,7 +51,9 @@ def money_thousands(text: Column) -> Column:
 def abbreviated_count(text: Column) -> Column:
     """Sold count: ``1,2k`` is 1200 (decimal comma), ``42`` is 42."""
     count = F.lower(last_word(text))
-    scaled = plain_number(F.replace(F.replace(count, F.lit("k"), F.lit("")), F.lit(","), F.lit("."))) * 1000
+    digits = F.trim(F.replace(F.replace(count, F.lit("k"), F.lit("")), F.lit(","), F.lit(".")))
+    # Decimal, as 8.11 * 1000 is 8109.99... in binary.
+    scaled = F.when(digits.rlike(PLAIN_NUMBER), digits.try_cast("decimal(18,6)")) * 1000
     return F.when(count.contains("k"), scaled.try_cast("int")).otherwise(to_int_truncating(count))
 
 

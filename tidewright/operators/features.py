@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tidewright.contracts import LOG_COLUMNS
 from tidewright.functions import dates as D
-from tidewright.session import BROADCAST_MAX_ROWS, cut_lineage
+from tidewright.session import cut_lineage
 
 # --- fixed values: multiplicative hash --------------------------------------------
 HASH_FOLD = 2147483647          # 2^31 - 1, keeps the product inside BIGINT
@@ -102,8 +102,6 @@ def apply_index(df: DataFrame, labels: DataFrame, column: str, output: str, inva
     drops its row (``skip``) or fails the job (``error``)."""
     fitted = labels.select(F.col("label").alias(column), F.col("label_index").alias(output))
     n_labels = labels.count()
-    if n_labels <= BROADCAST_MAX_ROWS:
-        fitted = F.broadcast(fitted)
     joined = df.join(fitted, column, "inner" if invalid == "skip" else "left")
     if invalid == "keep":
         joined = joined.withColumn(output, F.coalesce(output, F.lit(float(n_labels))))

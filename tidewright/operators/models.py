@@ -20,6 +20,7 @@ from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRe
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import AtomicType
 
 from tidewright.contracts import FEATURE_COLUMNS, LOG_COLUMNS, PLAYER_SCORED
 from tidewright.functions import dates as D
@@ -27,9 +28,10 @@ from tidewright.operators.features import log_features, log_names
 from tidewright.operators.project import project_contract
 from tidewright.operators.quality import all_of, outfield_lenient, outfield_strict
 from tidewright.operators.views import repaired_height
-from tidewright.session import spread
 
 SEED = 42
+# Parts that training rows are dealt to; the same on every machine, as trees draw rows per part.
+FIT_PARTS = 16
 
 # --- fixed values: regressor settings by use ------------------------------------------
 SETTINGS = {
@@ -56,8 +58,14 @@ MARKET_NUMBERS = (
 
 @contextmanager
 def kept(df: DataFrame):
-    """Training rows dealt to all cores and held in memory and on disk while a fit reads them."""
-    held = spread(df).persist(StorageLevel.MEMORY_AND_DISK)
+    """Training rows held in memory and on disk while a fit reads them.
+
+    They are dealt to a fixed number of parts by their values and sorted, so trees draw the
+    same rows whatever the machine and the layout of the input.
+    """
+    plain = [f.name for f in df.schema.fields if isinstance(f.dataType, AtomicType)]
+    parts = df.repartition(FIT_PARTS, *[F.col(f"`{c}`") for c in plain])
+    held = parts.sortWithinPartitions(*[F.col(f"`{c}`") for c in plain]).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         yield held
     finally:
@@ -165,7 +173,7 @@ def fit_bands(train: DataFrame, numbers: Sequence[str], category: str, target: s
         ready = cutter.transform(prepare.transform(rows))
         # At most ``bands`` rows come back, whatever the input size.
         means = {int(r[0]): r[1] for r in
-                 ready.groupBy(f"{target}_band").agg(F.avg(target)).limit(bands + 1).collect()}
+                 ready.groupBy(f"{target}_band").agg(F.avg(target)).collect()}
         width = len(prepare.stages[-1].mean)
         network = MultilayerPerceptronClassifier(
             featuresCol=f"{target}_features", labelCol=f"{target}_band",
@@ -231,7 +239,7 @@ def player_pipeline(regressor) -> Pipeline:
 
 def score_players(players: DataFrame, model: PipelineModel, ingest_time: str = "kafka_ingest_timestamp") -> DataFrame:
     """Messages to scored rows; the same call serves a table and a stream."""
-    scored = model.transform(spread(scorable_players(players)))
+    scored = model.transform(scorable_players(players))
     return project_contract(scored.withColumns({
         "predicted_market_value": F.col("prediction"),
         "kafka_ingest_timestamp": F.col(ingest_time),

@@ -13,7 +13,6 @@ from tidewright.operators import features as ft
 from tidewright.operators import models as M
 from tidewright.operators.metrics import regression_metrics
 from tidewright.operators.quality import nonempty, require_values
-from tidewright.session import spread
 
 CALENDAR = ["year", "month", "day"]
 TICK_NUMBERS = ["buy_price", *CALENDAR]
@@ -57,7 +56,7 @@ class Trained:
     label: str
 
     def scored(self) -> DataFrame:
-        return self.model.transform(spread(self.rows))
+        return self.model.transform(self.rows)
 
     def metrics(self) -> DataFrame:
         """Training, validation and test quality from one pass over the rows."""
@@ -114,7 +113,7 @@ def fit_tick_bands(ticks: DataFrame, **settings) -> tuple[dict[str, M.BandModel]
     rows = ft.with_split(tick_rows(ticks), row_key("crawl_timestamp", "gold_type", "source"))
     train = nonempty(rows.filter(F.col("split") == "train"))
     fitted = {t: M.fit_bands(train, CALENDAR, "gold_type", t, **settings) for t in ("buy_price", "sell_price")}
-    scored = spread(rows)
+    scored = rows
     for model in fitted.values():
         scored = model.transform(scored)
     return fitted, scored

@@ -83,7 +83,7 @@ def clean_players(spark, sf):
 # --- texts of device tiles ------------------------------------------------------------------
 
 SOLD_SQL = """CASE WHEN sold LIKE '%K' THEN CAST(trunc(CAST(replace(regexp_extract(sold, '([0-9,]+)K', 1), ',', '.')
-              AS DOUBLE) * 1000) AS INTEGER) ELSE CAST(sold AS INTEGER) END"""
+              AS DECIMAL(18, 6)) * 1000) AS INTEGER) ELSE CAST(sold AS INTEGER) END"""
 STORAGE_SQL = r"""nullif(regexp_extract(name, ' ([0-9]+(?:GB|TB))/([0-9]+(?:GB|TB))$', 1), '')"""
 ROM_SQL = r"""nullif(regexp_extract(name, '[ /]([0-9]+(?:GB|TB))$', 1), '')"""
 

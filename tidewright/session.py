@@ -8,9 +8,6 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Rows up to which a lookup table may be broadcast. Callers measure before they hint.
-BROADCAST_MAX_ROWS = 100_000
-
 RUNTIME_SETTINGS = {
     # Zone-less timestamps are taken as UTC throughout.
     "spark.sql.session.timeZone": "UTC",
@@ -49,19 +46,6 @@ def apply_runtime_settings(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Rows dealt out over all cores when the input comes in fewer pieces than that.
-
-    For work that costs far more per row than moving the row, such as tree
-    models. A large input already has more splits than cores and is left as it is,
-    and so is the output of a shuffle, whose pieces are only known when it has run.
-    """
-    if df.isStreaming or "Exchange" in df._jdf.queryExecution().executedPlan().toString():
-        return df
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
-
-
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach, as named in ``spark.checkpoint.dir``.
 

@@ -18,7 +18,7 @@ from tidewright.functions import text as X
 LIST_ITEM = r"(?s)<li[^>]*>(.*?)</li>"
 TABLE_ROW = r"(?s)<tr[^>]*>(.*?)</tr>"
 TABLE_CELL = r"(?s)<td[^>]*>(.*?)</td>"
-HREF = r'href="([^"]*)"'
+HREF = r'<a\s(?:[^>]*?\s)?href="([^"]*)"'
 TITLE = r"(?s)<title>(.*?)</title>"
 HEADING = r"(?s)<h1[^>]*>(.*?)</h1>"
 PAGE_LANG = r'<html lang="([^"]*)"'

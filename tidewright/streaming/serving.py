@@ -5,13 +5,17 @@ costs what the batch costs, whatever the size of the table. Reading applies the
 batches after the last compacted base to it; while they are small the base is
 not shuffled for that. ``compact`` writes a new base.
 
-A folder counts once Spark has put its ``_SUCCESS`` file there; a batch that is
-repeated after a failure overwrites its own folder. Both together make the
-table exactly-once under any restart.
+A folder counts once Spark has put its ``_SUCCESS`` file there. Each writer has folders of
+its own (a stream is named after its checkpoint), so a writer that starts numbering again
+from 0 on a new checkpoint overwrites nothing. A batch that is repeated overwrites its own
+folder; if a base holds that folder already, the repetition is stored beside it and applies
+as the newest arrival. A base lists the folders folded into it, and each row carries the
+time at which it was stored, which is the order of arrival.
 """
 
 from __future__ import annotations
 
+import time
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -42,48 +46,61 @@ class ServingTable:
 
     # --- writing ---
 
-    def apply(self, batch: DataFrame, batch_id: int) -> None:
-        """Store one batch; rows without a full key are left out, as they cannot be addressed."""
-        keyed = batch.dropna(subset=list(self.keys)).withColumn(ARRIVAL, F.lit(batch_id).cast("long"))
+    def apply(self, batch: DataFrame, batch_id: int, writer: str = "batch") -> None:
+        """Store one batch; rows without a full key are left out, as they cannot be addressed.
+
+        The same writer and number again stand for the same batch: it replaces what it wrote.
+        """
+        spark = batch.sparkSession
+        folded, name, again = self._folded_names(spark), f"{writer}.{batch_id}", 0
+        while name in folded:
+            again += 1
+            name = f"{writer}.{batch_id}.{again}"
+        stamp = F.lit(time.time_ns() // 1000).cast("long")
+        keyed = batch.dropna(subset=list(self.keys)).withColumn(ARRIVAL, stamp)
         fold = latest_per_key if self.mode == REPLACE else last_values_per_key
-        fold(keyed, self.keys, self.order).write.mode("overwrite").parquet(self._folder("changes", batch_id))
+        fold(keyed, self.keys, self.order).write.mode("overwrite").parquet(self._folder("changes", name))
 
     def follow(self, rows: DataFrame, checkpoint: str, every: str | None = None,
                compact_every: int | None = None) -> StreamingQuery:
         """Feed from a stream; ``compact_every`` batches the changes are folded into a new base."""
         def store(batch: DataFrame, batch_id: int) -> None:
-            self.apply(batch, batch_id)
+            # The id that the checkpoint gives the stream; a new checkpoint is a new writer.
+            stream = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+            self.apply(batch, batch_id, f"stream-{stream}")
             if compact_every and (batch_id + 1) % compact_every == 0:
                 self.compact(batch.sparkSession)
 
         return each_batch(rows, store, checkpoint, every)
 
     def compact(self, spark: SparkSession) -> None:
-        """Fold everything stored so far into a new base, named after its last batch."""
-        batches = self._committed(spark, "changes")
-        base = self._committed(spark, "base")
-        if not batches or (base and base[-1] >= batches[-1]):
+        """Fold everything stored so far into a new base, which lists what it holds."""
+        changes, held = self._committed(spark, "changes"), self._folded_names(spark)
+        if not set(changes) - held:
             return  # nothing new since the last base
         table = self._folded(spark)
         if self.partition_by:
             # AQE splits a partition value that holds most rows and merges small ones.
             table = table.hint("rebalance", *self.partition_by)
+        number = max(self._bases(spark), default=-1) + 1
+        names = spark.createDataFrame([(name,) for name in changes], "name string")
+        names.coalesce(1).write.mode("overwrite").parquet(self._folder("folded", number))
         writer = table.write.mode("overwrite")
         if self.partition_by:
             writer = writer.partitionBy(*self.partition_by)
-        writer.parquet(self._folder("base", batches[-1]))
+        writer.parquet(self._folder("base", number))
 
     def vacuum(self, spark: SparkSession, keep: int = 2) -> None:
         """Remove bases older than the last ``keep`` and the changes they all contain.
 
         Readers that started on a base that is kept are not disturbed.
         """
-        bases = self._committed(spark, "base")
+        bases = self._bases(spark)
         if len(bases) <= keep:
             return
-        oldest = bases[-keep]
-        expired = [self._folder("base", b) for b in bases if b < oldest]
-        expired += [self._folder("changes", b) for b in self._committed(spark, "changes") if b <= oldest]
+        oldest, present = bases[-keep], set(self._committed(spark, "changes"))
+        expired = [self._folder(kind, b) for b in bases if b < oldest for kind in ("base", "folded")]
+        expired += [self._folder("changes", name) for name in self._names_in(spark, oldest) & present]
         for folder in expired:
             path = spark._jvm.org.apache.hadoop.fs.Path(folder)
             path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
@@ -94,16 +111,16 @@ class ServingTable:
         return self._folded(spark).drop(ARRIVAL)
 
     def _folded(self, spark: SparkSession) -> DataFrame:
-        base = self._committed(spark, "base")
-        covered = base[-1] if base else -1
-        later = [self._folder("changes", b) for b in self._committed(spark, "changes") if b > covered]
-        stored = spark.read.parquet(self._folder("base", covered)) if base else None
+        bases = self._bases(spark)
+        held = self._folded_names(spark)
+        later = [self._folder("changes", name) for name in self._committed(spark, "changes") if name not in held]
+        stored = spark.read.parquet(self._folder("base", bases[-1])) if bases else None
         if not later:
             if stored is None:
                 raise ValueError(f"nothing stored at {self.path}")
             return stored
-        # The newest folder's schema for all: one footer read, and a field that came later is NULL before.
-        changes = spark.read.schema(spark.read.parquet(later[-1]).schema).parquet(*later)
+        # All columns of all folders: a batch may hold a part of them, the rest is NULL there.
+        changes = spark.read.option("mergeSchema", "true").parquet(*later)
         if self.mode == REPLACE:
             order = [*self.order, ARRIVAL]
             return latest_per_key(changes, self.keys, order) if stored is None else \
@@ -113,14 +130,25 @@ class ServingTable:
 
     # --- folders ---
 
-    def _folder(self, kind: str, number: int) -> str:
-        return f"{self.path}/{kind}/{number}"
+    def _folder(self, kind: str, name: str | int) -> str:
+        return f"{self.path}/{kind}/{name}"
+
+    def _bases(self, spark: SparkSession) -> list[int]:
+        return sorted(int(name) for name in self._committed(spark, "base"))
+
+    def _names_in(self, spark: SparkSession, base: int) -> set[str]:
+        return {row["name"] for row in spark.read.parquet(self._folder("folded", base)).collect()}
+
+    def _folded_names(self, spark: SparkSession) -> set[str]:
+        """Change folders that the last base holds; one name per batch that is still stored."""
+        bases = self._bases(spark)
+        return self._names_in(spark, bases[-1]) if bases else set()
 
-    def _committed(self, spark: SparkSession, kind: str) -> list[int]:
+    def _committed(self, spark: SparkSession, kind: str) -> list[str]:
         path_of = spark._jvm.org.apache.hadoop.fs.Path
         root = path_of(f"{self.path}/{kind}")
         fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
         if not fs.exists(root):
             return []
         folders = [status.getPath() for status in fs.listStatus(root)]
-        return sorted(int(f.getName()) for f in folders if fs.exists(path_of(f, "_SUCCESS")))
+        return sorted(f.getName() for f in folders if fs.exists(path_of(f, "_SUCCESS")))
