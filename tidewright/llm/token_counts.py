@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewright.llm.common import per_batch
+from tidewright.llm.common import kept_table, per_batch
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 RANGE = 1024
@@ -52,7 +52,8 @@ def length_histogram(lengths: DataFrame) -> DataFrame:
     """A row per length that occurs: n_tokens, n_docs, docs_at_least, tokens_at_least,
     docs_longer, truncated_total (tokens left if this length is the context limit) and
     quantile (share of documents no longer than it)."""
-    counts = lengths.groupBy("n_tokens").agg(F.count("*").alias("n_docs")).withColumns(
+    # Two branches read the counts, so they are written once; else Spark would encode every text twice.
+    counts = kept_table(lengths.groupBy("n_tokens").agg(F.count("*").alias("n_docs")), "length-counts").withColumns(
         {"range": F.floor(F.col("n_tokens") / RANGE), "tokens": F.col("n_tokens") * F.col("n_docs")})
     ranges = counts.groupBy("range").agg(F.sum("n_docs").alias("r_docs"), F.sum("tokens").alias("r_tokens"))
     down = Window.orderBy(F.col("range").desc()).rowsBetween(Window.unboundedPreceding, -1)
