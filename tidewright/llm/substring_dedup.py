@@ -399,9 +399,10 @@ def substring_dedup(docs: DataFrame, bucket_bytes: int = BUCKET_BYTES, hot: int
 
     found = parts.where(F.col("kind") == RUN).select("bucket", "doc_id", "row_key", "hash_a", "bytes", "place").groupBy("bucket").applyInArrow(
         transform_group, "doc_id long, row_key long, places binary").groupBy("doc_id", "row_key").agg(F.collect_list("places").alias("places"))
-    windows = parts.where(F.col("kind") == WINDOW).select("hash_a", "hash_b", F.coalesce("doc_id", null_id).alias("doc"), "doc_id", "row_key", "place")
-    least = windows.groupBy("hash_a", "hash_b").agg(F.min("doc").alias("least"), F.max("doc").alias("most")).where("least < most").withColumnsRenamed({"hash_a": "l_a", "hash_b": "l_b"})
-    lone = windows.join(least, (F.col("hash_a") == F.col("l_a")) & (F.col("hash_b") == F.col("l_b"))).where("doc > least").groupBy("doc_id", "row_key").agg(F.collect_list("place").alias("lone"))
+    windows = parts.where(F.col("kind") == WINDOW).select("hash_a", "hash_b", "doc_id", "row_key", "place")
+    doc = F.coalesce("doc_id", null_id)
+    least = windows.groupBy("hash_a", "hash_b").agg(F.min(doc).alias("least"), F.max(doc).alias("most")).where("least < most").withColumnsRenamed({"hash_a": "l_a", "hash_b": "l_b"})
+    lone = windows.join(least, (F.col("hash_a") == F.col("l_a")) & (F.col("hash_b") == F.col("l_b"))).where(doc > F.col("least")).groupBy("doc_id", "row_key").agg(F.collect_list("place").alias("lone"))
     waiting = parts.where(F.col("kind") == WAITING).select("doc_id", "row_key", "bytes", "spans")
     for part, prefix in ((found, "p"), (lone, "q")):
         part = part.withColumnsRenamed({"doc_id": f"{prefix}_id", "row_key": f"{prefix}_key"})
