@@ -92,6 +92,18 @@ def test_one_hot_width_equals_encoder(spark):
     assert len(ours[0].slots) == 6
 
 
+def test_one_hot_gives_every_label_its_own_slot_when_unseen_is_kept(spark):
+    seen = spark.createDataFrame([("a",), ("a",), ("b",)], "c string")
+    fresh = spark.createDataFrame([("a",), ("b",), ("z",), (None,)], "c string")
+    theirs = StringIndexer(inputCol="c", outputCol="i", handleInvalid="keep").fit(seen)
+    encoder = OneHotEncoder(inputCol="i", outputCol="v").fit(theirs.transform(seen))
+    want = sorted((str(r.c), *r.s) for r in encoder.transform(theirs.transform(fresh)).select("c", vector_to_array("v").alias("s")).collect())
+    codes = ft.frequency_index(seen, "c")
+    ours = ft.one_hot(ft.apply_index(fresh, codes, "c", "x"), "x", codes.count() + 1, "h")
+    assert sorted((str(r.c), r.h_0, r.h_1) for r in ours.collect()) == want
+    assert ("b", 0.0, 1.0) in want
+
+
 # --- scaling -------------------------------------------------------------------------
 
 

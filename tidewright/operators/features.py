@@ -112,7 +112,11 @@ def apply_index(df: DataFrame, labels: DataFrame, column: str, output: str, inva
 
 
 def one_hot(df: DataFrame, index: str, size: int, prefix: str) -> DataFrame:
-    """``size - 1`` indicator columns; the last index is all zeros."""
+    """``size - 1`` indicator columns; the last index is all zeros.
+
+    After ``apply_index`` with ``keep``, ``size`` is the number of labels + 1: each label
+    has its own column and only the unseen or NULL label is all zeros.
+    """
     return df.withColumns({
         f"{prefix}_{i}": F.when(F.col(index) == i, F.lit(1.0)).otherwise(F.lit(0.0)) for i in range(size - 1)
     })

@@ -76,6 +76,23 @@ def one_hot(spark, sf):
     return ft.one_hot(indexed, "type_index", labels.count(), "type").drop("type_index")
 
 
+@query("one_hot_unseen", """
+WITH codes AS (
+  SELECT CAST(quality AS VARCHAR) AS code, row_number() OVER (ORDER BY count(*) DESC, CAST(quality AS VARCHAR)) - 1 AS place
+  FROM labels WHERE quality IS NOT NULL GROUP BY quality)
+SELECT d.doc_id,
+       CASE WHEN place = 0 THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS quality_0,
+       CASE WHEN place = 1 THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS quality_1
+FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id LEFT JOIN codes ON CAST(l.quality AS VARCHAR) = code""")
+def one_hot_unseen(spark, sf):
+    """Documents without a label get neither column; the last label keeps its own."""
+    marks = B.table(spark, sf, "labels").select("doc_id", F.col("quality").cast("string").alias("quality"))
+    codes = ft.frequency_index(marks, "quality")
+    docs = B.table(spark, sf, "documents").select("doc_id").join(marks, "doc_id", "left")
+    indexed = ft.apply_index(docs, codes, "quality", "quality_index")
+    return ft.one_hot(indexed, "quality_index", codes.count() + 1, "quality").drop("quality", "quality_index")
+
+
 @query("log_features", "WITH " + B.PLAYERS_SQL + """
 SELECT player_id, round(ln(1 + CAST(goals AS DOUBLE)), 9) AS goals_log,
        round(ln(1 + CAST(appearances AS DOUBLE)), 9) AS appearances_log,
