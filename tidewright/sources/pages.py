@@ -15,49 +15,49 @@ from tidewright.functions import numbers as N
 from tidewright.functions import text as X
 
 # --- fixed values: patterns ----------------------------------------------------
-LIST_ITEM = r"(?s)<li[^>]*>(.*?)</li>"
-TABLE_ROW = r"(?s)<tr[^>]*>(.*?)</tr>"
-TABLE_CELL = r"(?s)<td[^>]*>(.*?)</td>"
+LIST_ITEM = r"(?s)<li\b[^>]*>(.*?)</li>"
+TABLE_ROW = r"(?s)<tr\b[^>]*>(.*?)</tr>"
+TABLE_CELL = r"(?s)<td\b[^>]*>(.*?)</td>"
 HREF = r'<a\s(?:[^>]*?\s)?href="([^"]*)"'
 TITLE = r"(?s)<title>(.*?)</title>"
-HEADING = r"(?s)<h1[^>]*>(.*?)</h1>"
+HEADING = r"(?s)<h1\b[^>]*>(.*?)</h1>"
 PAGE_LANG = r'<html lang="([^"]*)"'
 ANCHOR_TEXT = r"(?s)<a [^>]*>(.*?)</a>"
 TAG = r"(?s)<[^>]*>"
 # price table page
-PRICE_NAME = r"(?s)<h2[^>]*>(.*?)</h2>"
-PRICE_VALUE = r'(?s)<span[^>]*class="fixW"[^>]*>(.*?)</span>'
+PRICE_NAME = r"(?s)<h2\b[^>]*>(.*?)</h2>"
+PRICE_VALUE = r'(?s)<span\b[^>]*class="fixW"[^>]*>(.*?)</span>'
 # product listing page
-PRODUCT_TILE = r'(?s)<li[^>]*class="[^"]*\bitem\b[^"]*"[^>]*>(.*?)</li>'
-TILE_LINK = r'(?s)(<a[^>]*class="[^"]*\bmain-contain\b[^"]*"[^>]*>)'
-TILE_NAME = r"(?s)<h3[^>]*>(.*?)</h3>"
-NEW_MODEL_BADGE = r'(?s)<span[^>]*class="newModel"[^>]*>.*?</span>'
-RATING_BOX = r'(?s)<div[^>]*class="rating_Compare has_compare has_quantity"[^>]*>(.*?)</div>'
+PRODUCT_TILE = r'(?s)<li\b[^>]*class="[^"]*\bitem\b[^"]*"[^>]*>(.*?)</li>'
+TILE_LINK = r'(?s)(<a\b[^>]*class="[^"]*\bmain-contain\b[^"]*"[^>]*>)'
+TILE_NAME = r"(?s)<h3\b[^>]*>(.*?)</h3>"
+NEW_MODEL_BADGE = r'(?s)<span\b[^>]*class="newModel"[^>]*>.*?</span>'
+RATING_BOX = r'(?s)<div\b[^>]*class="rating_Compare has_compare has_quantity"[^>]*>(.*?)</div>'
 NOT_RATED = "Chưa có đánh giá"
-PHONE_SCREEN = r'(?s)<div[^>]*class="item-compare gray-bg"[^>]*>(.*?)</div>'
-PHONE_PRICE = r'(?s)<strong[^>]*class="price"[^>]*>(.*?)</strong>'
-PHONE_OLD_PRICE = r'(?s)<p[^>]*class="price-old[^"]*"[^>]*>(.*?)</p>'
-PHONE_PERCENT = r'(?s)<span[^>]*class="percent"[^>]*>(.*?)</span>'
-SPAN = r"(?s)<span[^>]*>(.*?)</span>"
-BOLD = r"(?s)<b[^>]*>(.*?)</b>"
+PHONE_SCREEN = r'(?s)<div\b[^>]*class="item-compare gray-bg"[^>]*>(.*?)</div>'
+PHONE_PRICE = r'(?s)<strong\b[^>]*class="price"[^>]*>(.*?)</strong>'
+PHONE_OLD_PRICE = r'(?s)<p\b[^>]*class="price-old[^"]*"[^>]*>(.*?)</p>'
+PHONE_PERCENT = r'(?s)<span\b[^>]*class="percent"[^>]*>(.*?)</span>'
+SPAN = r"(?s)<span\b[^>]*>(.*?)</span>"
+BOLD = r"(?s)<b\b[^>]*>(.*?)</b>"
 # profile page
 PROFILE = {
-    "name": r'(?s)<h1[^>]*class="data-header__headline-wrapper"[^>]*>(.*?)</h1>',
-    "player_club": r'(?s)<span[^>]*class="data-header__club"[^>]*>(.*?)</span>',
-    "age": r'(?s)<li[^>]*class="data-header__label"[^>]*>.*?\(([0-9]+)\).*?</li>',
+    "name": r'(?s)<h1\b[^>]*class="data-header__headline-wrapper"[^>]*>(.*?)</h1>',
+    "player_club": r'(?s)<span\b[^>]*class="data-header__club"[^>]*>(.*?)</span>',
+    "age": r'(?s)<li\b[^>]*class="data-header__label"[^>]*>.*?\(([0-9]+)\).*?</li>',
     "position": r'(?s)<dd[^>]*class="detail-position__position"[^>]*>(.*?)</dd>',
-    "market_value": r'(?s)<a[^>]*class="data-header__market-value-wrapper"[^>]*>(.*?)</a>',
-    "nationality": r'(?s)<span[^>]*itemprop="nationality"[^>]*>(.*?)</span>',
+    "market_value": r'(?s)<a\b[^>]*class="data-header__market-value-wrapper"[^>]*>(.*?)</a>',
+    "nationality": r'(?s)<span\b[^>]*itemprop="nationality"[^>]*>(.*?)</span>',
 }
 PROFILE_HEIGHT = r"(?s)Height:.*?([0-9].*?)\n"
 PROFILE_AGENT = r"(?s)Agent:.*?([A-Za-z].*?)\n"
 PROFILE_CONTRACT = r"Contract expires: (.*)"
 INFO_LABEL_NAME = (
-    r'(?is)<span[^>]*class="info-table__content info-table__content--regular"[^>]*>[^<]*name[^<]*</span>'
+    r'(?is)<span\b[^>]*class="info-table__content info-table__content--regular"[^>]*>[^<]*name[^<]*</span>'
 )
-INFO_BOLD = r'(?s)<span[^>]*class="info-table__content info-table__content--bold"[^>]*>(.*?)</span>'
-STAT_CENTRED = r'(?s)<td[^>]*class="zentriert"[^>]*>(.*?)</td>'
-STAT_RIGHT = r'(?s)<td[^>]*class="rechts"[^>]*>(.*?)</td>'
+INFO_BOLD = r'(?s)<span\b[^>]*class="info-table__content info-table__content--bold"[^>]*>(.*?)</span>'
+STAT_CENTRED = r'(?s)<td\b[^>]*class="zentriert"[^>]*>(.*?)</td>'
+STAT_RIGHT = r'(?s)<td\b[^>]*class="rechts"[^>]*>(.*?)</td>'
 # which centred cell (0-based) holds which stat
 STAT_CELLS = {
     "appearances": 1, "PPG": 2, "goals": 3, "assists": 4, "own_goals": 5, "substitutions_on": 6,
