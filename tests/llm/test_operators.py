@@ -215,6 +215,37 @@ def test_near_duplicates(spark, documents):
     assert all(min(v) == k for k, v in got.items())
 
 
+def test_near_duplicates_in_large_buckets(spark):
+    """Copies of one text at about the threshold to each other, also over several blocks."""
+    rng = random.Random(11)
+    base, texts = sentence(rng, 600).split(), []
+    for k in range(300):
+        # Nine edits: most texts are below the threshold to each other, some share five places and are at 0.803.
+        places = rng.sample(range(0, 595, 5), 9)
+        if k >= 240:
+            places = [*last[:5], *rng.sample(sorted(set(range(0, 595, 5)) - set(last)), 4)] if k % 2 else places
+            last = places
+        words = base[:]
+        for at in places:
+            words[at + 4] = f"w{rng.randrange(10 ** 6)}"
+        texts.append((k, " ".join(words)))
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    want = brute_classes(texts)
+    assert len(want) > 1 and max(map(len, want)) > 1
+    got = {}
+    for r in near_dedup.near_duplicates(docs).collect():
+        got.setdefault(r.class_id, []).append(r.doc_id)
+    assert {tuple(sorted(v)) for v in got.values()} == want
+
+
+def test_common_counts():
+    rng = np.random.default_rng(3)
+    sides = [np.unique(rng.integers(0, 2000, (n * 40, 1)) ** 2 // 2000 * 100 + rng.integers(0, n, (n * 40, 1)), axis=0)[:, 0] for n in (30, 20)]
+    left, right = [((s // 100).astype(np.uint64), s % 100) for s in sides]
+    sets = [[set(u[t == k].tolist()) for k in range(n)] for (u, t), n in ((left, 30), (right, 20))]
+    assert near_dedup.common_counts(left, right, 30, 20).tolist() == [[len(a & b) for b in sets[1]] for a in sets[0]]
+
+
 def test_near_duplicates_odd(odd, none):
     got = near_dedup.near_duplicates(odd).collect()
     assert len(got) == odd.count()

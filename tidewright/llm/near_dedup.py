@@ -11,12 +11,16 @@ their similarity: a pair at 0.8 meets in a band with more than 0.9999.
 
 Texts with the same words are one class from the start (an aggregate, so a group of copies
 of any size costs nothing later). Their representatives meet in buckets of equal bands. A
-bucket of up to SMALL members gives its pairs. In larger ones each member is paired with the
-members in the middle of the group (those that share most buckets) and, with the members
-dealt into cells of a few by a hash that differs from band to band, with its cell; members
-of dense groups meet many of each other over 32 bands. Every pair is then checked on the
-whole texts, and the classes are the components over pairs at or above the threshold, found
-by pointing ids at their least neighbours and contracting the links.
+bucket of up to SMALL members gives its pairs. In larger ones each member is first paired
+with the member in the middle of the group (the one that shares most buckets) and, with the
+members dealt into cells of a few by a hash that differs from band to band, with its cell;
+this joins most of a dense group with few pairs. Every pair is checked on the whole texts,
+and components over pairs at or above the threshold are found by pointing ids at their least
+neighbours and contracting the links. Large buckets that still hold members of several
+components are then compared whole: their members are dealt to blocks, and each two blocks
+meet in a group of their own, which counts the common shingles of all its pairs. Only blocks
+that lie in one and the same component aren't compared, as their links could change nothing.
+So every two texts that share a band are compared or in one class already.
 
 A text of fewer than five words has one shingle of all of them. A null text or one without
 words is like no other and is a class of its own. Class ids are the least doc_id of the
@@ -40,6 +44,8 @@ THRESHOLD = 0.8
 BANDS, ROWS = 32, 6
 COORDINATES = BANDS * ROWS
 SMALL = 24
+#: Most members and about the most bytes of text of a block of a large bucket.
+BLOCK, BLOCK_BYTES = 256, 1 << 21
 #: Darts per document in the first throw: enough for all coordinates of most documents.
 DARTS = COORDINATES * (np.log(COORDINATES) + 2.0)
 _STEP = np.uint64(0xD6E8FEB86659FD93)
@@ -142,11 +148,15 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(per_batch(work), f"doc_id {key}, words_a long, words_b long, bands array<long>")
 
 
-def candidate_pairs(bands: DataFrame) -> DataFrame:
-    """Distinct (a, b), a < b, from (id, bands)."""
+def shared_buckets(bands: DataFrame) -> DataFrame:
+    """(id, band, hash, members) of buckets with two members or more, from (id, bands)."""
     rows = bands.select("id", F.posexplode("bands").alias("band", "hash"))
     sizes = rows.groupBy("band", "hash").agg(F.count("*").alias("members")).where("members > 1").withColumnsRenamed({"band": "s_band", "hash": "s_hash"})
-    shared = kept_table(rows.join(sizes, (F.col("band") == F.col("s_band")) & (F.col("hash") == F.col("s_hash"))).select("id", "band", "hash", "members"), "buckets")
+    return kept_table(rows.join(sizes, (F.col("band") == F.col("s_band")) & (F.col("hash") == F.col("s_hash"))).select("id", "band", "hash", "members"), "buckets")
+
+
+def candidate_pairs(shared: DataFrame) -> DataFrame:
+    """Distinct (a, b), a < b: all of small buckets, cells and stars of large ones."""
     small = shared.where(F.col("members") <= SMALL).withColumn("cell", F.lit(0).cast("bigint"))
     large = shared.where(F.col("members") > SMALL)
     cells = large.withColumn("cell", F.pmod(F.xxhash64("id", "band"), F.ceil(F.col("members") * 6 / SMALL)))
@@ -198,6 +208,128 @@ def verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     return joined.mapInArrow(per_batch(work), "a long, b long")
 
 
+def common_counts(left: tuple[np.ndarray, np.ndarray], right: tuple[np.ndarray, np.ndarray], n: int, m: int) -> np.ndarray:
+    """Common units of each of n texts with each of m; a side is (unit, text) without repeats."""
+    units = np.intersect1d(left[0], right[0])
+    out = np.zeros((n, m), np.float64)
+    if not len(units):
+        return out
+    sides = []
+    for unit, text in (left, right):
+        at = np.minimum(np.searchsorted(units, unit), len(units) - 1)
+        known = units[at] == unit
+        order = np.argsort(at[known], kind="stable")
+        place, owner = at[known][order], text[known][order]
+        sides.append((place, owner, np.searchsorted(place, np.arange(len(units) + 1))))
+    (a_place, a_text, a_of), (b_place, b_text, b_of) = sides
+    a_n, b_n = np.diff(a_of), np.diff(b_of)
+    rare = a_n * b_n <= 64  # pairs of few texts are listed, the rest is a product of matrices
+    each = np.where(rare[a_place], b_n[a_place], 0)
+    for i in range(0, len(a_place), 1 << 16):
+        some = each[i:i + (1 << 16)]
+        of = np.repeat(np.arange(len(some)), some)
+        nth = np.arange(len(of)) - np.repeat(np.cumsum(some) - some, some)
+        other = b_text[b_of[a_place[i + of]] + nth]
+        out += np.bincount(a_text[i + of] * m + other, minlength=n * m).reshape(n, m)
+    common = np.flatnonzero(~rare)
+    for i in range(0, len(common), 4096):
+        column = np.full(len(units), -1)
+        column[common[i:i + 4096]] = np.arange(len(common[i:i + 4096]))
+        dense = []
+        for (place, owner, _), size in zip(sides, (n, m), strict=True):
+            x = np.zeros((size, min(4096, len(common) - i)), np.float32)
+            here = column[place] >= 0
+            x[owner[here], column[place[here]]] = 1
+            dense.append(x)
+        out += dense[0] @ dense[1].T
+    return out
+
+
+def block_links(group: pa.Table, threshold: float) -> pa.Table:
+    """Links (a, b) of roots, enough to join them, between similar texts of two blocks (or of one, without side 1)."""
+    side = group["side"].to_numpy()
+    root = group["root"].to_numpy()
+    here = np.flatnonzero(side == 0)
+    there = np.flatnonzero(side == 1)
+    texts = group["text"].combine_chunks()
+    sides = []
+    for rows in (here, there) if len(there) else (here,):
+        units, texts_of, weights = [], [], np.zeros(len(rows))
+        data, offsets = A.text_bytes(texts.take(pa.array(rows)))
+        for i, j, part, bounds in A.chunks(data, offsets):
+            hashes, nth, owner = weighted_shingles(part, bounds)
+            units.append(A.mix(hashes + A.mix(nth.astype(np.uint64) + np.uint64(11))))
+            texts_of.append(owner + i)
+            weights[i:j] = np.bincount(owner, minlength=j - i)
+        sides.append(((np.concatenate(units), np.concatenate(texts_of)), weights, root[rows]))
+    (a, a_weight, a_root), (b, b_weight, b_root) = sides[0], sides[-1]
+    common = common_counts(a, b, len(a_weight), len(b_weight))
+    total = a_weight[:, None] + b_weight[None, :] - common
+    alike = (common >= (threshold - 1e-12) * total) & (common > 0) & (a_root[:, None] != b_root[None, :])
+    found: list[tuple[int, int]] = []
+    up: dict[int, int] = {}
+
+    def top(x: int) -> int:
+        while up.get(x, x) != x:
+            x = up[x]
+        return x
+
+    for i, j in zip(*np.nonzero(alike), strict=True):
+        x, y = sorted((top(int(a_root[i])), top(int(b_root[j]))))
+        if x != y:
+            up[y] = x
+            found.append((x, y))
+    return pa.table({"a": pa.array([x for x, _ in found], pa.int64()), "b": pa.array([y for _, y in found], pa.int64())})
+
+
+def links_across(shared: DataFrame, roots: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """Links (a, b) of roots between similar texts of a large bucket; ``roots`` has (id, root), ``texts`` (id, text, bytes).
+
+    A root with a block's worth of members in a bucket has blocks of its own there, the others
+    share blocks. A block is drawn by hash, so no task gathers a bucket.
+    """
+    named = roots.select(F.col("id").alias("r_id"), "root")
+    weights = texts.select(F.col("id").alias("w_id"), "bytes")
+    members = shared.where(F.col("members") > SMALL).join(named, F.col("id") == F.col("r_id"), "left").select(
+        "id", "band", "hash", F.coalesce("root", "id").alias("root"))
+    ends = members.groupBy("band", "hash").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select(
+        F.col("band").alias("e_band"), F.col("hash").alias("e_hash"))
+    mixed = kept_table(members.join(ends, (F.col("band") == F.col("e_band")) & (F.col("hash") == F.col("e_hash"))).join(
+        weights, F.col("id") == F.col("w_id")).select("id", "band", "hash", "root", "bytes"), "mixed")
+    if mixed.isEmpty():
+        return mixed.select(F.col("root").alias("a"), F.col("root").alias("b"))
+
+    def blocks(n, size):
+        return F.greatest(F.ceil(n / BLOCK), F.ceil(size / BLOCK_BYTES))
+
+    per_root = mixed.groupBy("band", "hash", "root").agg(F.count("*").alias("n"), F.sum("bytes").alias("size"))
+    # A root of its own is named; -1 as root stands for all others of the bucket.
+    own = F.col("n") >= BLOCK
+    per_root = kept_table(per_root.select("band", "hash", "root", "n", "size", own.alias("own")), "roots")
+    parts = per_root.groupBy("band", "hash", "own", F.when(F.col("own"), F.col("root")).alias("of")).agg(
+        blocks(F.sum("n"), F.sum("size")).alias("blocks"))
+    parts = kept_table(parts, "parts")
+    key = per_root.select(F.col("band").alias("k_band"), F.col("hash").alias("k_hash"), F.col("root").alias("k_root"), "own")
+    placed = mixed.join(key, (F.col("band") == F.col("k_band")) & (F.col("hash") == F.col("k_hash")) & (F.col("root") == F.col("k_root"))).select(
+        "id", "band", "hash", "root", F.when(F.col("own"), F.col("root")).alias("of"))
+    sizes = parts.select(F.col("band").alias("p_band"), F.col("hash").alias("p_hash"), F.col("of").alias("p_of"), "blocks")
+    placed = placed.join(sizes, (F.col("band") == F.col("p_band")) & (F.col("hash") == F.col("p_hash")) & F.col("of").eqNullSafe(F.col("p_of"))).select(
+        "id", "band", "hash", "root", "of", F.pmod(F.xxhash64("id"), F.col("blocks")).alias("block"))
+    listed = parts.select("band", "hash", "of", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)).alias("block"))
+    left = listed.select("band", "hash", F.col("of").alias("x_of"), F.col("block").alias("x_block"))
+    right = listed.select(F.col("band").alias("y_band"), F.col("hash").alias("y_hash"), F.col("of").alias("y_of"), F.col("block").alias("y_block"))
+    x, y = F.struct("x_of", "x_block"), F.struct("y_of", "y_block")
+    meets = left.join(right, (F.col("band") == F.col("y_band")) & (F.col("hash") == F.col("y_hash"))).where(
+        (x <= y) & (F.col("x_of").isNull() | F.col("y_of").isNull() | (F.col("x_of") != F.col("y_of")))).select("band", "hash", "x_of", "x_block", "y_of", "y_block")
+    pair = F.xxhash64("band", "hash", F.coalesce("x_of", F.lit(-1)), F.col("x_of").isNull(), "x_block", F.coalesce("y_of", F.lit(-1)), F.col("y_of").isNull(), "y_block")
+    meets = kept_table(meets.withColumn("pair", pair), "meets")
+    one = meets.select(F.col("band").alias("m_band"), F.col("hash").alias("m_hash"), F.col("x_of").alias("m_of"), F.col("x_block").alias("m_block"), "pair", F.lit(0).alias("side"))
+    other = meets.where(~x.eqNullSafe(y)).select(F.col("band").alias("m_band"), F.col("hash").alias("m_hash"), F.col("y_of").alias("m_of"), F.col("y_block").alias("m_block"), "pair", F.lit(1).alias("side"))
+    dealt = placed.join(one.union(other), (F.col("band") == F.col("m_band")) & (F.col("hash") == F.col("m_hash")) & F.col("of").eqNullSafe(F.col("m_of")) & (F.col("block") == F.col("m_block"))).select("id", "root", "pair", "side")
+    whole = dealt.join(texts.select(F.col("id").alias("t_id"), "text"), F.col("id") == F.col("t_id")).select("pair", "side", "root", "text")
+    return whole.groupBy("pair").applyInArrow(lambda group: block_links(group, threshold), "a long, b long").distinct()
+
+
 def components(links: DataFrame) -> DataFrame:
     """(id, root): the least id that each id of ``links`` (a, b) reaches.
 
@@ -230,11 +362,16 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     # Representatives: distinct texts. A row with a null id stands for itself only among null ids.
     firsts = copies.where("first_id is not null").select(F.col("first_id").alias("f_id"))
     bands = marks.join(firsts.hint("merge"), F.col("doc_id") == F.col("f_id")).select(F.col("doc_id").alias("id"), "bands").dropDuplicates(["id"])
-    pairs = kept_table(candidate_pairs(bands), "pairs")
+    shared = shared_buckets(bands)
+    pairs = kept_table(candidate_pairs(shared), "pairs")
     ends = pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "end")
     texts = docs.select("doc_id", "text").join(ends.hint("merge"), F.col("doc_id") == F.col("end"), "left_semi").select(F.col("doc_id").alias("id"), "text").dropDuplicates(["id"])
     links = kept_table(verified(pairs, texts, threshold), "verified")
-    roots = components(links).withColumnRenamed("id", "r_id")
+    near = components(links)
+    more = kept_table(links_across(shared, near, texts.withColumn("bytes", F.octet_length("text").cast("bigint")), threshold), "across")
+    if not more.isEmpty():
+        near = components(links.unionByName(more))
+    roots = near.withColumnRenamed("id", "r_id")
     classes = copies.join(roots, F.col("first_id") == F.col("r_id"), "left").select("c_a", "c_b", F.coalesce("root", "first_id").alias("class_id"))
     placed = marks.select("doc_id", "words_a", "words_b").join(classes, (F.col("words_a") == F.col("c_a")) & (F.col("words_b") == F.col("c_b")), "left").select(
         "doc_id", F.when(F.col("c_a").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"))
