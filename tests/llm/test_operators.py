@@ -368,6 +368,23 @@ def test_html_text():
     assert html_text.main_text("</p></div>text") == "text"
 
 
+def test_html_keeps_parts_of_the_article():
+    long = "A paragraph with text that goes on and on for quite a while, as running text does. " * 3
+    page = f"""<html><body><nav class="navbar"><a href=x>A</a></nav><article><h2 id="search">Search</h2><p>{long}</p><div class="table-responsive"><table><tr><td>cell one</td></tr></table></div>
+    <section id="discussion"><h3>Discussion</h3><p>{long}</p></section><section id="related-work"><p>{long}</p></section><div id="navigation-system"><p>{long}</p></div><div class="ad-box">Buy</div></article></body></html>"""
+    text = " ".join(long.split())
+    assert html_text.main_text(page) == "\n".join(["Search", text, "cell one", "Discussion", text, text, text])
+
+
+def test_html_keeps_a_lead_and_sibling_articles():
+    long, lead = "Text of the story that goes on and on for quite a while, as it does. " * 3, "The lead of the story says what the rest of it tells. " * 4
+    text = " ".join(long.split())
+    page = f"<html><body><div class='menu'><a href=x>A</a></div><div><div><p>{lead}</p></div><div>{f'<p>{long}</p>' * 12}</div></div></body></html>"
+    assert html_text.main_text(page) == "\n".join([" ".join(lead.split()), *[text] * 12])
+    two = f"<html><body><nav><a href=x>A</a></nav><article><p>{long}</p></article><article><p>{long}</p></article><footer>f</footer></body></html>"
+    assert html_text.main_text(two) == "\n".join([text, text])
+
+
 def test_html_pages(spark):
     pages = spark.createDataFrame([(1, "u", "<p>x é</p>", 5), (1, "u", "<p>x é</p>", 5), (None, None, None, None)], "page_id long, url string, html string, text int")
     got = html_text.page_texts(pages).collect()

@@ -4,9 +4,12 @@ The standard library's parser streams events; text gathers into lines, one per b
 element. Each line has its text-to-tag ratio (characters outside links over tags seen).
 Lines in parts that a page marks as no article (menus, forms, adverts, comments, ...) have
 ratio 0. The ratios are smoothed by a Gaussian, and a threshold that splits them into
-two clusters picks the lines of running text. The region of content is the container that
-holds most of their characters; all its lines that aren't marked belong to the text, so a
-short paragraph between long ones stays.
+two clusters picks the lines of running text, with those at least half as long as its
+median that are no links. The region of content is the articles that hold
+running text, if they have half of it or more, or else the innermost container of all of it;
+all its lines that aren't marked belong to the text, so a short paragraph between long ones
+stays. Marks are whole tokens of class, id and role; headings bear none, and words that also
+name parts of a text (discussion, search, related, ...) count outside articles only.
 
 White space inside a line is one space, lines are joined by one \\n, character references
 are decoded. A null or empty page has an empty text; repeated rows are handled alike; an
@@ -29,11 +32,17 @@ BLOCKS = frozenset("html body address article aside blockquote center dd details
 CONTAINERS = frozenset("html body article aside div dialog footer form header main nav section table td".split())
 NEVER = frozenset("head title script style noscript template nav header footer aside form button select option textarea input label menu dialog iframe object svg canvas audio video map search datalist".split())
 CLOSES_P = frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre search section table ul".split())
-#: Words in class, id, role or label of parts that are no article.
+#: Whole tokens of class, id or role (a number or a common ending may follow) of parts that are no article.
 MARKED = re.compile(
-    r"(?:^|[\s_\-:])(?:ad|ads|adv|advert\w*|adsense|banner|sponsor\w*|promo\w*|comment\w*|disqus|respons\w*|repl(?:y|ies)|reader|discussion|sidebar|side|aside|nav\w*|menu\w*|breadcrumb\w*|"
-    r"header|masthead|topbar|footer|foot|bottombar|cookie\w*|consent|gdpr|notice\w*|notification\w*|alert|popup|modal|overlay|newsletter|subscri\w*|signup|login|search\w*|"
-    r"share|sharing|social|related|recommend\w*|widget\w*|toolbar|pagination|pager|tags?|copyright|complementary|contentinfo|form)(?=$|[\s_\-:\d])", re.I)
+    r"(?:ad|ads|adv|advert|adverts|advertisement|advertisements|advertising|adsense|banner|sponsor|sponsored|promo|promotion|comment|comments|disqus|respond|replies|sidebar|aside|nav|navbar|navigation|menu|breadcrumb|breadcrumbs|"
+    r"masthead|topbar|footer|bottombar|cookie|cookies|consent|gdpr|notification|notifications|popup|newsletter|subscribe|subscription|signup|login|"
+    r"share|sharing|social|toolbar|pagination|pager|copyright|complementary|contentinfo)"
+    r"(?:[_-]?(?:\d+|box|bar|banner|notice|list|links?|buttons?|area|block|section|container|wrapper|menu|form|widget|slot|unit|top|bottom|left|right))*", re.I)
+#: Tokens that mark a part outside articles only: within one they name parts of the text.
+MARKED_OUTSIDE = re.compile(
+    r"(?:(?:site|page|main|global|top)[_-])?(?:header|foot|nav|navigation|menu|search)|side|reader|reader-comments|discussion|responses|reply|related|related-(?:posts|articles|links|stories)|recommended|recommendations|"
+    r"search-(?:box|form|bar)|tags?|tag-list|widgets?|widget-area|modal|overlay|alert|form|notice|notices", re.I)
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Open elements that a start tag ends, and those beyond which it doesn't look.
 IMPLIED_ENDS = {
     "li": (("li",), ("ul", "ol", "menu")), "dt": (("dt", "dd"), ("dl",)), "dd": (("dt", "dd"), ("dl",)),
@@ -80,8 +89,10 @@ class Lines(HTMLParser):
         self.links += tag == "a"
         marked = bool(self.open) and self.open[-1][1]  # an article inside a list of comments stays marked
         if not marked and tag not in ("html", "body", "article", "main"):
-            named = " ".join(v for k, v in attrs if v and k in ("class", "id", "role", "aria-label"))
-            marked = tag in NEVER or bool(named and MARKED.search(named)) or any(k in ("hidden",) or k == "aria-hidden" and v == "true" for k, v in attrs)
+            marked = tag in NEVER and not (tag == "header" and self.in_article()) or any(k in ("hidden",) or k == "aria-hidden" and v == "true" for k, v in attrs)
+            if not marked and tag not in HEADINGS:
+                tokens = [t for k, v in attrs if v and k in ("class", "id", "role") for t in v.split()]
+                marked = any(MARKED.fullmatch(t) for t in tokens) or any(MARKED_OUTSIDE.fullmatch(t) for t in tokens) and not self.in_article()
         container = 0
         if tag in CONTAINERS:
             self.containers += 1
@@ -90,6 +101,9 @@ class Lines(HTMLParser):
                 self.articles.add(container)
         self.open.append((tag, marked, container))
 
+    def in_article(self) -> bool:
+        return any(c in self.articles for _, _, c in self.open)
+
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)
         if tag not in VOID:
@@ -180,16 +194,20 @@ def main_text(html: str | None) -> str:
     content = [i for i in usable if soft[i] > cut] or usable
     if len(content) < len(usable) and not any(soft[i] <= cut and ratios[i] == 0 for i in range(len(lines))) and soft.max() < 2 * max(soft.min(), 1e-9):
         content = usable  # one cluster only
-    weight: dict[int, int] = {}
-    for i in content:
-        for container in lines[i][4]:
-            weight[container] = weight.get(container, 0) + len(lines[i][0])
-    total = sum(len(lines[i][0]) for i in content)
-    # The innermost container with most of the running text; an article where the page has one.
-    named = [c for c in weight if c in parser.articles and 2 * weight[c] >= total]
-    held = named[:1] and [min(named)] or sorted((c for c in weight if 10 * weight[c] >= 9 * total), reverse=True)
+    # A paragraph beside other tags may fall below the cut: lines like the cluster's by their own text are of it too.
+    usual = float(np.median([len(lines[i][0]) for i in content]))
+    content = [i for i in usable if soft[i] > cut or 2 * len(lines[i][0]) >= usual and 2 * lines[i][2] <= len(lines[i][0])] if len(content) < len(usable) else content
+    # Articles that hold running text, where the page has them; else the innermost container of all of it.
+    named = {c for i in content for c in lines[i][4] if c in parser.articles}
+    outer = {next(c for c in lines[i][4] if c in named) for i in content if named.intersection(lines[i][4])}
+    inside = sum(len(lines[i][0]) for i in content if outer.intersection(lines[i][4]))
+    if 2 * inside >= sum(len(lines[i][0]) for i in content):
+        held = outer
+    else:
+        held = set(lines[content[0]][4]).intersection(*[lines[i][4] for i in content])
+        held = {max(held)} if held else set()
     if held:
-        content = [i for i in usable if held[0] in lines[i][4]]
+        content = [i for i in usable if held.intersection(lines[i][4])]
     elif parser.containers:
         content = usable
     return "\n".join(lines[i][0] for i in content)
