@@ -288,6 +288,24 @@ def test_decontamination(spark, odd, none):
     assert decontaminate.contaminated(odd, bench).count() == 0
 
 
+def test_decontamination_of_long_items(spark):
+    """Parts of long items, whole ones, and ones with a third of the words replaced, in one block or several."""
+    rng = random.Random(9)
+    items = [(k, sentence(rng, n, "abcdefghijkl") + ". " + sentence(rng, 6, "abcdefghijkl")) for k, n in enumerate((300, 300, 700, 900, 300, 700))]
+    docs, want = [(i, sentence(rng, 900, "abcdefghijkl")) for i in range(10)], set()
+    for k, text in items:
+        words = text.split()
+        words = words[60:160] if k < 2 else words if k < 4 else [w if n % 3 else f"z{rng.randrange(10 ** 6)}" for n, w in enumerate(words)]
+        if k >= 4:
+            words[-6:] = text.split()[-6:]
+        docs.append((100 + k, " ".join([sentence(rng, 200), *words, sentence(rng, 200)])))
+        want.add((100 + k, k))
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    for blocks in (2048, 2):
+        assert {(r.doc_id, r.item_id) for r in decontaminate.contaminated(df, bench, block_items=blocks).collect()} == want
+
+
 def test_common_subsequence():
     rng = random.Random(4)
     for _ in range(50):

@@ -4,11 +4,13 @@ The items are split into passages and become TF-IDF vectors over their own vocab
 passage frequencies counted over all documents. A distributed randomised SVD (subspace
 iteration; Spark sums the products with the Gram matrix) gives the latent space. Every
 document is read in windows of several lengths at a quarter of their length. A window is
-compared by cosine with the items of about its length, unless the share of its TF-IDF energy
-in the items' vocabulary is too small for any match. Candidates pass if the longest common
-subsequence of the item's words with the window and its surroundings holds at least
-COPIED of the item, or at least REWORDED of it along with the item's answer (its ``answer``
-column, or else its last sentence).
+compared by cosine with the passages of about its length, unless it and its surroundings hold
+fewer words of the vocabulary than any of them needs. Candidates pass if the longest common
+subsequence of the passage's words with the window and its surroundings holds at least
+COPIED of the passage, or at least REWORDED of it along with the item's answer (its ``answer``
+column, or else its last sentence), which may be as far away as the item is long. An item of
+up to PASSAGE_WORDS words is one passage; longer ones give passages of that many words, half
+overlapping, the last one at the end. ``share`` is that of the item's best passage.
 
 Items are a query set: they are taken in blocks of ``block_items`` and each block passes over
 all documents, so a task holds one block. Words are runs of letters and digits, in lower
@@ -29,9 +31,9 @@ from tidewright.llm import arrays as A
 from tidewright.llm.common import kept_table, per_batch
 
 PASSAGE_WORDS = 64
-WINDOWS = (10, 20, 40, 80, 160)
+WINDOWS = (10, 20, 40, 80)
 RANK, OVERSAMPLE, POWERS = 128, 16, 2
-COSINE, ENERGY = 0.5, 0.3
+COSINE = 0.5
 COPIED, REWORDED = 0.7, 0.5
 ANSWER_SHARE = 0.8
 BLOCK_ITEMS = 2048
@@ -60,16 +62,24 @@ def last_sentence(text: str) -> str:
     return parts[-1] if parts else ""
 
 
+def passage_starts(n: int) -> list[int]:
+    """Where the passages of an item of n words start."""
+    return [0] if n <= PASSAGE_WORDS else [*range(0, n - PASSAGE_WORDS, PASSAGE_WORDS // 2), n - PASSAGE_WORDS]
+
+
 class Items:
-    """A block of items: their words, answers and vocabulary."""
+    """A block of items: the words of their passages, the item of each passage, answers and vocabulary."""
 
     def __init__(self, rows: list[tuple]):
-        self.ids, self.words, self.answers = [], [], []
+        self.ids, self.words, self.answers, self.sizes, self.item_of = [], [], [], [], []
         for item, text, answer in rows:
             words = _words_of(text)
             if len(words):
+                starts = passage_starts(len(words))
+                self.item_of += [len(self.ids)] * len(starts)
+                self.words += [words[k:k + PASSAGE_WORDS] for k in starts]
                 self.ids.append(item)
-                self.words.append(words)
+                self.sizes.append(len(words))
                 self.answers.append(_words_of(answer if answer else last_sentence(text)))
         self.vocabulary = np.unique(np.concatenate(self.words)) if self.words else np.zeros(0, np.uint64)
         self.lengths = np.array([len(w) for w in self.words], np.int64)
@@ -170,23 +180,20 @@ def common_subsequence(a: np.ndarray, b: np.ndarray) -> int:
 
 
 class Index:
-    """Latent vectors of the items, and the search through a text's windows."""
+    """Latent vectors of the passages, and the search through a text's windows."""
 
-    def __init__(self, items: Items, idf: np.ndarray, other: float, space: np.ndarray):
+    def __init__(self, items: Items, idf: np.ndarray, space: np.ndarray):
         self.items = items
-        self.energy = np.append(idf, other) ** 2
         self.rows = np.vstack([idf[:, None] * space, np.zeros((1, space.shape[1]))]).astype(np.float32)
         latent = np.stack([self.rows[items.slots(w)].sum(axis=0) for w in items.words])
         self.latent = latent / np.maximum(np.linalg.norm(latent, axis=1, keepdims=True), 1e-9)
-        # Each item is looked for in windows nearest to its length on a log scale.
+        # Each passage is looked for in windows nearest to its length on a log scale.
         self.window = np.array(WINDOWS)[np.argmin(np.abs(np.log(items.lengths[:, None] / np.array(WINDOWS))), axis=1)]
 
     def search(self, words: np.ndarray, of: np.ndarray):
-        """(text, item, cosine, window start, window length) of candidates."""
+        """(text, passage, cosine, window start, window length) of candidates."""
         slots = self.items.slots(words)
-        energy = self.energy[slots]
-        total = np.concatenate([[0.0], np.cumsum(energy)])
-        inside = np.concatenate([[0.0], np.cumsum(np.where(slots < len(self.items.vocabulary), energy, 0))])
+        known = np.concatenate([[0], np.cumsum(slots < len(self.items.vocabulary))])
         counts = np.diff(of)
         for size in np.unique(self.window).tolist():
             mine = np.flatnonzero(self.window == size)
@@ -195,7 +202,10 @@ class Index:
             text = np.repeat(np.arange(len(counts)), n)
             start = of[:-1][text] + (np.arange(len(text)) - np.repeat(np.cumsum(n) - n, n)) * step
             end = np.minimum(start + size, of[1:][text])
-            likely = np.flatnonzero(inside[end] - inside[start] >= ENERGY * np.maximum(total[end] - total[start], 1e-9))
+            # A passage needs REWORDED of its words around the window; all of them are in the vocabulary.
+            reach = max(size, int(self.items.lengths[mine].max())) // 2
+            around = known[np.minimum(of[1:][text], start + size + reach)] - known[np.maximum(of[:-1][text], start - reach)]
+            likely = np.flatnonzero(around >= REWORDED * self.items.lengths[mine].min())
             for k in range(0, len(likely), 2048):
                 part = likely[k:k + 2048]
                 places = np.minimum(start[part][:, None] + np.arange(size), len(words) - 1)
@@ -212,15 +222,20 @@ class Index:
                     yield int(text[part[h]]), int(mine[i]), float(cosine[h, i]), int(start[part[h]]), size
 
     def leaks(self, words: np.ndarray, of: np.ndarray) -> list[tuple[int, int, float, float, bool]]:
-        """(text, item, cosine, share of the item in common, answer found), the best per pair."""
+        """(text, item, cosine, share of its best passage in common, answer found), the best per pair."""
         best: dict[tuple[int, int], tuple[float, float, bool]] = {}
-        for text, item, cosine, start, size in self.search(words, of):
-            target, answer = self.items.words[item], self.items.answers[item]
+        for text, passage, cosine, start, size in self.search(words, of):
+            item = self.items.item_of[passage]
+            target, answer = self.items.words[passage], self.items.answers[item]
             reach = max(size, len(target)) // 2
             around = words[max(of[text], start - reach):min(of[text + 1], start + size + reach)]
+            if np.isin(target, around).sum() < REWORDED * len(target):  # no common subsequence is longer
+                continue
             share = common_subsequence(target, around) / len(target)
             if share < REWORDED:
                 continue
+            reach = max(reach, self.items.sizes[item])
+            around = words[max(of[text], start - reach):min(of[text + 1], start + size + reach)]
             found = common_subsequence(answer, around) >= ANSWER_SHARE * len(answer)
             if share >= COPIED or found:
                 best[text, item] = max(best.get((text, item), (0.0, 0.0, False)), (share, round(cosine, 4), found))
@@ -248,7 +263,6 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, block_items: int = BLOCK
             continue
         n, found = passage_frequencies(docs, held)
         idf = np.log((n + 1) / (np.maximum(found, 1)))
-        other = float(np.log(n + 1))
 
         def passages(batch: pa.RecordBatch, held=held) -> pa.RecordBatch:
             slots = []
@@ -258,7 +272,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, block_items: int = BLOCK
             return pa.RecordBatch.from_arrays([pa.array([s for s in slots if s], pa.list_(pa.int64()))], names=["slots"])
 
         rows = kept_table(part.select("text").mapInArrow(per_batch(passages), "slots array<long>"), "passages")
-        index = Index(held, idf, other, latent_space(rows, idf, rank))
+        index = Index(held, idf, latent_space(rows, idf, rank))
 
         def work(batch: pa.RecordBatch, index=index) -> pa.RecordBatch:
             data, offsets = lower_bytes(batch.column("text"))
