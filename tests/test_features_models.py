@@ -225,3 +225,22 @@ def test_boosted_market_value_pipeline(line_rows):
 def test_preview_is_ordered(spark):
     df = spark.createDataFrame([(i,) for i in (3, 1, 2)], "i int")
     assert [r.i for r in M.sample_rows(df, ["i"], 2).collect()] == [1, 2]
+
+
+def test_queries_fit_with_the_full_settings(spark, monkeypatch):
+    from tidewright.plans import model_queries as Q
+    from tidewright.plans.catalog import QUERIES
+    forest = Q.scoring_model(spark, "/root/testdata/sf0.001").stages[-1]
+    assert (forest.getNumTrees, forest.getOrDefault("maxDepth"), forest.getOrDefault("maxBins")) == (100, 20, 32)
+    assert {"fit_player_forest", "fit_device_forest"} <= set(QUERIES)
+    asked = []
+
+    def trained(spark, sf, kind, **settings):
+        asked.append((kind, settings))
+        raise InterruptedError
+
+    monkeypatch.setattr(Q, "trained", trained)
+    for name in ("fit_device_sales", "fit_player_forest", "fit_device_forest"):
+        with pytest.raises(InterruptedError):
+            QUERIES[name](spark, "unused")
+    assert asked == [("device_boosted", {}), ("player_forest", {}), ("device_forest", {})]

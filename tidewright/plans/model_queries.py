@@ -41,13 +41,12 @@ def metrics_of(kind):
 
 
 def scoring_model(spark, sf):
-    """A light forest for the scoring queries, whose subject is scoring, not the fit."""
-    return trained(spark, sf, "player_forest", numTrees=20, maxDepth=8).model
+    return trained(spark, sf, "player_forest").model
 
 
-# The deepest settings (100 trees of depth 20, 200 rounds of depth 15) are for a cluster;
-# here those two kinds of model are fitted with the market value settings.
 query("fit_linear")(metrics_of("tick_linear"))
+query("fit_player_forest")(metrics_of("player_forest"))
+query("fit_device_forest")(metrics_of("device_forest"))
 query("fit_forest")(metrics_of("market_forest"))
 query("fit_gbt")(metrics_of("market_boosted"))
 
@@ -55,7 +54,7 @@ query("fit_gbt")(metrics_of("market_boosted"))
 @query("fit_device_sales")
 def fit_device_sales(spark, sf):
     """Sold counts from prices and categories, split 70/10/20 inside each category."""
-    done = trained(spark, sf, "device_boosted", maxIter=20, maxDepth=5)
+    done = trained(spark, sf, "device_boosted")
     return done.metrics().select(F.lit("device_boosted").alias("model"), "*")
 
 
@@ -76,8 +75,9 @@ def fit_mlp_bands(spark, sf):
 @query("fit_cv")
 def fit_cv(spark, sf):
     rows = TRAINERS["player_forest"].rows(source(spark, sf, "player"))
-    regressor = M.forest(numTrees=10, labelCol="market_value")
-    search = M.cross_validate(M.player_pipeline(regressor), {regressor.maxDepth: [3, 6]},
+    regressor = M.forest("forest_player", labelCol="market_value")
+    grid = {regressor.numTrees: [70], regressor.maxDepth: [20], regressor.maxBins: [32]}
+    search = M.cross_validate(M.player_pipeline(regressor), grid,
                               rows.filter(F.col("split") == "train"), label="market_value")
     done = Trained(search.bestModel, rows, "market_value")
     return done.metrics().select(F.lit("cross_validated").alias("model"), "*")
