@@ -12,8 +12,8 @@ column, or else its last sentence), which may be as far away as the item is long
 up to PASSAGE_WORDS words is one passage; longer ones give passages of that many words, half
 overlapping, the last one at the end. ``share`` is that of the item's best passage.
 
-Items are a query set: they are taken in blocks of ``block_items`` and each block passes over
-all documents, so a task holds one block. Words are runs of letters and digits, in lower
+Items are a query set: they are taken in blocks of about ``block_items`` and BLOCK_BYTES, and each
+block passes over all documents, so a task holds one block. Words are runs of letters and digits, in lower
 case. Nulls: a null or wordless item matches nothing, a null text contains nothing; a null
 ``doc_id`` is reported as null. Repeated rows are reported once; with an empty table on either
 side nothing is reported.
@@ -36,8 +36,11 @@ RANK, OVERSAMPLE, POWERS = 128, 16, 2
 COSINE = 0.5
 COPIED, REWORDED = 0.7, 0.5
 ANSWER_SHARE = 0.8
-BLOCK_ITEMS = 2048
+#: A block of items holds about so many items and bytes of their texts; its vocabulary is bounded by the bytes.
+BLOCK_ITEMS, BLOCK_BYTES = 2048, 1 << 20
 SLOTS = 256
+#: Of the table of candidates by vocabulary that one step of the bound fills.
+TABLE_BYTES = 8 << 20
 
 _BREAKS = np.ones(256, bool)
 _BREAKS[list(b"0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ") + list(range(128, 256))] = False
@@ -185,14 +188,38 @@ class Index:
     def __init__(self, items: Items, idf: np.ndarray, space: np.ndarray):
         self.items = items
         self.rows = np.vstack([idf[:, None] * space, np.zeros((1, space.shape[1]))]).astype(np.float32)
-        latent = np.stack([self.rows[items.slots(w)].sum(axis=0) for w in items.words])
+        slots = [items.slots(w) for w in items.words]
+        latent = np.stack([self.rows[s].sum(axis=0) for s in slots])
         self.latent = latent / np.maximum(np.linalg.norm(latent, axis=1, keepdims=True), 1e-9)
         # Each passage is looked for in windows nearest to its length on a log scale.
         self.window = np.array(WINDOWS)[np.argmin(np.abs(np.log(items.lengths[:, None] / np.array(WINDOWS))), axis=1)]
+        # Slots of the passages in rows of equal width; the filling is a column that no text sets.
+        self.targets = np.full((len(slots), max(map(len, slots))), len(items.vocabulary) + 1, np.int64)
+        for row, own in zip(self.targets, slots, strict=True):
+            row[:len(own)] = own
+
+    def window_sums(self, slots: np.ndarray, of: np.ndarray, size: int, step: int, text: np.ndarray, number: np.ndarray) -> np.ndarray:
+        """Summed latent rows of windows: each word is read once, into the sum of its block of ``step`` words."""
+        blocks = -(-np.diff(of) // step) + size // step
+        first = np.concatenate([[0], np.cumsum(blocks)])
+        owner = A.owners(first)
+        start = of[:-1][owner] + (np.arange(first[-1]) - first[:-1][owner]) * step
+        end = of[1:][owner]
+        padded = np.append(slots, len(self.items.vocabulary))
+        sums = np.zeros((first[-1], self.rows.shape[1]), np.float32)
+        for b in range(0, len(sums), 2048):  # pieces that stay in the processor's cache
+            part = sums[b:b + 2048]
+            for k in range(step):
+                word = start[b:b + 2048] + k
+                part += self.rows[padded[np.where(word < end[b:b + 2048], word, len(slots))]]
+        head = first[:-1][text] + number
+        out = sums[head]
+        for k in range(1, size // step):
+            out += sums[head + k]
+        return out
 
-    def search(self, words: np.ndarray, of: np.ndarray):
-        """(text, passage, cosine, window start, window length) of candidates."""
-        slots = self.items.slots(words)
+    def search(self, slots: np.ndarray, of: np.ndarray):
+        """Arrays of (text, passage, cosine, window start, window length) of candidates."""
         known = np.concatenate([[0], np.cumsum(slots < len(self.items.vocabulary))])
         counts = np.diff(of)
         for size in np.unique(self.window).tolist():
@@ -200,45 +227,53 @@ class Index:
             step = max(1, size // 4)
             n = np.where(counts > 0, np.maximum(0, -(-(counts - size) // step)) + 1, 0)
             text = np.repeat(np.arange(len(counts)), n)
-            start = of[:-1][text] + (np.arange(len(text)) - np.repeat(np.cumsum(n) - n, n)) * step
-            end = np.minimum(start + size, of[1:][text])
+            number = np.arange(len(text)) - np.repeat(np.cumsum(n) - n, n)
+            start = of[:-1][text] + number * step
             # A passage needs REWORDED of its words around the window; all of them are in the vocabulary.
             reach = max(size, int(self.items.lengths[mine].max())) // 2
             around = known[np.minimum(of[1:][text], start + size + reach)] - known[np.maximum(of[:-1][text], start - reach)]
             likely = np.flatnonzero(around >= REWORDED * self.items.lengths[mine].min())
+            sums = self.window_sums(slots, of, size, step, text[likely], number[likely])
+            sums /= np.maximum(np.sqrt(np.einsum("ij,ij->i", sums, sums)), 1e-9)[:, None]
             for k in range(0, len(likely), 2048):
-                part = likely[k:k + 2048]
-                places = np.minimum(start[part][:, None] + np.arange(size), len(words) - 1)
-                used = np.where(np.arange(size) < (end - start)[part][:, None], slots[places], len(self.items.vocabulary))
-                vectors = np.zeros((len(part), self.rows.shape[1]), np.float32)
-                at, col = np.nonzero(used < len(self.items.vocabulary))
-                if len(at):
-                    heads = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
-                    vectors[at[heads]] = np.add.reduceat(self.rows[used[at, col]], heads, axis=0)
-                vectors /= np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-9)
-                cosine = vectors @ self.latent[mine].T
+                cosine = sums[k:k + 2048] @ self.latent[mine].T
                 hit, item = np.nonzero(cosine >= COSINE)
-                for h, i in zip(hit.tolist(), item.tolist(), strict=True):
-                    yield int(text[part[h]]), int(mine[i]), float(cosine[h, i]), int(start[part[h]]), size
+                if len(hit):
+                    window = likely[k + hit]
+                    yield text[window], mine[item], cosine[hit, item], start[window], np.full(len(hit), size)
+
+    def reachable(self, slots: np.ndarray, low: np.ndarray, high: np.ndarray, passage: np.ndarray) -> np.ndarray:
+        """For each candidate: words low to high hold REWORDED of the passage's, in any order (no common subsequence is longer)."""
+        out = np.zeros(len(passage), bool)
+        width = len(self.items.vocabulary) + 2
+        step = max(1, TABLE_BYTES // width)
+        for k in range(0, len(passage), step):
+            at, n = passage[k:k + step], (high - low)[k:k + step]
+            held = np.zeros((len(at), width), bool)
+            row = np.repeat(np.arange(len(at)), n)
+            held[row, slots[np.arange(len(row)) + np.repeat(low[k:k + step] - (np.cumsum(n) - n), n)]] = True
+            found = held[np.arange(len(at))[:, None], self.targets[at]].sum(axis=1)
+            out[k:k + step] = found >= REWORDED * self.items.lengths[at]
+        return out
 
     def leaks(self, words: np.ndarray, of: np.ndarray) -> list[tuple[int, int, float, float, bool]]:
         """(text, item, cosine, share of its best passage in common, answer found), the best per pair."""
         best: dict[tuple[int, int], tuple[float, float, bool]] = {}
-        for text, passage, cosine, start, size in self.search(words, of):
-            item = self.items.item_of[passage]
-            target, answer = self.items.words[passage], self.items.answers[item]
-            reach = max(size, len(target)) // 2
-            around = words[max(of[text], start - reach):min(of[text + 1], start + size + reach)]
-            if np.isin(target, around).sum() < REWORDED * len(target):  # no common subsequence is longer
-                continue
-            share = common_subsequence(target, around) / len(target)
-            if share < REWORDED:
-                continue
-            reach = max(reach, self.items.sizes[item])
-            around = words[max(of[text], start - reach):min(of[text + 1], start + size + reach)]
-            found = common_subsequence(answer, around) >= ANSWER_SHARE * len(answer)
-            if share >= COPIED or found:
-                best[text, item] = max(best.get((text, item), (0.0, 0.0, False)), (share, round(cosine, 4), found))
+        slots = self.items.slots(words)
+        for text, passage, cosine, start, size in self.search(slots, of):
+            reach = np.maximum(size, self.items.lengths[passage]) // 2
+            low, high = np.maximum(of[text], start - reach), np.minimum(of[text + 1], start + size + reach)
+            keep = np.flatnonzero(self.reachable(slots, low, high, passage))
+            for t, p, c, s, w, r, lo, hi in zip(*(x[keep].tolist() for x in (text, passage, cosine, start, size, reach, low, high)), strict=True):
+                item = self.items.item_of[p]
+                target, answer = self.items.words[p], self.items.answers[item]
+                share = common_subsequence(target, words[lo:hi]) / len(target)
+                if share < REWORDED:
+                    continue
+                r = max(r, self.items.sizes[item])
+                found = common_subsequence(answer, words[max(of[t], s - r):min(of[t + 1], s + w + r)]) >= ANSWER_SHARE * len(answer)
+                if share >= COPIED or found:
+                    best[t, item] = max(best.get((t, item), (0.0, 0.0, False)), (share, round(c, 4), found))
         return [(t, i, c, s, f) for (t, i), (s, c, f) in best.items()]
 
 
@@ -254,7 +289,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, block_items: int = BLOCK
     key, item_key = docs.schema["doc_id"].dataType.simpleString(), benchmark.schema["item_id"].dataType.simpleString()
     schema = f"doc_id {key}, item_id {item_key}, cosine double, share double, answer_found boolean"
     items = item_passages(benchmark)
-    blocks = max(1, -(-items.count() // block_items))
+    size = items.agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("bytes")).first()
+    blocks = max(1, -(-size["n"] // block_items), -(-(size["bytes"] or 0) // BLOCK_BYTES))
     out = spark.createDataFrame([], schema)
     for block in range(blocks):
         part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block)
