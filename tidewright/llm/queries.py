@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tidewright.llm import (
-    decontaminate, html_text, language_id, near_dedup, quality_model, quality_rules, sharding, source_mix, substring_dedup, token_counts,
+    decontaminate, divergence, html_text, language_id, licenses, near_dedup, quality_model, quality_rules, sharding, source_mix, spelling, substring_dedup, token_counts,
 )
 from tidewright.llm.common import table
 
@@ -22,8 +22,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_model": lambda spark, sf: quality_model.quality_scores(table(spark, sf, "documents"), table(spark, sf, "labels")),
     "op9_html_text": lambda spark, sf: html_text.page_texts(table(spark, sf, "pages")),
     "op10_token_counts": lambda spark, sf: token_counts.length_histogram(token_counts.encoded_lengths(table(spark, sf, "documents"))),
+    "op11_license_scan": lambda spark, sf: licenses.license_scan(table(spark, sf, "documents")),
+    "op12_source_divergence": lambda spark, sf: divergence.source_divergence(table(spark, sf, "documents")),
+    "op13_spelling_variants": lambda spark, sf: spelling.spelling_variants(table(spark, sf, "documents")),
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op6_sharding": sharding.extendible_shards_sql(),
+    "op11_license_scan": licenses.license_scan_sql(),
+    "op12_source_divergence": divergence.source_divergence_sql(),
 }
