@@ -341,6 +341,34 @@ def test_profile_and_stat_pages(spark):
             numbers.minutes_played) == (1.0, 0.0, 11.0, 90.0, 2070.0)
 
 
+def test_nested_elements(spark):
+    from tidewright.functions import markup as H
+
+    def of(html, tag, having=None, shape=H.elements):
+        return spark.createDataFrame([(html,)], "html string").select(shape(F.col("html"), tag, having)).first()[0]
+
+    assert of("<ul><li>a<ul><li>b</li></ul>c</li><LI x='>'>d</LI ></ul>", "li") == ["a<ul><li>b</li></ul>c", "b", "d"]
+    assert of("</li>x<li>a<li>b</li>c", "li") == ["a<li>b</li>c", "b"]  # one closing tag too many, one too few
+    assert of("<link><lis>n</lis><li>y</li>", "li") == ["y"]
+    assert of("<!-- <li>n</li> --><script>'<li>'</script><li>y</li>", "li") == ["y"]
+    assert of('<li class="item">1</li><li class="item-x">2</li><li class="y item z">3</li>', "li", H.has_class("item")) == ["1", "3"]
+    assert of("", "li") == [] and of(None, "li") is None and of("no tags", "li") == []
+    assert of("<p>a<b>x<b>y</b></b>z</p>", "b", shape=H.outer_elements) == ["<b>x<b>y</b></b>", "<b>y</b>"]
+    kept = spark.createDataFrame([("<h3>N <i>1<i>2</i></i>x</h3>",), ("<h3>N</h3>",), (None,)], "html string")
+    assert [r[0] for r in kept.select(H.without_first(F.col("html"), "i")).collect()] == ["<h3>N x</h3>", "<h3>N</h3>", None]
+    deep = "<li>" * 300 + "x" + "</li>" * 300
+    assert len(of(deep, "li")) == 300 and of(deep, "li")[-1] == "x"
+    many = "".join(f"<li>{i}</li>" for i in range(3000))
+    assert of(many, "li") == [str(i) for i in range(3000)]
+
+
+def test_laptop_tiles(spark):
+    box = '<li class="item"><a class="main-contain"><h3>Book 8GB/1TB</h3><div class="item-compare"><span>RAM 16 GB</span><span>SSD 512 GB</span></div></a></li>'
+    pages = spark.createDataFrame([("s", box), ("t", box.replace("<span>SSD 512 GB</span>", ""))], "source string, html string")
+    rows = {r.source: r for r in clean.clean_products(P.laptop_tiles(pages)).collect()}
+    assert (rows["s"].RAM, rows["s"].ROM, rows["t"].RAM, rows["t"].ROM) == ("RAM 16 GB", "SSD 512 GB", "N/A", "N/A")
+
+
 def test_links(spark):
     html = '<a href="/a"></a><a href="/b"></a><a href="/c"></a><a href="/a"></a>'
     pages = spark.createDataFrame([(1, html), (2, '<a href="/a"></a>')], "page_id int, html string")

@@ -19,9 +19,10 @@ def clean_products(raw: DataFrame) -> DataFrame:
     """Device tiles (text fields) to the device message: sizes, prices, discount, counts.
 
     An absent old price is the current price; absent words are ``N/A``; absent
-    rating and sold count are 0.
+    rating and sold count are 0. Sizes come from the name unless the tile has RAM and ROM fields.
     """
-    storage = X.storage_of_name(F.col("name"))
+    named = X.storage_of_name(F.col("name"))
+    storage = {c: F.col(c) if c in raw.columns else v for c, v in named.items()}
     price = F.col("price")
     price_old = F.coalesce("price_old", "price")
     percent = N.discount_percent(N.plain_number(price), N.plain_number(price_old))

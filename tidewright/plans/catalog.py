@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from tidewright.plans import (  # noqa: F401
-    feature_queries, model_queries, stream_queries, table_queries, text_queries, view_queries,
+    feature_queries, model_queries, page_queries, stream_queries, table_queries, text_queries, view_queries,
 )
 from tidewright.plans.registry import ORACLE_SQL, QUERIES
 

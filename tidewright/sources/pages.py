@@ -1,7 +1,8 @@
-"""Records, links and fields out of fetched HTML, with JVM regex expressions only.
+"""Records, links and fields out of fetched HTML, with JVM expressions only.
 
 Pages are read whole. Every page is handled on its own, so the work splits by
-page rows and needs no shuffle, except where links are made distinct.
+page rows and needs no shuffle, except where links are made distinct. Records and fields are
+elements with all that is nested in them (``functions.markup``).
 """
 
 from __future__ import annotations
@@ -11,53 +12,50 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidewright.functions import markup as H
 from tidewright.functions import numbers as N
 from tidewright.functions import text as X
+from tidewright.functions.markup import plain_text
 
-# --- fixed values: patterns ----------------------------------------------------
+# --- fixed values: tags, classes and patterns --------------------------------------
 LIST_ITEM = r"(?s)<li\b[^>]*>(.*?)</li>"
-TABLE_ROW = r"(?s)<tr\b[^>]*>(.*?)</tr>"
-TABLE_CELL = r"(?s)<td\b[^>]*>(.*?)</td>"
 HREF = r'<a\s(?:[^>]*?\s)?href="([^"]*)"'
 TITLE = r"(?s)<title>(.*?)</title>"
 HEADING = r"(?s)<h1\b[^>]*>(.*?)</h1>"
 PAGE_LANG = r'<html lang="([^"]*)"'
 ANCHOR_TEXT = r"(?s)<a [^>]*>(.*?)</a>"
-TAG = r"(?s)<[^>]*>"
 # price table page
-PRICE_NAME = r"(?s)<h2\b[^>]*>(.*?)</h2>"
-PRICE_VALUE = r'(?s)<span\b[^>]*class="fixW"[^>]*>(.*?)</span>'
+PRICE_VALUE = 'class="fixW"'
 # product listing page
-PRODUCT_TILE = r'(?s)<li\b[^>]*class="[^"]*\bitem\b[^"]*"[^>]*>(.*?)</li>'
+PRODUCT_TILE = H.has_class("item")
 TILE_LINK = r'(?s)(<a\b[^>]*class="[^"]*\bmain-contain\b[^"]*"[^>]*>)'
-TILE_NAME = r"(?s)<h3\b[^>]*>(.*?)</h3>"
-NEW_MODEL_BADGE = r'(?s)<span\b[^>]*class="newModel"[^>]*>.*?</span>'
-RATING_BOX = r'(?s)<div\b[^>]*class="rating_Compare has_compare has_quantity"[^>]*>(.*?)</div>'
+NEW_MODEL_BADGE = 'class="newModel"'
+RATING_BOX = 'class="rating_Compare has_compare has_quantity"'
 NOT_RATED = "Chưa có đánh giá"
-PHONE_SCREEN = r'(?s)<div\b[^>]*class="item-compare gray-bg"[^>]*>(.*?)</div>'
-PHONE_PRICE = r'(?s)<strong\b[^>]*class="price"[^>]*>(.*?)</strong>'
-PHONE_OLD_PRICE = r'(?s)<p\b[^>]*class="price-old[^"]*"[^>]*>(.*?)</p>'
-PHONE_PERCENT = r'(?s)<span\b[^>]*class="percent"[^>]*>(.*?)</span>'
-SPAN = r"(?s)<span\b[^>]*>(.*?)</span>"
-BOLD = r"(?s)<b\b[^>]*>(.*?)</b>"
+COMPARE_BOX = H.has_class("item-compare")
+PHONE_SCREEN = 'class="item-compare gray-bg"'
+PHONE_PRICE = 'class="price"'
+PHONE_OLD_PRICE = r'class="price-old[^"]*"'
+PHONE_PERCENT = 'class="percent"'
 # profile page
 PROFILE = {
-    "name": r'(?s)<h1\b[^>]*class="data-header__headline-wrapper"[^>]*>(.*?)</h1>',
-    "player_club": r'(?s)<span\b[^>]*class="data-header__club"[^>]*>(.*?)</span>',
-    "age": r'(?s)<li\b[^>]*class="data-header__label"[^>]*>.*?\(([0-9]+)\).*?</li>',
-    "position": r'(?s)<dd[^>]*class="detail-position__position"[^>]*>(.*?)</dd>',
-    "market_value": r'(?s)<a\b[^>]*class="data-header__market-value-wrapper"[^>]*>(.*?)</a>',
-    "nationality": r'(?s)<span\b[^>]*itemprop="nationality"[^>]*>(.*?)</span>',
+    "name": ("h1", 'class="data-header__headline-wrapper"'),
+    "player_club": ("span", 'class="data-header__club"'),
+    "position": ("dd", H.has_class("detail-position__position")),
+    "market_value": ("a", 'class="data-header__market-value-wrapper"'),
+    "nationality": ("span", 'itemprop="nationality"'),
 }
+PROFILE_LABEL = 'class="data-header__label"'
+PROFILE_AGE = r"\(([0-9]+)\)"
 PROFILE_HEIGHT = r"(?s)Height:.*?([0-9].*?)\n"
 PROFILE_AGENT = r"(?s)Agent:.*?([A-Za-z].*?)\n"
 PROFILE_CONTRACT = r"Contract expires: (.*)"
 INFO_LABEL_NAME = (
     r'(?is)<span\b[^>]*class="info-table__content info-table__content--regular"[^>]*>[^<]*name[^<]*</span>'
 )
-INFO_BOLD = r'(?s)<span\b[^>]*class="info-table__content info-table__content--bold"[^>]*>(.*?)</span>'
-STAT_CENTRED = r'(?s)<td\b[^>]*class="zentriert"[^>]*>(.*?)</td>'
-STAT_RIGHT = r'(?s)<td\b[^>]*class="rechts"[^>]*>(.*?)</td>'
+INFO_BOLD = 'class="info-table__content info-table__content--bold"'
+STAT_CENTRED = 'class="zentriert"'
+STAT_RIGHT = 'class="rechts"'
 # which centred cell (0-based) holds which stat
 STAT_CELLS = {
     "appearances": 1, "PPG": 2, "goals": 3, "assists": 4, "own_goals": 5, "substitutions_on": 6,
@@ -66,11 +64,6 @@ STAT_CELLS = {
 # ------------------------------------------------------------------------------
 
 
-def plain_text(html: Column) -> Column:
-    """Markup removed, ends trimmed; NULL stays NULL."""
-    return F.trim(F.regexp_replace(html, TAG, ""))
-
-
 def field_of(html: Column, pattern: str, group: int = 1) -> Column:
     return X.blank_to_null(plain_text(X.first_match(html, pattern, group)))
 
@@ -79,93 +72,105 @@ def matches(html: Column, pattern: str, group: int = 1) -> Column:
     return F.regexp_extract_all(html, F.lit(pattern), F.lit(group))
 
 
-def extract_records(pages: DataFrame, record: str, fields: Mapping[str, Column],
-                    keep: Sequence[str], required: Sequence[str] = (), html: str = "html") -> DataFrame:
+def extract_records(pages: DataFrame, records: Column, fields: Mapping[str, Column],
+                    keep: Sequence[str], required: Sequence[str] = ()) -> DataFrame:
     """One row per repeated element of a page.
 
-    ``fields`` are expressions over the column ``element``. ``position`` counts
-    from 1 over all elements of the page; incomplete elements are then dropped,
+    ``records`` is the array of a page's elements, ``fields`` are expressions over the column
+    ``element``. ``position`` counts from 1 over all elements of the page; incomplete elements are then dropped,
     so positions keep their gaps. ``inline`` keeps that filter above the
     extraction, so each pattern runs once per element.
     """
-    exploded = pages.select(*keep, F.posexplode(matches(F.col(html), record)).alias("_pos", "element"))
+    exploded = pages.select(*keep, F.posexplode(records).alias("_pos", "element"))
     shaped = exploded.select(*keep, (F.col("_pos") + 1).alias("position"),
                              F.inline(F.array(F.struct(*[value.alias(name) for name, value in fields.items()]))))
     return shaped.dropna(subset=list(required)) if required else shaped
 
 
-def list_items(pages: DataFrame, keep: Sequence[str] = ("page_id",)) -> DataFrame:
+def list_items(pages: DataFrame, keep: Sequence[str] = ("page_id",), html: str = "html") -> DataFrame:
     """Navigation entries: address and label of each list item that has a link."""
     element = F.col("element")
     return extract_records(
-        pages, LIST_ITEM,
+        pages, H.elements(F.col(html), "li"),
         {"href": X.first_match(element, HREF), "label": field_of(element, ANCHOR_TEXT)},
         keep, required=["href", "label"],
     )
 
 
-def price_rows(pages: DataFrame, keep: Sequence[str] = ("price_date", "source")) -> DataFrame:
+def price_rows(pages: DataFrame, keep: Sequence[str] = ("price_date", "source"), html: str = "html") -> DataFrame:
     """Rows of a price table: type, buy and sell price; malformed rows are skipped."""
-    cells = matches(F.col("element"), TABLE_CELL)
-    cell = lambda i: F.try_element_at(cells, F.lit(i))
-    return extract_records(
-        pages, TABLE_ROW,
-        {
-            "gold_type": F.when(F.size(cells) >= 3, field_of(cell(1), PRICE_NAME)),
-            "buy_price": N.thousands(field_of(cell(2), PRICE_VALUE)),
-            "sell_price": N.thousands(field_of(cell(3), PRICE_VALUE)),
-        },
-        keep, required=["gold_type", "buy_price", "sell_price"],
-    )
+    row = pages.select(*keep, F.posexplode(H.elements(F.col(html), "tr")).alias("_pos", "row"))
+    # The cells are opened by inline, so a row is cut into cells once.
+    cells = row.select(*keep, (F.col("_pos") + 1).alias("position"), F.inline(F.array(F.struct(H.elements(F.col("row"), "td").alias("cells")))))
+    cell = lambda i: F.try_element_at("cells", F.lit(i))
+    price = lambda i: N.thousands(H.element_text(cell(i), "span", PRICE_VALUE))
+    fields = {"gold_type": H.element_text(cell(1), "h2"), "buy_price": price(2), "sell_price": price(3)}
+    complete = cells.where(F.size("cells") >= 3)
+    return complete.select(*keep, "position", F.inline(F.array(F.struct(*[v.alias(n) for n, v in fields.items()])))).dropna(subset=list(fields))
 
 
 def _attribute(tag: Column, name: str) -> Column:
     return X.blank_to_null(F.trim(X.first_match(tag, rf'\b{name}="([^"]*)"')))
 
 
-def product_tiles(pages: DataFrame, keep: Sequence[str] = ("source",)) -> DataFrame:
-    """Tiles of a device listing as raw text fields; ``product_id`` is the tile's place."""
+def _tile_name(element: Column) -> Column:
+    """Heading of a tile without the badge of new models."""
+    return X.blank_to_null(plain_text(H.without_first(H.element(element, "h3"), "span", NEW_MODEL_BADGE)))
+
+
+def product_tiles(pages: DataFrame, keep: Sequence[str] = ("source",), html: str = "html",
+                  more: Mapping[str, Column] | None = None) -> DataFrame:
+    """Tiles of a device listing as raw text fields; ``product_id`` is the tile's place.
+
+    ``more`` adds fields over ``element``.
+    """
     element = F.col("element")
     tag = X.first_match(element, TILE_LINK)
-    rating_box = X.first_match(element, RATING_BOX)
-    stars = field_of(rating_box, BOLD)
+    rating_box = H.element(element, "div", RATING_BOX)
+    stars = H.element_text(rating_box, "b")
     rows = extract_records(
-        pages, PRODUCT_TILE,
+        pages, H.elements(F.col(html), "li", PRODUCT_TILE),
         {
             "link": tag,
-            "name": X.blank_to_null(plain_text(F.regexp_replace(X.first_match(element, TILE_NAME),
-                                                                NEW_MODEL_BADGE, ""))),
+            "name": _tile_name(element),
             "brand": _attribute(tag, "data-brand"),
             "category": _attribute(tag, "data-cate"),
             "color": _attribute(tag, "data-color"),
             "price": _attribute(tag, "data-price"),
             "price_old": _attribute(tag, "price-old"),
             "rating": F.when(stars != NOT_RATED, stars),
-            "sold": field_of(rating_box, SPAN),
+            "sold": H.element_text(rating_box, "span"),
+            **(more or {}),
         },
         keep, required=["link"],
     )
     return rows.withColumnRenamed("position", "product_id").drop("link")
 
 
-def phone_tiles(pages: DataFrame, keep: Sequence[str] = ("source",)) -> DataFrame:
+def laptop_tiles(pages: DataFrame, keep: Sequence[str] = ("source",), html: str = "html") -> DataFrame:
+    """Tiles of a laptop listing: RAM and ROM stand in the comparison box, as its first two spans, or not at all."""
+    box = H.elements(H.element(F.col("element"), "div", COMPARE_BOX), "span")
+    size = lambda i: F.when(F.size(box) >= 2, X.blank_to_null(plain_text(F.try_element_at(box, F.lit(i)))))
+    return product_tiles(pages, keep, html, {"RAM": size(1), "ROM": size(2)})
+
+
+def phone_tiles(pages: DataFrame, keep: Sequence[str] = ("source",), html: str = "html") -> DataFrame:
     """Tiles of a phone listing with screen, price and rating text."""
     element = F.col("element")
-    screen = matches(X.first_match(element, PHONE_SCREEN), SPAN)
-    rating_box = X.first_match(element, RATING_BOX)
-    name = X.blank_to_null(plain_text(F.regexp_replace(X.first_match(element, TILE_NAME), NEW_MODEL_BADGE, "")))
+    screen = H.elements(H.element(element, "div", PHONE_SCREEN), "span")
+    rating_box = H.element(element, "div", RATING_BOX)
     rows = extract_records(
-        pages, PRODUCT_TILE,
+        pages, H.elements(F.col(html), "li", PRODUCT_TILE),
         {
             "link": X.first_match(element, TILE_LINK),
-            "name": name,
+            "name": _tile_name(element),
             "screen_size": plain_text(F.try_element_at(screen, F.lit(1))),
             "resolution": plain_text(F.try_element_at(screen, F.lit(2))),
-            "new_price": field_of(element, PHONE_PRICE),
-            "old_price": field_of(element, PHONE_OLD_PRICE),
-            "percent": field_of(element, PHONE_PERCENT),
-            "rating": field_of(rating_box, BOLD),
-            "sold": F.when(rating_box.isNotNull(), F.coalesce(field_of(rating_box, SPAN), F.lit("0"))),
+            "new_price": H.element_text(element, "strong", PHONE_PRICE),
+            "old_price": H.element_text(element, "p", PHONE_OLD_PRICE),
+            "percent": H.element_text(element, "span", PHONE_PERCENT),
+            "rating": H.element_text(rating_box, "b"),
+            "sold": F.when(rating_box.isNotNull(), F.coalesce(H.element_text(rating_box, "span"), F.lit("0"))),
         },
         keep, required=["link"],
     )
@@ -188,10 +193,12 @@ def leading_links(pages: DataFrame, start: int = 2, length: int = 2, keep: Seque
 def profile_fields(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
     """Player profile page to one raw record; a page without an id in its address is dropped."""
     page = F.col(html)
-    body = F.regexp_replace(page, TAG, "")
+    body = F.regexp_replace(page, H.TAG, "")
     labelled_name = page.rlike(INFO_LABEL_NAME)
-    foot = X.nth_match(page, INFO_BOLD, F.when(labelled_name, F.lit(7)).otherwise(F.lit(6)))
-    raw = {name: field_of(page, pattern) for name, pattern in PROFILE.items()}
+    foot = H.element(page, "span", INFO_BOLD, F.when(labelled_name, F.lit(7)).otherwise(F.lit(6)))
+    ages = F.transform(H.elements(page, "li", PROFILE_LABEL), lambda label: F.regexp_extract(plain_text(label), PROFILE_AGE, 1))
+    raw = {name: H.element_text(page, *found) for name, found in PROFILE.items()}
+    raw["age"] = F.try_element_at(F.filter(ages, lambda age: age != ""), F.lit(1))
     return pages.select(
         X.url_id(F.col(url)).alias("player_id"),
         *[raw[c].alias(c) for c in ("name", "player_club", "age", "position", "market_value", "nationality")],
@@ -205,10 +212,9 @@ def profile_fields(pages: DataFrame, url: str = "url", html: str = "html") -> Da
 
 def stat_fields(pages: DataFrame, keep: Sequence[str] = ("player_id",), html: str = "html") -> DataFrame:
     """Season statistics page: cells picked by position and named."""
-    page = F.col(html)
-    centred = {name: plain_text(X.nth_match(page, STAT_CENTRED, place + 1)) for name, place in STAT_CELLS.items()}
-    right = {
-        "minutes_per_goal": plain_text(X.nth_match(page, STAT_RIGHT, 2)),
-        "minutes_played": plain_text(X.nth_match(page, STAT_RIGHT, 3)),
-    }
-    return pages.select(*keep, *[v.alias(k) for k, v in {**centred, **right}.items()])
+    cells = pages.select(*keep, F.inline(F.array(F.struct(
+        H.elements(F.col(html), "td", STAT_CENTRED).alias("_centred"), H.elements(F.col(html), "td", STAT_RIGHT).alias("_right")))))
+    text = lambda array, place: plain_text(F.try_element_at(array, F.lit(place)))
+    centred = {name: text("_centred", place + 1) for name, place in STAT_CELLS.items()}
+    right = {"minutes_per_goal": text("_right", 2), "minutes_played": text("_right", 3)}
+    return cells.select(*keep, *[v.alias(k) for k, v in {**centred, **right}.items()])
