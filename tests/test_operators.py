@@ -229,6 +229,45 @@ def test_latest_per_key_folds_before_the_shuffle(spark):
     assert "partial_max_by" in plan and "Window" not in plan
 
 
+def _upsert_inputs(spark):
+    base = spark.createDataFrame([(1, 5, 5, "a", "b"), (2, 5, 5, "c", None), (3, 9, 9, "z", "z"), (None, 1, 1, "n", "n"), (None, 1, 1, "n", "n")], ROW)
+    updates = spark.createDataFrame([(1, 6, 6, None, "B"), (1, 7, 7, None, None), (3, 8, 8, "late", None), (2, 5, 5, "same", None), (4, 1, 1, "new", None), (None, 9, 9, "x", "x")], ROW)
+    return base, updates
+
+
+@pytest.mark.parametrize("upsert", [keyed.replace_by_key, keyed.merge_by_key])
+def test_upsert_plans_agree(spark, scratch, upsert):
+    base, updates = _upsert_inputs(spark)
+    few = sorted(upsert(base, updates, ["k"], ["ts", "seq"]).collect(), key=str)
+    assert len(few) == 6
+    assert sorted(upsert(base, updates, ["k"], ["ts", "seq"], keyed.MANY).collect(), key=str) == few
+    name = "base_" + scratch.rsplit("-", 1)[-1]
+    tables.write_bucketed(base, name, scratch, ["k"], 4)
+    assert sorted(upsert(spark.table(name), updates, ["k"], ["ts", "seq"], keyed.BUCKETED).collect(), key=str) == few
+    wider = updates.withColumn("more", F.lit(1))
+    for plan in (keyed.FEW, keyed.MANY, keyed.BUCKETED):
+        assert upsert(base, wider, ["k"], ["ts", "seq"], plan).columns == [*base.columns, "more"]
+
+
+@pytest.mark.parametrize("upsert", [keyed.replace_by_key, keyed.merge_by_key])
+def test_upserts_of_many_rows_shuffle_once(spark, scratch, upsert):
+    base, updates = _upsert_inputs(spark)
+    base.write.parquet(f"{scratch}/base")
+    updates.write.parquet(f"{scratch}/updates")
+    stored = spark.read.parquet(f"{scratch}/base"), spark.read.parquet(f"{scratch}/updates")
+    plan = upsert(*stored, ["k"], ["ts", "seq"], keyed.MANY)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and plan.count("FileScan") == 2 and "Join" not in plan and "Window" not in plan
+    name = "base_" + scratch.rsplit("-", 1)[-1]
+    tables.write_bucketed(base, name, f"{scratch}/bucketed", ["k"], int(spark.conf.get("spark.sql.shuffle.partitions")))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = upsert(spark.table(name), stored[1], ["k"], ["ts", "seq"], keyed.BUCKETED)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert plan.count("Exchange") == 1 and plan.count("FileScan") == 2 and "Bucketed: true" in plan
+
+
 # --- tables ------------------------------------------------------------------------
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,8 +15,9 @@ from tidewright.operators.clean import null_out_nan
 from tidewright.operators.decode import decode_json, encode_json
 from tidewright.operators.project import project_contract, rename_and_drop
 from tidewright.plans import bindings as B
-from tidewright.plans.registry import query
+from tidewright.plans.registry import ORACLE_SQL, query
 from tidewright.session import scratch_path
+from tidewright.sources import tables
 from tidewright.sources.topics import as_envelope
 from tidewright.streaming.serving import MERGE, ServingTable
 
@@ -186,6 +188,9 @@ def latest_per_key(spark, sf):
                          "event_id", "event_type", "props")
 
 
+STATE_ORDER = ["ts_ms", "event_id"]
+
+
 def _user_states(spark, sf):
     return B.table(spark, sf, "events").select(
         "user_id", F.unix_millis(F.col("ts").cast("timestamp")).alias("ts_ms"), "event_id",
@@ -239,10 +244,39 @@ SELECT coalesce(u.user_id, b.user_id) AS user_id, coalesce(u.ts_ms, b.ts_ms) AS
        coalesce(u.props, b.props) AS props
 FROM base b FULL JOIN upd u ON b.user_id = u.user_id""")
 def merge_tables_by_key(spark, sf):
+    return _merged_halves(spark, sf, keyed.FEW)
+
+
+def _halves(spark, sf):
+    """The latest states of the first half of the span, and all changes of the second half."""
     rows, half = _user_states(spark, sf), F.unix_millis(F.lit(B.HALF).cast("timestamp"))
-    order = ["ts_ms", "event_id"]
-    base = keyed.latest_per_key(rows.filter(F.col("ts_ms") < half), ["user_id"], order)
-    return keyed.merge_by_key(base, rows.filter(F.col("ts_ms") >= half), ["user_id"], order)
+    base = keyed.latest_per_key(rows.filter(F.col("ts_ms") < half), ["user_id"], STATE_ORDER)
+    return base, rows.filter(F.col("ts_ms") >= half)
+
+
+def _merged_halves(spark, sf, plan):
+    base, updates = _halves(spark, sf)
+    return keyed.merge_by_key(base, updates, ["user_id"], STATE_ORDER, plan)
+
+
+@query("merge_many_by_key", ORACLE_SQL["merge_tables_by_key"])
+def merge_many_by_key(spark, sf):
+    return _merged_halves(spark, sf, keyed.MANY)
+
+
+@query("replace_many_by_key", ORACLE_SQL["serve_replace_by_key"])
+def replace_many_by_key(spark, sf):
+    base, updates = _halves(spark, sf)
+    return keyed.replace_by_key(base, updates, ["user_id"], STATE_ORDER, keyed.MANY)
+
+
+@query("merge_bucketed_base", ORACLE_SQL["merge_tables_by_key"])
+def merge_bucketed_base(spark, sf):
+    """The base is a table bucketed by user; only the updates are shuffled."""
+    base, updates = _halves(spark, sf)
+    name = f"states_{uuid.uuid4().hex}"
+    tables.write_bucketed(base, name, scratch_path(spark, name), ["user_id"], 8)
+    return keyed.merge_by_key(spark.table(name), updates, ["user_id"], STATE_ORDER, keyed.BUCKETED)
 
 
 # --- serving ---------------------------------------------------------------------------

@@ -58,6 +58,12 @@ def write_partitioned(df: DataFrame, path: str, parts: Sequence[str] = DATE_PART
     df.hint("rebalance", *parts).write.mode(mode).partitionBy(*parts).parquet(path)
 
 
+def write_bucketed(df: DataFrame, name: str, path: str, keys: Sequence[str], buckets: int) -> None:
+    """A catalog table at ``path``, bucketed and sorted by its key, so that joins and aggregates by that key don't shuffle it."""
+    writer = df.repartition(buckets, *keys).write.mode("overwrite").bucketBy(buckets, *keys).sortBy(*keys)
+    writer.option("path", path).saveAsTable(name)
+
+
 def compact(spark: SparkSession, source: str, target: str, parts: Sequence[str] = DATE_PARTITIONS) -> None:
     """Rewrite many small landed files into few large ones, in a new folder."""
     write_partitioned(scan(spark, source), target, parts, mode="errorifexists")

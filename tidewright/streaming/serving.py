@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidewright.operators.keyed import last_values_per_key, latest_per_key, merge_by_key, replace_by_key
+from tidewright.operators.keyed import FEW, last_values_per_key, latest_per_key, merge_by_key, replace_by_key
 from tidewright.streaming.jobs import each_batch
 
 ARRIVAL = "_arrival"
@@ -43,6 +43,7 @@ class ServingTable:
     order: Sequence[str]
     mode: str = REPLACE
     partition_by: Sequence[str] = ()
+    changes: str = FEW  # MANY: the changes since the last base are about as large as the base
 
     # --- writing ---
 
@@ -124,9 +125,9 @@ class ServingTable:
         if self.mode == REPLACE:
             order = [*self.order, ARRIVAL]
             return latest_per_key(changes, self.keys, order) if stored is None else \
-                replace_by_key(stored, changes, self.keys, order)
+                replace_by_key(stored, changes, self.keys, order, self.changes)
         return last_values_per_key(changes, self.keys, [ARRIVAL]) if stored is None else \
-            merge_by_key(stored, changes, self.keys, [ARRIVAL])
+            merge_by_key(stored, changes, self.keys, [ARRIVAL], self.changes)
 
     # --- folders ---
 
