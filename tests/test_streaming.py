@@ -1,15 +1,17 @@
 """Streams equal their batch twins, restarts lose nothing, serving is exactly-once."""
 
 import datetime as dt
+import time
 
 from pyspark.sql import functions as F
 
 from tidewright import contracts as C
-from tidewright.operators import keyed, views
+from tidewright.operators import keyed, quality, views
 from tidewright.operators.decode import decode_json, encode_json
 from tidewright.sources import tables
 from tidewright.sources.topics import FolderTopic, KafkaTopic, as_envelope
-from tidewright.streaming import jobs
+from tidewright.streaming import jobs, pipelines
+from tidewright.streaming.counters import CounterLog, read_counters
 from tidewright.streaming.serving import MERGE, ServingTable
 
 ROW = "k int, ts long, a string, b string"
@@ -52,13 +54,91 @@ def test_restart_neither_loses_nor_repeats(spark, scratch):
 def test_latest_skips_what_was_there_but_not_what_comes_while_down(spark, scratch):
     topic, checkpoint = FolderTopic(f"{scratch}/topic"), f"{scratch}/cp"
     publish(spark, topic, range(5))
+    time.sleep(0.05)
     for start in (5, 10):
-        jobs.skip_existing(spark, topic, checkpoint)
+        messages = jobs.new_messages(spark, topic, checkpoint)
         if start == 5:
+            time.sleep(0.05)
             publish(spark, topic, range(5, 10))
-        jobs.land_batches(decode_json(topic.read_stream(spark), C.TICK), f"{scratch}/out", checkpoint)
+        jobs.land(decode_json(messages, C.TICK), f"{scratch}/out", checkpoint)
         publish(spark, topic, range(10, 15)) if start == 5 else None
     assert stamps(tables.scan(spark, f"{scratch}/out")) == list(range(5, 15))
+    assert jobs.first_start(spark, checkpoint) == jobs.first_start(spark, checkpoint)
+
+
+def test_messages_sent_again_arrive_once(spark, scratch):
+    topic = FolderTopic(f"{scratch}/topic")
+    for numbers in (range(6), range(4, 10), range(6)):
+        publish(spark, topic, numbers)
+    messages = pipelines.messages_once(topic.read_stream(spark, max_per_trigger=1), "10 minutes")
+    jobs.land(decode_json(messages, C.TICK), f"{scratch}/out", f"{scratch}/cp")
+    assert stamps(tables.scan(spark, f"{scratch}/out")) == list(range(10))
+    publish(spark, topic, range(8, 12))  # and after a restart
+    messages = pipelines.messages_once(topic.read_stream(spark), "10 minutes")
+    jobs.land(decode_json(messages, C.TICK), f"{scratch}/out", f"{scratch}/cp")
+    assert stamps(tables.scan(spark, f"{scratch}/out")) == list(range(12))
+
+
+def test_relay_leaves_out_what_was_sent_again(spark, scratch):
+    topic = FolderTopic(f"{scratch}/topic")
+    for _ in range(2):
+        publish(spark, topic, range(5))
+    contract = C.Contract("ticks", C.TICK.schema, key=("crawl_timestamp",), order=("crawl_timestamp",))
+    pipelines.run_relay(spark, topic, f"{scratch}/served", f"{scratch}/cp", contract, every=None, starting="earliest")
+    assert stamps(ServingTable(f"{scratch}/served", ["crawl_timestamp"], ["crawl_timestamp"]).read(spark)) == list(range(5))
+
+
+def test_latest_rows_keep_state_per_window(spark, scratch):
+    topic = FolderTopic(f"{scratch}/topic")
+    hour = 3_600_000
+    served = ServingTable(f"{scratch}/served", ["gold_type"], ["crawl_timestamp"])
+    for numbers in ([0, 5 * hour], [2 * hour, 30 * hour], [100 * hour], [31 * hour]):  # the last one is too late
+        topic.publish(encode_json(spark.createDataFrame([(n, "d", "g", n // hour, 0, "s") for n in numbers], C.TICK.schema)))
+        rows = decode_json(topic.read_stream(spark), C.TICK).withColumn("at", F.timestamp_millis("crawl_timestamp"))
+        newest = jobs.latest_rows(rows, ["gold_type"], ["crawl_timestamp"], "at", "1 hour")
+        served.follow(newest, f"{scratch}/cp", output="update")
+    row = served.read(spark).first()
+    assert (row.crawl_timestamp, row.buy_price) == (100 * hour, 100)
+    stored = spark.read.parquet(f"{scratch}/served/changes/*")
+    assert {r.crawl_timestamp // hour for r in stored.collect()} == {5, 30, 100}
+
+
+def test_compaction_of_chosen_days(spark, scratch):
+    topic = FolderTopic(f"{scratch}/topic")
+    for day in (1, 2, 3):
+        publish(spark, topic, range(day * 10, day * 10 + 4), f"2024-01-0{day}")
+    rows = views.by_business_date(decode_json(topic.read_stream(spark, max_per_trigger=1), C.TICK))
+    jobs.land(rows, f"{scratch}/out", f"{scratch}/cp", tables.DATE_PARTITIONS)
+    days = [dt.date(2024, 1, d) for d in (1, 2)]
+
+    def files():
+        found = tables.scan(spark, f"{scratch}/compact").select("day", F.input_file_name().alias("f")).distinct().collect()
+        return {d: {r.f for r in found if r.day == d} for d in {r.day for r in found}}
+
+    tables.compact_days(spark, f"{scratch}/out", f"{scratch}/compact", days)
+    first = files()
+    assert set(first) == {1, 2} and all(len(f) == 1 for f in first.values())
+    tables.compact_days(spark, f"{scratch}/out", f"{scratch}/compact", [dt.date(2024, 1, 3), dt.date(2024, 1, 1), dt.date(2023, 5, 5)])
+    second = files()
+    assert second[2] == first[2] and second[1] != first[1] and set(second) == {1, 2, 3}
+    assert stamps(tables.scan(spark, f"{scratch}/compact")) == [d * 10 + i for d in (1, 2, 3) for i in range(4)]
+    plan = tables.scan(spark, f"{scratch}/out").filter(tables.on_days(days))._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "make_date" in plan.split("PartitionFilters: [")[1].split("]")[0]
+
+
+def test_counters_of_each_batch(spark, scratch):
+    topic = FolderTopic(f"{scratch}/topic")
+    publish(spark, topic, range(7))
+    publish(spark, topic, range(7, 10))
+    log = CounterLog(spark, f"{scratch}/counters")
+    spark.streams.addListener(log)
+    try:
+        rows = quality.observed(decode_json(topic.read_stream(spark, max_per_trigger=1), C.TICK), "ticks", {"even": F.col("buy_price") % 2 == 0})
+        log.wait_for(jobs.land(rows, f"{scratch}/out", f"{scratch}/cp").runId)
+    finally:
+        spark.streams.removeListener(log)
+    assert {(r.counter, r.amount) for r in read_counters(spark, f"{scratch}/counters").collect()} == {("row_count", 10), ("rejected_count", 5)}
+    assert spark.read.parquet(f"{scratch}/counters").select("batch_id").distinct().count() >= 2
 
 
 def test_partitioned_landing_with_unreadable_date(spark, scratch):

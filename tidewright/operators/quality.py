@@ -73,6 +73,11 @@ def check_columns(df: DataFrame, required: Sequence[str]) -> DataFrame:
     return df
 
 
+def any_applies(rules: Mapping[str, Column]) -> Column:
+    """Whether any rule does; an array, as the optimiser takes very long over a negated tree of many conditions."""
+    return F.coalesce(F.array_contains(F.array(*rules.values()), True), F.lit(False))
+
+
 def accepted(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
     """Rows to which no rule applies; plain conditions, so NULL tests reach the scan."""
     return df.filter(all_of([~F.coalesce(bad, F.lit(False)) for bad in rules.values()]))
@@ -102,12 +107,20 @@ def reason_counts(checked: DataFrame) -> DataFrame:
     )
 
 
+def count_reasons(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
+    """As ``reason_counts`` over the rules themselves: one counter per reason in one aggregate, a row per task is shuffled."""
+    counted = df.agg(F.count_if(~any_applies(rules)).alias("accepted"), *[F.count_if(bad).alias(name) for name, bad in rules.items()])
+    rows = F.array(*[F.struct(F.lit(c).alias("reason"), F.col(f"`{c}`").alias("row_count")) for c in counted.columns])
+    # The array is filtered, not the rows: a filter above makes the optimiser infer constraints from every counter.
+    return counted.select(F.inline(F.filter(rows, lambda r: r["row_count"] > 0)))
+
+
 def observed(df: DataFrame, name: str, rules: Mapping[str, Column] | None = None) -> DataFrame:
     """Row counters taken while the rows flow by, on a table or a stream, without a job of their own.
 
     They arrive with the query's progress, or in a ``pyspark.sql.Observation`` of that name.
     """
-    refused = ~all_of([~F.coalesce(bad, F.lit(False)) for bad in rules.values()]) if rules else F.lit(False)
+    refused = any_applies(rules) if rules else F.lit(False)
     return df.observe(name, F.count(F.lit(1)).alias("row_count"), F.count_if(refused).alias("rejected_count"))
 
 
@@ -125,23 +138,35 @@ def null_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
 
 
 def profile_table(df: DataFrame, exact_distinct: bool = True) -> DataFrame:
-    """Name, type, rows, NULLs and distinct values of every column.
+    """Name, type, rows, NULLs and distinct values of every column, in one scan.
 
-    Each column is its own pruned scan and aggregate, joined by union. One
-    aggregate with a distinct count per column would copy every row once per
-    column first.
+    Each row becomes one pair (column, digest of the value) per column; pairs are counted, and
+    then the counts are summed per column. The first aggregate folds equal values before the
+    shuffle and spreads the rest by hash, so neither a NULL nor any other frequent value gathers
+    in a task, and texts are never shuffled. Digests are 128 bits of two hashes: two values meet
+    in one with a chance of about n^2 / 2^129 for n distinct ones. Inexact: one aggregate of sketches.
     """
-    def one(field: T.StructField) -> DataFrame:
+    fields = df.schema.fields
+    if not exact_distinct:
+        counted = df.agg(F.count(F.lit(1)).alias("_rows"), *[F.struct(
+            F.count_if(F.col(f"`{f.name}`").isNull()).alias("nulls"), F.approx_count_distinct(f"`{f.name}`").alias("values")).alias(f.name) for f in fields])
+        return counted.select(F.inline(F.array(*[F.struct(
+            F.lit(f.name).alias("column_name"), F.lit(f.dataType.simpleString()).alias("type"), F.col("_rows").alias("row_count"),
+            F.col(f"`{f.name}`.nulls").alias("null_count"), F.col(f"`{f.name}`.values").alias("distinct_count")) for f in fields])))
+
+    def pair(place: int, field: T.StructField) -> Column:
         value = F.col(f"`{field.name}`")
-        distinct = F.count_distinct(value) if exact_distinct else F.approx_count_distinct(value)
-        return df.agg(
-            F.count("*").alias("row_count"),
-            F.count_if(value.isNull()).alias("null_count"),
-            distinct.alias("distinct_count"),
-        ).select(F.lit(field.name).alias("column_name"), F.lit(field.dataType.simpleString()).alias("type"),
-                 "row_count", "null_count", "distinct_count")
-
-    return reduce(DataFrame.unionAll, [one(f) for f in df.schema.fields])
+        return F.struct(F.lit(place).alias("place"), value.isNull().alias("empty"),
+                        F.xxhash64(F.lit(1), value).alias("low"), F.xxhash64(F.lit(2), value).alias("high"))
+
+    pairs = df.select(F.inline(F.array(*[pair(i, f) for i, f in enumerate(fields)])))
+    values = pairs.groupBy("place", "empty", "low", "high").agg(F.count("*").alias("rows"))
+    counted = values.groupBy("place").agg(F.sum("rows").alias("row_count"), F.sum(F.when(F.col("empty"), F.col("rows")).otherwise(0)).alias("null_count"),
+                                          F.count_if(~F.col("empty")).alias("distinct_count"))
+    named = F.array(*[F.struct(F.lit(i).alias("of"), F.lit(f.name).alias("column_name"), F.lit(f.dataType.simpleString()).alias("type")) for i, f in enumerate(fields)])
+    names = df.sparkSession.range(1).select(F.inline(named))  # also for a table without rows
+    zero = F.lit(0).cast("long")
+    return names.join(counted, F.col("of") == F.col("place"), "left").select("column_name", "type", *[F.coalesce(c, zero).alias(c) for c in ("row_count", "null_count", "distinct_count")])
 
 
 def distinct_values(df: DataFrame, column: str) -> DataFrame:

@@ -2,20 +2,24 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
-from tidewright.contracts import PLAYER_SCORED, PLAYER_TO_SCORE, TICK
+from tidewright.contracts import PLAYER, PLAYER_SCORED, PLAYER_TO_SCORE, TICK
 from tidewright.operators import models as M
-from tidewright.operators import views
+from tidewright.operators import quality, views
 from tidewright.operators.decode import decode_json, encode_json
 from tidewright.plans import bindings as B
 from tidewright.plans.model_queries import scoring_model
 from tidewright.plans.registry import ORACLE_SQL, query
+from tidewright.plans.table_queries import ACCEPTED_SQL
 from tidewright.plans.view_queries import TICK_COLUMNS, tick_messages
 from tidewright.session import scratch_path
 from tidewright.sources import tables
 from tidewright.sources.topics import FolderTopic, as_envelope, table_as_stream
 from tidewright.streaming import jobs
+from tidewright.streaming.counters import CounterLog, read_counters
 from tidewright.streaming.serving import ServingTable
 
 TICKS = "WITH " + B.TICKS_SQL + f" SELECT {TICK_COLUMNS} FROM ticks"
@@ -39,14 +43,13 @@ def stream_ingest_earliest(spark, sf):
 
 @query("stream_ingest_latest", TICKS + f" WHERE price_date >= '{B.HALF}'")
 def stream_ingest_latest(spark, sf):
-    """Messages already on the topic when the consumer first starts are not delivered."""
+    """Messages sent before the consumer's first start, here the middle of the span, are not delivered."""
     root = scratch_path(spark, "ingest-latest")
-    topic, messages = FolderTopic(f"{root}/topic"), tick_messages(spark, sf)
-    topic.publish(messages.filter(F.col("timestamp") < F.lit(B.HALF).cast("timestamp")))
-    jobs.skip_existing(spark, topic, f"{root}/checkpoint")
-    topic.publish(messages.filter(F.col("timestamp") >= F.lit(B.HALF).cast("timestamp")))
-    jobs.land_batches(decode_json(topic.read_stream(spark, "latest"), TICK), f"{root}/out", f"{root}/checkpoint")
-    return tables.scan(spark, f"{root}/out").drop("batch_id")
+    topic = FolderTopic(f"{root}/topic")
+    topic.publish(tick_messages(spark, sf))
+    fresh = jobs.only_new(topic.read_stream(spark, "latest"), B.HALF)
+    jobs.land(decode_json(fresh, TICK), f"{root}/out", f"{root}/checkpoint")
+    return tables.scan(spark, f"{root}/out")
 
 
 @query("stream_restart", TICKS)
@@ -113,6 +116,66 @@ def stream_relay(spark, sf):
     return served.read(spark).select(*TICK.columns)
 
 
+@query("stream_relay_once", "WITH " + B.TICKS_SQL + f" SELECT CAST(seq AS VARCHAR) AS message_id, {TICK_COLUMNS} FROM ticks")
+def stream_relay_once(spark, sf):
+    """Every message is on the topic twice, as after a producer lost its checkpoint; each is landed once, before any fold."""
+    root = scratch_path(spark, "relay-once")
+    for sending in ("first", "again"):
+        jobs.publish(event_stream(spark, sf), FolderTopic(f"{root}/topic/{sending}"), f"{root}/checkpoint-{sending}")
+    messages = FolderTopic(f"{root}/topic").read_stream(spark, max_per_trigger=2)
+    decoded = decode_json(messages, TICK, {"key": "message_id", "timestamp": "sent"})
+    # The sending time is the event's own here, so the span of the table is the longest delay.
+    arrived = jobs.once(decoded.withColumn("message_id", F.col("message_id").cast("string")), ["message_id"], "sent", "60 days")
+    jobs.land(arrived.drop("sent"), f"{root}/out", f"{root}/checkpoint")
+    return tables.scan(spark, f"{root}/out")
+
+
+@query("stream_latest", ORACLE_SQL["stream_relay"])
+def stream_latest(spark, sf):
+    """The newest row per source and day is kept as state and sent on whenever it changes; serving keeps the newest of all."""
+    root = scratch_path(spark, "latest")
+    rows = decode_json(event_stream(spark, sf), TICK).withColumn("_time", F.timestamp_millis("crawl_timestamp"))
+    newest = jobs.latest_rows(rows, ["source"], ["crawl_timestamp", "buy_price"], "_time", "60 days")
+    served = ServingTable(f"{root}/serving", ["source"], ["crawl_timestamp", "buy_price"])
+    served.follow(newest, f"{root}/checkpoint", output="update")
+    return served.read(spark).select(*TICK.columns)
+
+
+@query("stream_reject_counters", "WITH " + B.PLAYERS_SQL + f"""
+SELECT 'players' AS name, 'row_count' AS counter, count(*) AS amount FROM players
+UNION ALL SELECT 'players', 'rejected_count', count(*) FROM players WHERE NOT ({ACCEPTED_SQL})""")
+def stream_reject_counters(spark, sf):
+    """Player messages are validated as they land; a listener stores the counters of each batch."""
+    root = scratch_path(spark, "reject-counters")
+    messages = as_envelope(encode_json(B.players(table_as_stream(spark, f"{sf}/lineitem.parquet"))))
+    rules = quality.player_rules()
+    checked = quality.observed(decode_json(messages, PLAYER), "players", rules)
+    log = CounterLog(spark, f"{root}/counters")
+    spark.streams.addListener(log)
+    try:
+        landed = jobs.land(quality.accepted(checked, rules), f"{root}/out", f"{root}/checkpoint")
+        log.wait_for(landed.runId)
+    finally:
+        spark.streams.removeListener(log)
+    return read_counters(spark, f"{root}/counters")
+
+
+@query("compact_days", "WITH " + B.TICKS_SQL + f""", landed AS (
+  SELECT {TICK_COLUMNS}, CAST(year(CAST(price_date AS DATE)) AS INTEGER) AS year, CAST(month(CAST(price_date AS DATE)) AS INTEGER) AS month,
+         CAST(day(CAST(price_date AS DATE)) AS INTEGER) AS day FROM ticks)
+SELECT *, day IN (1, 2, 3) AS rewritten FROM landed WHERE day < 8""")
+def compact_days(spark, sf):
+    """A week is compacted, then three of its days again: only their files are new."""
+    root = scratch_path(spark, "compact-days")
+    rows = views.by_business_date(decode_json(event_stream(spark, sf), TICK))
+    jobs.land(rows, f"{root}/out", f"{root}/checkpoint", tables.DATE_PARTITIONS)
+    week = [dt.date(2024, 1, d) for d in range(1, 8)]
+    tables.compact_days(spark, f"{root}/out", f"{root}/compacted", week)
+    before = {r[0] for r in tables.scan(spark, f"{root}/compacted").select(F.input_file_name()).distinct().collect()}
+    tables.compact_days(spark, f"{root}/out", f"{root}/compacted", week[:3])
+    return tables.scan(spark, f"{root}/compacted").withColumn("rewritten", ~F.input_file_name().isin(*before))
+
+
 @query("stream_score")
 def stream_score(spark, sf):
     """Requests scored as they arrive, relayed as messages and served by player."""

@@ -148,7 +148,7 @@ _RULES_SQL = {
     "unknown_foot": "strong_foot NOT IN ('left', 'right', 'both')",
     **{f"bad_{c}": _AMOUNT_BAD.format(c=c) for c in quality.PLAYER_AMOUNTS},
 }
-_ACCEPTED_SQL = " AND ".join(f"NOT coalesce({rule}, false)" for rule in _RULES_SQL.values())
+ACCEPTED_SQL = " AND ".join(f"NOT coalesce({rule}, false)" for rule in _RULES_SQL.values())
 
 
 def _checked(spark, sf):
@@ -156,17 +156,17 @@ def _checked(spark, sf):
 
 
 @query("validate_records", "WITH " + B.PLAYERS_SQL + f"""
-SELECT player_id, position, strong_foot, CAST(goals AS DOUBLE) AS goals FROM players WHERE {_ACCEPTED_SQL}""")
+SELECT player_id, position, strong_foot, CAST(goals AS DOUBLE) AS goals FROM players WHERE {ACCEPTED_SQL}""")
 def validate_records(spark, sf):
     return quality.accepted(_checked(spark, sf), quality.player_rules()).select("player_id", "position", "strong_foot", "goals")
 
 
 @query("validate_reject_reasons", "WITH " + B.PLAYERS_SQL
-       + f" SELECT 'accepted' AS reason, count(*) AS row_count FROM players WHERE {_ACCEPTED_SQL} HAVING count(*) > 0"
+       + f" SELECT 'accepted' AS reason, count(*) AS row_count FROM players WHERE {ACCEPTED_SQL} HAVING count(*) > 0"
        + "".join(f" UNION ALL SELECT '{name}', count(*) FROM players WHERE {rule} HAVING count(*) > 0"
                  for name, rule in _RULES_SQL.items()))
 def validate_reject_reasons(spark, sf):
-    return quality.reason_counts(quality.with_reasons(_checked(spark, sf), quality.player_rules()))
+    return quality.count_reasons(_checked(spark, sf), quality.player_rules())
 
 
 # --- profiles -----------------------------------------------------------------------------------

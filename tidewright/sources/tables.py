@@ -69,6 +69,22 @@ def compact(spark: SparkSession, source: str, target: str, parts: Sequence[str]
     write_partitioned(scan(spark, source), target, parts, mode="errorifexists")
 
 
+def on_days(days: Sequence[dt.date], parts: Sequence[str] = DATE_PARTITIONS) -> Column:
+    """Predicate over year/month/day partition columns for a list of days; prunes folders."""
+    return F.make_date(*[F.col(p) for p in parts]).isin(*[F.lit(d) for d in days])
+
+
+def compact_days(spark: SparkSession, source: str, target: str, days: Sequence[dt.date],
+                 parts: Sequence[str] = DATE_PARTITIONS) -> None:
+    """Rewrite the landed files of some days into few files of ``target``; folders of other days stay as they are.
+
+    Only the folders of these days are read, and of ``target`` only those that the rows fall into are replaced, so a
+    repeated run changes nothing and a day may be compacted again after late files arrived.
+    """
+    chosen = scan(spark, source).filter(on_days(days, parts)).hint("rebalance", *parts)
+    chosen.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(target)
+
+
 def scan_csv(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = False) -> DataFrame:
     """CSV with header against a declared schema (no inference pass).
 

@@ -54,7 +54,7 @@ class FolderTopic:
 
     def read_stream(self, spark: SparkSession, starting: str = "earliest",
                     max_per_trigger: int | None = None) -> DataFrame:
-        """``starting`` matters only to Kafka; here see ``streaming.jobs.skip_existing``."""
+        """``starting`` matters only to Kafka; here see ``streaming.jobs.new_messages``."""
         reader = spark.readStream.schema(ENVELOPE).option("recursiveFileLookup", "true")
         if max_per_trigger:
             reader = reader.option("maxFilesPerTrigger", str(max_per_trigger))

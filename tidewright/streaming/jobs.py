@@ -6,9 +6,12 @@ query drains what is on the topic and stops, which is how tests and backfills ru
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from tidewright.sources.topics import FolderTopic, KafkaTopic, as_envelope
@@ -41,8 +44,8 @@ def land(rows: DataFrame, path: str, checkpoint: str, partitions: Sequence[str]
 
 
 def each_batch(rows: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str,
-               every: str | None = None) -> StreamingQuery:
-    return _start(rows.writeStream.foreachBatch(handle).outputMode("append"), checkpoint, every)
+               every: str | None = None, mode: str = "append") -> StreamingQuery:
+    return _start(rows.writeStream.foreachBatch(handle).outputMode(mode), checkpoint, every)
 
 
 def land_batches(rows: DataFrame, path: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
@@ -53,17 +56,51 @@ def land_batches(rows: DataFrame, path: str, checkpoint: str, every: str | None
     return each_batch(rows, write, checkpoint, every)
 
 
-def skip_existing(spark: SparkSession, topic: FolderTopic, checkpoint: str) -> None:
-    """First start of a "latest" consumer on a folder: mark present files as read.
+def first_start(spark: SparkSession, checkpoint: str) -> dt.datetime:
+    """When a consumer started for the first time (UTC); recorded beside its checkpoint, so a restart finds it."""
+    path = f"{checkpoint}-start"
+    try:
+        return spark.read.schema("started timestamp").parquet(path).first()["started"]
+    except AnalysisException:  # no such path yet
+        spark.range(1).select(F.current_timestamp().alias("started")).coalesce(1).write.parquet(path)
+        return first_start(spark, checkpoint)
 
-    The files are listed, not read. Positions live in the checkpoint, so a later
-    restart picks up whatever arrived meanwhile instead of skipping again. The
-    skipped part counts as batch 0, which the Parquet sink's own log would miss:
-    go on with ``each_batch``, ``land_batches`` or ``publish``, not with ``land``.
+
+def only_new(messages: DataFrame, since: dt.datetime | str, time: str = "timestamp") -> DataFrame:
+    """Messages that were sent at ``since`` or later."""
+    return messages.filter(F.col(time) >= F.lit(since).cast("timestamp"))
+
+
+def new_messages(spark: SparkSession, topic: KafkaTopic | FolderTopic, checkpoint: str,
+                 max_per_trigger: int | None = None) -> DataFrame:
+    """A topic from the consumer's first start on; what arrives while it is down is not lost.
+
+    Kafka keeps the offsets of the first start itself, a folder is filtered by message time.
+    """
+    messages = topic.read_stream(spark, "latest", max_per_trigger)
+    return messages if isinstance(topic, KafkaTopic) else only_new(messages, first_start(spark, checkpoint))
+
+
+def once(messages: DataFrame, ids: Sequence[str], time: str, within: str) -> DataFrame:
+    """Each message once, however often it was sent within that time; state is kept that long per id.
+
+    A message later than ``within`` behind the newest one is dropped. State is spread by a
+    hash of the ids.
+    """
+    return messages.withWatermark(time, within).dropDuplicatesWithinWatermark(list(ids))
+
+
+def latest_rows(rows: DataFrame, keys: Sequence[str], order: Sequence[str], time: str, late: str,
+                window: str = "1 day") -> DataFrame:
+    """The newest row per key and window of event time, for streams in update mode.
+
+    State is one row per key and window and is dropped when the watermark passes the window.
+    Rows of a key are folded before the shuffle. Whoever stores the result keeps the newest per key.
     """
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(f"{checkpoint}/commits")
-    if not hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path):
-        each_batch(topic.read_stream(spark), lambda batch, batch_id: None, checkpoint)
+    rest = [c for c in rows.columns if c not in keys]
+    newest = F.max_by(F.struct(*[F.col(f"`{c}`") for c in rest]), F.struct(*[F.col(f"`{c}`") for c in order])).alias("_newest")
+    folded = rows.withWatermark(time, late).groupBy(F.window(time, window).alias("_window"), *keys).agg(newest)
+    return folded.select(*keys, "_newest.*").select(*[F.col(f"`{c}`") for c in rows.columns])
 
 
 def publish(messages: DataFrame, topic: KafkaTopic | FolderTopic, checkpoint: str,

@@ -59,16 +59,16 @@ def serving(domain: Domain, path: str) -> ServingTable:
 
 
 def run_raw(spark: SparkSession, domain: Domain, topic: Topic, path: str, checkpoint: str,
-            every: str | None = jobs.LAND_EVERY) -> StreamingQuery:
+            every: str | None = jobs.LAND_EVERY, max_per_trigger: int | None = None) -> StreamingQuery:
     """Topic to the raw table, in date partitions where the domain has them."""
-    rows = domain.raw(decode_json(topic.read_stream(spark, "earliest"), domain.contract))
+    rows = domain.raw(decode_json(topic.read_stream(spark, "earliest", max_per_trigger), domain.contract))
     return jobs.land(rows, path, checkpoint, domain.partitions, every)
 
 
 def run_speed(spark: SparkSession, domain: Domain, topic: Topic, path: str, checkpoint: str,
-              every: str | None = jobs.SPEED_EVERY) -> StreamingQuery:
+              every: str | None = jobs.SPEED_EVERY, max_per_trigger: int | None = None) -> StreamingQuery:
     """Topic to served rows."""
-    rows = domain.speed(decode_json(topic.read_stream(spark, "earliest"), domain.contract))
+    rows = domain.speed(decode_json(topic.read_stream(spark, "earliest", max_per_trigger), domain.contract))
     return serving(domain, path).follow(rows, checkpoint, every)
 
 
@@ -88,10 +88,7 @@ def run_daily_view(spark: SparkSession, raw: str, path: str, days: int | None, a
 def run_scoring(spark: SparkSession, model: PipelineModel, topic: Topic, path: str, checkpoint: str,
                 every: str | None = jobs.SCORE_EVERY) -> StreamingQuery:
     """New requests scored and served by player; the model is loaded once, before the stream."""
-    if isinstance(topic, FolderTopic):
-        jobs.skip_existing(spark, topic, checkpoint)
-    requests = decode_json(topic.read_stream(spark, "latest"), C.PLAYER_TO_SCORE,
-                           {"timestamp": "kafka_ingest_timestamp"})
+    requests = decode_json(jobs.new_messages(spark, topic, checkpoint), C.PLAYER_TO_SCORE, {"timestamp": "kafka_ingest_timestamp"})
     served = ServingTable(path, C.PLAYER_SCORED.key, C.PLAYER_SCORED.order)
     return served.follow(score_players(requests, model), checkpoint, every)
 
@@ -99,20 +96,22 @@ def run_scoring(spark: SparkSession, model: PipelineModel, topic: Topic, path: s
 def run_scoring_to_topic(spark: SparkSession, model: PipelineModel, topic: Topic, target: Topic, checkpoint: str,
                          every: str | None = jobs.SCORE_EVERY) -> StreamingQuery:
     """As ``run_scoring``, but the scored rows go on as messages."""
-    if isinstance(topic, FolderTopic):
-        jobs.skip_existing(spark, topic, checkpoint)
-    requests = decode_json(topic.read_stream(spark, "latest"), C.PLAYER_TO_SCORE,
-                           {"timestamp": "kafka_ingest_timestamp"})
+    requests = decode_json(jobs.new_messages(spark, topic, checkpoint), C.PLAYER_TO_SCORE, {"timestamp": "kafka_ingest_timestamp"})
     return jobs.publish(encode_json(score_players(requests, model), F.col("player_id")), target, checkpoint, every)
 
 
+def messages_once(messages: DataFrame, within: str) -> DataFrame:
+    """Messages of a producer that may send a batch again: equal key and value within that time are one message."""
+    digest = F.md5(F.concat_ws("|", F.hex("key"), F.hex("value")))
+    return jobs.once(messages.withColumn("_digest", digest), ["_digest"], "timestamp", within).drop("_digest")
+
+
 def run_relay(spark: SparkSession, topic: Topic, path: str, checkpoint: str, contract: C.Contract = C.PLAYER_SCORED,
-              every: str | None = jobs.RELAY_EVERY, starting: str = "latest") -> StreamingQuery:
-    """Rows of one contract from a topic into serving."""
-    if isinstance(topic, FolderTopic) and starting == "latest":
-        jobs.skip_existing(spark, topic, checkpoint)
+              every: str | None = jobs.RELAY_EVERY, starting: str = "latest", within: str = "10 minutes") -> StreamingQuery:
+    """Rows of one contract from a topic into serving; a message sent again ``within`` that time is left out."""
+    messages = jobs.new_messages(spark, topic, checkpoint) if starting == "latest" else topic.read_stream(spark, starting)
     served = ServingTable(path, contract.key, contract.order)
-    return served.follow(decode_json(topic.read_stream(spark, starting), contract), checkpoint, every)
+    return served.follow(decode_json(messages_once(messages, within), contract), checkpoint, every)
 
 
 def publish_csv(spark: SparkSession, csv: str, contract: C.Contract, topic: Topic, key: str,

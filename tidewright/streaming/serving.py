@@ -63,8 +63,11 @@ class ServingTable:
         fold(keyed, self.keys, self.order).write.mode("overwrite").parquet(self._folder("changes", name))
 
     def follow(self, rows: DataFrame, checkpoint: str, every: str | None = None,
-               compact_every: int | None = None) -> StreamingQuery:
-        """Feed from a stream; ``compact_every`` batches the changes are folded into a new base."""
+               compact_every: int | None = None, output: str = "append") -> StreamingQuery:
+        """Feed from a stream; ``compact_every`` batches the changes are folded into a new base.
+
+        ``output`` is ``update`` for aggregates that send a row again whenever it changes.
+        """
         def store(batch: DataFrame, batch_id: int) -> None:
             # The id that the checkpoint gives the stream; a new checkpoint is a new writer.
             stream = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
@@ -72,7 +75,7 @@ class ServingTable:
             if compact_every and (batch_id + 1) % compact_every == 0:
                 self.compact(batch.sparkSession)
 
-        return each_batch(rows, store, checkpoint, every)
+        return each_batch(rows, store, checkpoint, every, output)
 
     def compact(self, spark: SparkSession) -> None:
         """Fold everything stored so far into a new base, which lists what it holds."""
