@@ -9,9 +9,9 @@ with one anchor form a run, and each window lies in exactly one run.
    each. Batches settle equal runs among themselves first, so a passage that a third of all
    documents share reaches its bucket once per batch.
 2. Where an anchor has several different runs, their windows may still be equal in part (at
-   the ends of a shared passage). Two runs with a window in common agree in the 17 bytes
-   before the anchor or in the 17 after it, so runs that share neither print are out. The rest are set on end, group by group, and sorted into
-   a suffix array and its Burrows-Wheeler transform. Breadth-first backward extension finds
+   the ends of a shared passage). Two runs with a window in common agree in all bytes that the
+   windows of one of CLASSES classes of the anchor's place have around it, so runs that share no
+   print are out. The rest are set on end, group by group, and sorted into a suffix array and its Burrows-Wheeler transform. Breadth-first backward extension finds
    the boundaries of the intervals of equal prefixes by increasing length and stops at 50:
    then every interval holds the places of one 50-byte string, and its least document keeps it.
 3. Anchors with more than HOT different runs don't fit one task. Their windows are hashed to
@@ -39,26 +39,36 @@ from tidewright.llm.common import kept_table, per_batch
 LENGTH, GRAM = 50, 16
 #: Bytes of text whose anchors share a bucket; different runs of an anchor that one task takes.
 BUCKET_BYTES, HOT = 4 << 20, 2048
-#: Bytes set on end for one transform.
-TRANSFORM_BYTES = 1 << 18
+#: Bytes set on end for one transform, and bytes of text whose runs are found at a time; both stay in the processor's cache.
+TRANSFORM_BYTES, CHUNK_BYTES = 1 << 16, 1 << 17
 #: Runs of neighbouring texts that settle equal ones among themselves.
 MEETING_RUNS = 1 << 19
 NULL_ID = (1 << 63) - 1
 FULL, PARTIAL, WINDOWED = 1, 2, 3
 
 
-SIDE = (LENGTH - GRAM) // 2
+def _reaches(classes: int) -> list[tuple[int, int]]:
+    """Bytes before and after the anchor that windows of a class have at least, by the anchor's place in the window."""
+    free = LENGTH - GRAM  # places of the anchor: 0 to free
+    starts = [k * (free + 1) // classes for k in range(classes + 1)]
+    return [(a, free - (b - 1)) for a, b in zip(starts, starts[1:], strict=False)]
+
+
+#: Prints of a run: two runs with a window in common agree in one of them.
+CLASSES = 4
+REACHES = _reaches(CLASSES)
 
 
 def runs(part: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, ...]:
-    """(text, first window, last window, anchor hash, key, right print) of each run.
+    """(text, first window, last window, anchor hash, key, prints) of each run.
 
-    The key is a hash of the run's bytes whose low 16 bits print the bytes before the
-    anchor; a print is 0 where no window of the run reaches so far.
+    A print is a hash of the anchor with the bytes of its reach, 0 where no window of the run
+    reaches so far. The key is a hash of the run's bytes whose low 16 bits are the first print;
+    the others are a row each.
     """
     none = np.zeros(0, np.int64)
     if len(part) < LENGTH:
-        return none, none, none, none.astype(np.uint64), none.astype(np.uint64), none.astype(np.uint16)
+        return none, none, none, none.astype(np.uint64), none.astype(np.uint64), np.zeros((0, CLASSES - 1), np.uint16)
     wide = np.ndarray(len(part) - 7, "<u8", part.tobytes(), strides=(1,))
     grams = A.mix(wide[:-8] ^ A.mix(wide[8:]))
     best = (grams & np.uint64(0xFFFFFFFF00000000)) | np.arange(len(grams), dtype=np.uint64)
@@ -82,12 +92,15 @@ def runs(part: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, ...]:
     first, last = np.flatnonzero(begins), np.flatnonzero(ends)
     at = anchor[first]
     key = A.mix(A.span_hashes(part, first, last + LENGTH) + (at - first).astype(np.uint64))
-    left, right = at - first >= SIDE, last + LENGTH - at - GRAM >= SIDE
-    prints = [np.where(has, A.span_hashes(part, np.where(has, a, 0), np.where(has, a + SIDE, 0)) & np.uint64(0xFFFF) | np.uint64(1), 0)
-              for has, a in ((left, at - SIDE), (right, at + GRAM))]
+    left, right = at - first, last + LENGTH - at - GRAM
+    prints = []
+    for before, after in REACHES:
+        has = (left >= before) & (right >= after)
+        start, end = np.where(has, at - before, 0), np.where(has, at + GRAM + after, 0)
+        prints.append(np.where(has, A.span_hashes(part, start, end) & np.uint64(0xFFFF) | np.uint64(1), 0).astype(np.uint16))
     key = (key & ~np.uint64(0xFFFF)) | prints[0].astype(np.uint64)
     text = np.searchsorted(bounds, first, "right") - 1
-    return text, first, last, grams[at], key, prints[1].astype(np.uint16)
+    return text, first, last, grams[at], key, np.stack(prints[1:], axis=1)
 
 
 def _ids(column: pa.Array) -> np.ndarray:
@@ -118,7 +131,7 @@ def _by_part(doc: np.ndarray, key: np.ndarray, parts: int):
         yield int(part[a]), key[a:b].tobytes(), doc[a:b].tobytes()
 
 
-MET = pa.schema([("bucket", pa.int32()), ("anchors", pa.binary()), ("keys", pa.binary()), ("rights", pa.binary()), ("docs", pa.binary()), ("flag", pa.int32())])
+MET = pa.schema([("bucket", pa.int32()), ("anchors", pa.binary()), ("keys", pa.binary()), ("prints", pa.binary()), ("docs", pa.binary()), ("flag", pa.int32())])
 
 
 def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
@@ -128,29 +141,29 @@ def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
 
 def meeting_rows(buckets: int):
     """Batches of texts to rows of MET: entries of anchors (flag 0) or settled runs, by part."""
-    def met(doc: np.ndarray, anchor: np.ndarray, key: np.ndarray, right: np.ndarray) -> pa.RecordBatch:
+    def met(doc: np.ndarray, anchor: np.ndarray, key: np.ndarray, prints: np.ndarray) -> pa.RecordBatch:
         order = np.lexsort((doc, key))
-        doc, anchor, key, right = doc[order], anchor[order], key[order], right[order]
+        doc, anchor, key, prints = doc[order], anchor[order], key[order], prints[order]
         starts = _groups(key)
         later = doc > np.repeat(doc[starts], np.diff(np.append(starts, len(key))))
         rows = [(buckets + part, None, keys, None, docs, FULL) for part, keys, docs in _by_part(doc[later], key[later], buckets)]
-        doc, anchor, key, right = doc[starts], anchor[starts], key[starts], right[starts]
+        doc, anchor, key, prints = doc[starts], anchor[starts], key[starts], prints[starts]
         bucket = (anchor % np.uint64(buckets)).astype(np.int64)
         order = np.lexsort((doc, bucket))
-        doc, anchor, key, right, bucket = doc[order], anchor[order], key[order], right[order], bucket[order]
+        doc, anchor, key, prints, bucket = doc[order], anchor[order], key[order], prints[order], bucket[order]
         starts = _groups(bucket)
         short = (anchor >> np.uint64(32)).astype(np.uint32)
         for a, b in zip(starts, np.append(starts, len(bucket))[1:], strict=True):
-            rows.append((int(bucket[a]), short[a:b].tobytes(), key[a:b].tobytes(), right[a:b].tobytes(), doc[a:b].tobytes(), 0))
+            rows.append((int(bucket[a]), short[a:b].tobytes(), key[a:b].tobytes(), prints[a:b].tobytes(), doc[a:b].tobytes(), 0))
         return _batch(rows, MET)
 
     def run(batches):
         for batch in batches:
             data, offsets = A.text_bytes(batch.column("text"))
             ids, found, size = _ids(batch.column("doc_id")), [], 0
-            for i, _, part, bounds in A.chunks(data, offsets):
-                text, _, _, anchor, key, right = runs(part, bounds)
-                found.append((ids[i + text], anchor, key, right))
+            for i, _, part, bounds in A.chunks(data, offsets, CHUNK_BYTES):
+                text, _, _, anchor, key, prints = runs(part, bounds)
+                found.append((ids[i + text], anchor, key, prints))
                 size += len(text)
                 if size >= MEETING_RUNS:
                     yield met(*(np.concatenate(x) for x in zip(*found, strict=True)))
@@ -170,18 +183,17 @@ def settle(buckets: int, hot: int):
         rows = [(b - buckets, k, d, f) for b, k, d, f in zip(*(group[c].to_pylist() for c in ("bucket", "keys", "docs", "flag")), strict=True) if f]
         entries = group.filter(pc.equal(group["flag"], 0))
         if entries.num_rows:
-            anchor, key, right, doc = (np.frombuffer(b"".join(entries[c].to_pylist()), t) for c, t in (("anchors", np.uint32), ("keys", np.uint64), ("rights", np.uint16), ("docs", np.int64)))
+            anchor, key, prints, doc = (np.frombuffer(b"".join(entries[c].to_pylist()), t) for c, t in (("anchors", np.uint32), ("keys", np.uint64), ("prints", np.uint16), ("docs", np.int64)))
             order = np.lexsort((doc, key, anchor))
-            anchor, key, right, doc = anchor[order], key[order], right[order], doc[order]
+            anchor, key, prints, doc = anchor[order], key[order], prints.reshape(len(key), CLASSES - 1)[order], doc[order]
             starts = _groups(anchor, key)
             later = doc > np.repeat(doc[starts], np.diff(np.append(starts, len(doc))))
             rows += [(*row, FULL) for row in _by_part(doc[later], key[later], buckets)]
-            anchor, key, right, doc = (x[starts].astype(x.dtype) for x in (anchor, key, right, doc))
-            left = key & np.uint64(0xFFFF)
+            anchor, key, prints, doc = (x[starts].astype(x.dtype) for x in (anchor, key, prints, doc))
             alike = np.zeros(len(key), bool)
-            for prints in (left, right.astype(np.uint64)):
-                has = np.flatnonzero(prints)
-                alike[has] |= A.repeats((anchor[has].astype(np.uint64) << np.uint64(16)) | prints[has])[0]
+            for own in (key & np.uint64(0xFFFF), *prints.T.astype(np.uint64)):
+                has = np.flatnonzero(own)
+                alike[has] |= A.repeats((anchor[has].astype(np.uint64) << np.uint64(16)) | own[has])[0]
             anchor, key, doc = anchor[alike], key[alike], doc[alike]
             groups = np.diff(np.append(_groups(anchor), len(anchor)))
             many = np.repeat(groups, groups) > hot
@@ -226,7 +238,7 @@ def pieces(buckets: int):
         out = []
         for batch in docs.to_batches():
             data, offsets = A.text_bytes(batch.column("text"))
-            for i, j, part, bounds in A.chunks(data, offsets):
+            for i, j, part, bounds in A.chunks(data, offsets, CHUNK_BYTES):
                 out += chunk(batch.column("doc_id").slice(i, j - i), part, bounds, known)
         return pa.Table.from_batches(out, schema=PIECES)
 
@@ -302,12 +314,14 @@ def interval_starts(symbols: np.ndarray, order: np.ndarray, ends: int, length: i
     """Where suffixes in ``order`` start to differ within ``length`` symbols from the one before.
 
     ``symbols`` below ``ends`` end texts. Level by level: the boundary of an interval at
-    length l, extended backward by a symbol of the transform, is one at length l + 1.
-    Places whose common prefix is known leave the search.
+    length l, extended backward by a symbol of the transform, is one at length l + 1. Each
+    place waits with the place before it of the same symbol until a boundary of the level
+    falls between the two; then it leaves the queue. Where a level adds no boundary, none follows.
     """
     n = len(symbols)
     transform = symbols[order - 1]
-    by_symbol = np.argsort(transform * n + np.arange(n))
+    # Few symbols: 16-bit numbers are sorted by their digits.
+    by_symbol = np.argsort(transform.astype(np.uint16) if symbols.max() < 1 << 16 else transform, kind="stable")
     to = np.empty(n, np.int64)  # backward extension of each place
     to[by_symbol] = np.arange(n)
     before = np.full(n, -1, np.int64)  # the place before with the same symbol
@@ -315,14 +329,21 @@ def interval_starts(symbols: np.ndarray, order: np.ndarray, ends: int, length: i
     before[by_symbol[1:][same]] = by_symbol[:-1][same]
     known = np.zeros(n, bool)
     known[0] = True
-    active = np.flatnonzero(transform >= ends)
-    for _ in range(length):
+    known[:ends] = True  # text ends differ from all else in their first symbol
+    place = np.flatnonzero(transform >= ends)
+    alone = before[place] < 0
+    known[to[place[alone]]] = True
+    place = place[~alone].astype(np.int32)
+    previous, target = before[place].astype(np.int32), to[place].astype(np.int32)
+    for step in range(1, length):
         level = np.cumsum(known, dtype=np.int32)
-        previous = before[active]
-        new = (previous < 0) | (level[active] > level[np.maximum(previous, 0)])
-        known[to[active[new]]] = True
-        known[:ends] = True  # text ends differ from all else in their first symbol
-        active = active[~new]
+        apart = level[place] > level[previous]
+        known[target[apart]] = True
+        if step % 4 == 0:  # those that are apart stay so; the queue is cleared of them now and then
+            if not apart.any():
+                break
+            waits = np.flatnonzero(~apart)
+            place, previous, target = place[waits], previous[waits], target[waits]
     return known
 
 
@@ -388,7 +409,7 @@ def substring_dedup(docs: DataFrame, bucket_bytes: int = BUCKET_BYTES, hot: int
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     total = texts.agg(F.sum(F.octet_length("text"))).head()[0] or 0
     buckets = max(1, -(-int(total) // bucket_bytes))
-    met = texts.mapInArrow(meeting_rows(buckets), "bucket int, anchors binary, keys binary, rights binary, docs binary, flag int")
+    met = texts.mapInArrow(meeting_rows(buckets), "bucket int, anchors binary, keys binary, prints binary, docs binary, flag int")
     fates = kept_table(met.groupBy("bucket").applyInArrow(settle(buckets, hot), "part int, keys binary, docs binary, flag int"), "fates")
     null_id = F.lit(NULL_ID)
     own_part = F.pmod(F.crc32(F.coalesce("doc_id", null_id).cast("string")), F.lit(buckets)).cast("int")
