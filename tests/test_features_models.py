@@ -222,6 +222,37 @@ def test_boosted_market_value_pipeline(line_rows):
     assert regression_metrics(scored, "market_value").first().r2 > 0.3
 
 
+def test_label_tables_score_as_the_indexer(spark, scratch):
+    rows = B.customer_players(B.table(spark, SF, "customer")).withColumn("contract_value_time", F.col("contract_value_time").try_cast("float"))
+    train = rows.filter(~F.col("player_id").endswith("3"))
+    regressor = M.exact_line(labelCol="market_value", regParam=0.1)
+    usual = M.fit(M.scaled_pipeline(regressor, M.MARKET_NUMBERS, M.MARKET_CATEGORIES), train).transform(rows)
+    fitted = M.fit_labelled(regressor, train, M.MARKET_NUMBERS, M.MARKET_CATEGORIES, scratch)
+    assert not any("StringIndexer" in type(s).__name__ for s in fitted.model.stages)
+    M.save_labelled(fitted, scratch)
+    ours = M.load_labelled(spark, scratch, M.MARKET_CATEGORIES).transform(rows)
+
+    def table(df):
+        numbers = [f"{c}_index" for c in M.MARKET_CATEGORIES]
+        return {r.player_id: ([r[c] for c in numbers], round(r.prediction, 4)) for r in df.select("player_id", "prediction", *numbers).collect()}
+    assert table(ours) == table(usual) and len(table(ours)) > 50
+
+
+def test_folds_belong_to_rows(spark):
+    rows = spark.range(3000).withColumn("label", F.col("id") * 2.0 + 1)
+    first = {r.id: r.fold for r in M.with_folds(rows, F.col("id")).collect()}
+    again = {r.id: r.fold for r in M.with_folds(rows.repartition(7), F.col("id")).collect()}
+    assert first == again and set(first.values()) == {0, 1, 2}
+
+
+def test_one_fit_serves_a_session(spark, monkeypatch):
+    from tidewright.plans import model_queries as Q
+    asked = []
+    monkeypatch.setattr(Q, "trained", lambda spark, sf, kind: asked.append(kind) or kind)
+    monkeypatch.setattr(Q, "_FITTED", {})
+    assert [Q.fitted_once(spark, "a", "x"), Q.fitted_once(spark, "a", "x"), Q.fitted_once(spark, "b", "x")] == ["x"] * 3 and len(asked) == 2
+
+
 def test_preview_is_ordered(spark):
     df = spark.createDataFrame([(i,) for i in (3, 1, 2)], "i int")
     assert [r.i for r in M.sample_rows(df, ["i"], 2).collect()] == [1, 2]
@@ -232,7 +263,6 @@ def test_queries_fit_with_the_full_settings(spark, monkeypatch):
     from tidewright.plans.catalog import QUERIES
     forest = Q.scoring_model(spark, "/root/testdata/sf0.001").stages[-1]
     assert (forest.getNumTrees, forest.getOrDefault("maxDepth"), forest.getOrDefault("maxBins")) == (100, 20, 32)
-    assert {"fit_player_forest", "fit_device_forest"} <= set(QUERIES)
     asked = []
 
     def trained(spark, sf, kind, **settings):

@@ -7,7 +7,6 @@ import __spark_entry__ as contract
 from tidewright.plans.catalog import ORACLE_SQL, QUERIES
 
 SF = "/root/testdata/sf0.001"
-HEAVY = {"fit_forest", "fit_gbt", "fit_device_sales", "fit_mlp_bands", "fit_cv"}
 
 
 @pytest.fixture(scope="module")
@@ -20,7 +19,7 @@ def test_query_equals_sql(spark, con, name):
     assert compare(QUERIES[name](spark, SF), con, ORACLE_SQL[name]) == []
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLE_SQL) - HEAVY))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLE_SQL)))
 def test_query_without_sql_has_rows(spark, name):
     assert not QUERIES[name](spark, SF).isEmpty()
 

@@ -10,28 +10,29 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import MultilayerPerceptronClassifier
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import OneHotEncoder, QuantileDiscretizer, StandardScaler, StringIndexer, VectorAssembler
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import AtomicType
 
 from tidewright.contracts import FEATURE_COLUMNS, LOG_COLUMNS, PLAYER_SCORED
 from tidewright.functions import dates as D
-from tidewright.operators.features import log_features, log_names
+from tidewright.operators.features import apply_index, frequency_index, hash_percent, log_features, log_names
 from tidewright.operators.project import project_contract
 from tidewright.operators.quality import all_of, outfield_lenient, outfield_strict
 from tidewright.operators.views import repaired_height
 
 SEED = 42
-# Parts that training rows are dealt to; the same on every machine, as trees draw rows per part.
-FIT_PARTS = 16
+# Training rows per part; the number of parts follows from the rows alone, as trees draw rows per part.
+PART_ROWS = 50_000
 
 # --- fixed values: regressor settings by use ------------------------------------------
 SETTINGS = {
@@ -49,10 +50,11 @@ DEVICE_CATEGORIES = ["brand", "category", "color", "RAM", "ROM"]
 DEVICE_NUMBERS = ["price", "price_old", "percent"]
 # market value pipeline
 MARKET_CATEGORIES = ["player_club", "position", "nationality", "player_agent", "strong_foot"]
-MARKET_NUMBERS = (
-    "age player_height contract_value_time appearances PPG goals assists own_goals substitutions_on "
-    "substitutions_off yellow_cards second_yellow_cards red_cards penalty_goals minutes_per_goal minutes_played"
-).split()
+MARKET_NUMBERS = [
+    "age", "player_height", "contract_value_time", "appearances", "PPG", "goals", "assists", "own_goals",
+    "substitutions_on", "substitutions_off", "yellow_cards", "second_yellow_cards", "red_cards", "penalty_goals",
+    "minutes_per_goal", "minutes_played",
+]
 # -----------------------------------------------------------------------------------------
 
 
@@ -60,11 +62,11 @@ MARKET_NUMBERS = (
 def kept(df: DataFrame):
     """Training rows held in memory and on disk while a fit reads them.
 
-    They are dealt to a fixed number of parts by their values and sorted, so trees draw the
-    same rows whatever the machine and the layout of the input.
+    They are dealt by their values to as many parts as their number asks for and sorted, so
+    trees draw the same rows whatever the machine and the layout of the input.
     """
     plain = [f.name for f in df.schema.fields if isinstance(f.dataType, AtomicType)]
-    parts = df.repartition(FIT_PARTS, *[F.col(f"`{c}`") for c in plain])
+    parts = df.repartition(max(1, -(-df.count() // PART_ROWS)), *[F.col(f"`{c}`") for c in plain])
     held = parts.sortWithinPartitions(*[F.col(f"`{c}`") for c in plain]).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         yield held
@@ -84,6 +86,16 @@ def boosted(setting: str = "boosted_market_value", **overrides) -> GBTRegressor:
     return GBTRegressor(**{**SETTINGS[setting], **overrides})
 
 
+def exact_line(**overrides) -> LinearRegression:
+    """Least squares without a penalty, by the normal equations."""
+    return LinearRegression(**{"solver": "normal", "regParam": 0.0, "elasticNetParam": 0.0, **overrides})
+
+
+def stump(**overrides) -> DecisionTreeRegressor:
+    """A tree of one cut; a column of at most ``maxBins`` values is cut exactly."""
+    return DecisionTreeRegressor(**{"maxDepth": 1, "maxBins": 64, "seed": SEED, **overrides})
+
+
 # --- pipelines -------------------------------------------------------------------------
 
 
@@ -120,6 +132,62 @@ def load(path: str) -> PipelineModel:
     return PipelineModel.load(path)
 
 
+# --- label tables beside a model ----------------------------------------------------------
+
+
+@dataclass(frozen=True)
+class LabelledModel:
+    """A pipeline over label numbers, and the table they come from: (column, label, label_count, label_index).
+
+    The labels of a column are a table that is joined at scoring, so no column's labels are gathered
+    on the driver or sent along with the model, however many there are.
+    """
+
+    model: PipelineModel
+    labels: DataFrame
+    categories: Sequence[str]
+
+    def indexed(self, df: DataFrame) -> DataFrame:
+        for c in self.categories:
+            own = self.labels.filter(F.col("column") == c).select("label", "label_count", "label_index")
+            df = apply_index(df, own, c, f"{c}_index", "keep")
+        return df
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        return self.model.transform(self.indexed(df))
+
+
+def label_table(df: DataFrame, categories: Sequence[str]) -> DataFrame:
+    parts = [frequency_index(df, c).select(F.lit(c).alias("column"), "label", "label_count", "label_index") for c in categories]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def fit_labelled(regressor, train: DataFrame, numbers: Sequence[str], categories: Sequence[str], path: str) -> LabelledModel:
+    """Index categories from a table written to ``path``, assemble (NULL rows skipped), standardise, regress.
+
+    Gives the scores of ``scaled_pipeline``, whose indexer numbers labels alike and keeps unseen ones.
+    """
+    label_table(train, categories).write.partitionBy("column").parquet(f"{path}/labels")
+    labels = read_labels(train.sparkSession, path)
+    prepared = LabelledModel(PipelineModel(stages=[]), labels, list(categories))
+    pipeline = scaled_pipeline(regressor, [*numbers, *[f"{c}_index" for c in categories]])
+    return LabelledModel(fit(pipeline, prepared.indexed(train)), labels, list(categories))
+
+
+def read_labels(spark: SparkSession, path: str) -> DataFrame:
+    schema = "label string, label_count long, label_index double, `column` string"
+    return spark.read.schema(schema).parquet(f"{path}/labels")
+
+
+def save_labelled(labelled: LabelledModel, path: str) -> None:
+    """The fitted stages beside the label table, which ``fit_labelled`` wrote to the same path."""
+    save(labelled.model, f"{path}/model", overwrite=False)
+
+
+def load_labelled(spark: SparkSession, path: str, categories: Sequence[str]) -> LabelledModel:
+    return LabelledModel(load(f"{path}/model"), read_labels(spark, path), list(categories))
+
+
 # --- price bands with a perceptron --------------------------------------------------------
 
 
@@ -188,15 +256,33 @@ def fit_bands(train: DataFrame, numbers: Sequence[str], category: str, target: s
 # --- search and inspection ------------------------------------------------------------------
 
 
+def with_folds(df: DataFrame, key: Column, folds: int = 3, name: str = "fold") -> DataFrame:
+    """Adds a fold 0..folds-1 that belongs to the row, on any partitioning."""
+    return df.withColumn(name, F.pmod(hash_percent(key), F.lit(folds)).cast("int"))
+
+
+def fold_metrics(search: CrossValidatorModel, rows: DataFrame, label: str, fold: str = "fold") -> DataFrame:
+    """fold, setting, row_count, rmse: each sub-model on the fold it has not seen. Needs ``keep_models``."""
+    out = []
+    for place, models in enumerate(search.subModels):
+        held_out = rows.filter(F.col(fold) == place)
+        for setting, model in enumerate(models):
+            miss = (F.col("prediction") - F.col(label)) * (F.col("prediction") - F.col(label))
+            out.append(model.transform(held_out).agg(F.count("*").alias("row_count"), F.sqrt(F.avg(miss)).alias("rmse")).select(
+                F.lit(place).alias("fold"), F.lit(setting).alias("setting"), "row_count", "rmse"))
+    return reduce(DataFrame.unionByName, out)
+
+
 def cross_validate(pipeline: Pipeline, grid: Mapping, train: DataFrame, label: str = "label",
-                   folds: int = 3, parallelism: int = 2) -> CrossValidatorModel:
-    """Grid search by k-fold RMSE; fits of one fold run side by side."""
+                   folds: int = 3, parallelism: int = 2, fold: str | None = None, keep_models: bool = False) -> CrossValidatorModel:
+    """Grid search by k-fold RMSE; fits of one fold run side by side. ``fold`` names a column that holds each row's fold."""
     builder = ParamGridBuilder()
     for param, values in grid.items():
         builder = builder.addGrid(param, values)
     search = CrossValidator(
         estimator=pipeline, estimatorParamMaps=builder.build(), numFolds=folds, parallelism=parallelism, seed=SEED,
         evaluator=RegressionEvaluator(labelCol=label, predictionCol="prediction", metricName="rmse"),
+        collectSubModels=keep_models, **({"foldCol": fold} if fold else {}),
     )
     with kept(train) as rows:
         return search.fit(rows)

@@ -148,9 +148,44 @@ PLAYERS_SQL = """players AS (
   FROM lineitem)"""
 
 
+#: What the models read of players: a row per customer, in the columns of PLAYER ({text}: the engine's name of the type).
+CUSTOMER_PLAYERS = (
+    "CAST(c_custkey AS {text}) AS player_id", "c_name AS name", "concat('Club ', c_mktsegment) AS player_club",
+    "CAST(16 + c_custkey % 20 AS FLOAT) AS age",
+    "CASE c_custkey % 6 WHEN 0 THEN 'Goalkeeper' WHEN 1 THEN NULL ELSE 'Centre-Forward' END AS position",
+    "'0' AS goalkeeper_or_not", "CAST(c_acctbal + 1000 + c_custkey % 20 * 100 AS FLOAT) AS market_value",
+    "concat('Nation ', c_nationkey) AS nationality",
+    "CAST(CASE WHEN c_custkey % 2 = 0 THEN CAST(160 + c_custkey % 40 AS DOUBLE) "
+    "ELSE CAST(160 + c_custkey % 40 AS DOUBLE) / 100 END AS FLOAT) AS player_height",
+    "concat('Agent ', c_custkey % 300) AS player_agent",
+    "CASE c_custkey % 9 WHEN 0 THEN 'N/A' WHEN 1 THEN 'both' WHEN 2 THEN NULL WHEN 3 THEN 'left' ELSE 'right' END AS strong_foot",
+    "CAST(2024 + c_custkey % 5 AS {text}) AS contract_value_time",
+    "CAST(CASE WHEN c_custkey % 17 <> 0 THEN c_custkey % 50 END AS FLOAT) AS appearances",
+    "CAST(c_custkey % 31 AS FLOAT) AS PPG", "CAST(floor(c_acctbal / 500 + 2) AS FLOAT) AS goals",
+    "CAST(c_custkey % 13 AS FLOAT) AS assists", "CAST(c_custkey % 2 AS FLOAT) AS own_goals",
+    "CAST(c_custkey % 11 AS FLOAT) AS substitutions_on", "CAST(c_custkey % 7 AS FLOAT) AS substitutions_off",
+    "CAST(c_custkey % 8 AS FLOAT) AS yellow_cards", "CAST(c_custkey % 3 AS FLOAT) AS second_yellow_cards",
+    "CAST(c_custkey % 4 AS FLOAT) AS red_cards", "CAST(c_custkey % 5 AS FLOAT) AS penalty_goals",
+    "CAST(c_custkey % 400 AS FLOAT) AS minutes_per_goal", "CAST(c_custkey % 50 * 80 AS FLOAT) AS minutes_played",
+    "CAST(0 AS FLOAT) AS goals_conceded", "CAST(0 AS FLOAT) AS clean_sheet",
+    "CAST(1704067200000 + c_custkey AS BIGINT) AS crawl_timestamp",
+    "concat('https://site.example/profil/', c_custkey) AS source",
+)
+CUSTOMER_PLAYERS_SQL = "players AS (SELECT " + ", ".join(CUSTOMER_PLAYERS).format(text="VARCHAR") + " FROM customer)"
+
+
+def customer_players(customer: DataFrame) -> DataFrame:
+    """Fewer players than ``players``, with the same gaps: what the models are fitted to."""
+    return customer.selectExpr(*[c.format(text="STRING") for c in CUSTOMER_PLAYERS])
+
+
 def players_to_score(lineitem: DataFrame) -> DataFrame:
-    """The same players as scoring requests."""
-    return players(lineitem).withColumnsRenamed({
+    return as_requests(players(lineitem))
+
+
+def as_requests(rows: DataFrame) -> DataFrame:
+    """Players as scoring requests."""
+    return rows.withColumnsRenamed({
         "name": "player_name", "player_club": "club", "crawl_timestamp": "ingest_timestamp_manual",
     }).withColumn("source_type", F.lit("table")).drop("player_agent")
 

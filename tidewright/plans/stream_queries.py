@@ -182,8 +182,8 @@ def stream_score(spark, sf):
     root = scratch_path(spark, "score")
     model_path = f"{root}/model"
     M.save(scoring_model(spark, sf), model_path)
-    rows = table_as_stream(spark, f"{sf}/lineitem.parquet")
-    requests = as_envelope(encode_json(B.players_to_score(rows)))
+    rows = table_as_stream(spark, f"{sf}/customer.parquet")
+    requests = as_envelope(encode_json(B.as_requests(B.customer_players(rows))))
     decoded = decode_json(requests, PLAYER_TO_SCORE, {"timestamp": "kafka_ingest_timestamp"})
     scored_topic = FolderTopic(f"{root}/scored")
     scored = M.score_players(decoded, M.load(model_path))
