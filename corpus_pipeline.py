@@ -6,8 +6,10 @@ left is dealt to shards. Every stage but the last returns the columns of ``docum
 last adds ``shard`` and ``depth``. Each stage is written to the folder all executors
 share and read again, so a lost executor repeats at most one stage.
 
-Nulls, empty texts, repeated rows and empty tables are as each operator defines them;
-rows with a null ``doc_id`` are treated as one document.
+Nulls, empty texts, repeated rows and empty tables are as each operator defines them. The
+first three stages tell rows apart by id and text, so rows with a null ``doc_id`` and different
+texts under one id are judged each by itself. Columns of the input named ``shard`` or ``depth``
+are replaced by the last stage.
 """
 
 from __future__ import annotations
@@ -20,7 +22,7 @@ from tidewright.llm.common import kept_table, table
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return quality_rules.drop_rejected(docs, quality_rules.quality_rules(docs))
+    return quality_rules.drop_rejected(docs, quality_rules.row_verdicts(docs))
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,7 +30,7 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return decontaminate.without_leaks(docs, decontaminate.contaminated(docs, table(spark, sf_dir, "benchmark")))
+    return decontaminate.without_leaks(docs, decontaminate.row_leaks(docs, table(spark, sf_dir, "benchmark")))
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,7 +51,7 @@ STAGES = [
     ("sharding", sharded),
 ]
 
-#: SQL can express neither the estimates nor the signatures; tests hold a brute-force version.
+#: SQL can express neither the estimates nor the signatures; tests compare stages with plain versions of their decisions.
 ORACLE_SQL = None
 
 
