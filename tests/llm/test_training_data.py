@@ -252,10 +252,39 @@ def test_near_duplicates_odd(odd, none):
     assert {r.doc_id: r.class_id for r in got if r.doc_id in (1, 2, 7, 10)} == {1: 1, 2: 1, 7: 1, 10: 6}
     kept = near_dedup.one_of_each(odd)
     assert kept.columns == odd.columns
-    assert sorted(r.doc_id or 0 for r in kept.collect()) == [0, 1, 3, 4, 5, 6, 8, 9]
+    # Of the two rows without an id, one has words and one has none: both stay.
+    assert sorted(r.doc_id or 0 for r in kept.collect()) == [0, 0, 1, 3, 4, 5, 6, 8, 9]
     assert near_dedup.near_duplicates(none).count() == 0 and near_dedup.one_of_each(none).count() == 0
 
 
+def test_rows_without_ids_and_two_texts_under_one(spark):
+    """Null ids and repeated ids are told apart by their texts in all three stages that drop rows."""
+    rng = random.Random(21)
+    a, b, c, d = (sentence(rng, 200) for _ in range(4))
+    near_a = a + " tail"
+    docs = [(1, a), (None, near_a), (None, b), (None, b), (None, c), (None, c + " end"), (2, d), (2, b), (None, None), (None, "")]
+    df = spark.createDataFrame([(i, t, "en", "s", k) for k, (i, t) in enumerate(docs)], "doc_id long, text string, lang string, source string, n_chars int")
+    classes = near_dedup.near_duplicates(df).collect()
+    assert len(classes) == 10
+    got = Counter((r.doc_id, r.class_id, r.class_size, r.class_key is None) for r in classes)
+    assert got == Counter({(1, 1, 2, False): 1, (None, 1, 2, False): 1, (None, 2, 3, False): 2, (2, 2, 3, False): 1,
+                           (None, None, 2, False): 2, (2, 2, 1, False): 1, (None, None, 2, True): 2})
+    left = [(r.doc_id, r.text) for r in near_dedup.one_of_each(df).collect()]
+    assert sorted(map(str, left)) == sorted(map(str, [(1, a), (2, b), (2, d), (None, None), (None, ""), (None, next(t for i, t in left if t in (c, c + " end")))]))
+
+    junk = "word " * 100
+    mixed = df.union(spark.createDataFrame([(None, junk, "en", "s", 10), (2, junk, "en", "s", 11)], df.schema))
+    verdicts = quality_rules.row_verdicts(mixed)
+    kept = {(r.doc_id, r.text) for r in quality_rules.drop_rejected(mixed, verdicts).collect()}
+    judged = {(r.doc_id, r.n_words): r.kept for r in verdicts.collect()}
+    assert (None, junk) not in kept and (2, junk) not in kept
+    assert {(i, t) for i, t in docs if t and judged[i, len(t.split())]} <= kept
+
+    bench = spark.createDataFrame([(7, b)], "item_id long, text string")
+    clean = [(r.doc_id, r.text) for r in decontaminate.without_leaks(df, decontaminate.row_leaks(df, bench)).collect()]
+    assert sorted(map(str, clean)) == sorted(map(str, [(i, t) for i, t in docs if t != b]))
+
+
 def test_darts_estimate_similarity():
     rng = np.random.default_rng(2)
     a, b = rng.integers(0, 2 ** 63, 900).astype(np.uint64), rng.integers(0, 2 ** 63, 100).astype(np.uint64)

@@ -40,3 +40,24 @@ def per_batch(work: Callable[[pa.RecordBatch], pa.RecordBatch | None]) -> Callab
 def bucket_of(column: str, n: int):
     """Remainder 0 <= b < n of crc32 of the column as text (null: 0)."""
     return F.coalesce(F.crc32(F.col(column).cast("string")), F.lit(0)) % n
+
+
+ROW_KEY = ("__text_a", "__text_b")
+
+
+def with_row_key(docs: DataFrame) -> DataFrame:
+    """``docs`` with 128 bits of its text: with ``doc_id`` they name a row, also among null or repeated ids."""
+    return docs.withColumns({name: F.xxhash64(F.lit(salt), F.col("text")) for salt, name in enumerate(ROW_KEY)})
+
+
+def rows_named(docs: DataFrame, named: DataFrame, how: str) -> DataFrame:
+    """Rows of ``docs`` that ``named`` lists, ``left_semi``, or doesn't, ``left_anti``; columns as they came.
+
+    ``named`` has doc_id and ROW_KEY; without ROW_KEY, rows are named by their id alone.
+    """
+    keys = [c for c in ROW_KEY if c in named.columns]
+    listed = named.select(F.col("doc_id").alias("__id"), *[F.col(c).alias(f"{c}_of") for c in keys]).distinct()
+    same = F.col("doc_id").eqNullSafe(F.col("__id"))
+    for c in keys:
+        same = same & (F.col(c) == F.col(f"{c}_of"))
+    return (with_row_key(docs) if keys else docs).join(listed, same, how).select(*[F.col(f"`{c}`") for c in docs.columns])

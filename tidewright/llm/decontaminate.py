@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewright.llm import arrays as A
-from tidewright.llm.common import kept_table, per_batch
+from tidewright.llm.common import ROW_KEY, kept_table, per_batch, rows_named, with_row_key
 
 PASSAGE_WORDS = 64
 WINDOWS = (10, 20, 40, 80)
@@ -283,11 +283,12 @@ def item_passages(items: DataFrame) -> DataFrame:
     return items.select("item_id", "text", answer.alias("answer"))
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, block_items: int = BLOCK_ITEMS, rank: int = RANK) -> DataFrame:
-    """doc_id, item_id, cosine, share, answer_found: a row per document and item that it contains."""
+def contaminated(docs: DataFrame, benchmark: DataFrame, block_items: int = BLOCK_ITEMS, rank: int = RANK, keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """doc_id, item_id, cosine, share, answer_found: a row per document and item that it contains. ``keys`` name a document."""
     spark = docs.sparkSession
-    key, item_key = docs.schema["doc_id"].dataType.simpleString(), benchmark.schema["item_id"].dataType.simpleString()
-    schema = f"doc_id {key}, item_id {item_key}, cosine double, share double, answer_found boolean"
+    own = ", ".join(f"{c} {docs.schema[c].dataType.simpleString()}" for c in keys)
+    item_key = benchmark.schema["item_id"].dataType.simpleString()
+    schema = f"{own}, item_id {item_key}, cosine double, share double, answer_found boolean"
     items = item_passages(benchmark)
     size = items.agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("bytes")).first()
     blocks = max(1, -(-size["n"] // block_items), -(-(size["bytes"] or 0) // BLOCK_BYTES))
@@ -319,16 +320,20 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, block_items: int = BLOCK
             docs_at = pa.array([f[0] for f in found], pa.int64())
             ids = pa.array([index.items.ids[f[1]] for f in found])
             return pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").take(docs_at), ids.cast(item_type), pa.array([f[2] for f in found], pa.float64()), pa.array([f[3] for f in found], pa.float64()), pa.array([f[4] for f in found], pa.bool_())],
-                names=["doc_id", "item_id", "cosine", "share", "answer_found"])
+                [*[batch.column(c).take(docs_at) for c in keys], ids.cast(item_type), pa.array([f[2] for f in found], pa.float64()), pa.array([f[3] for f in found], pa.float64()), pa.array([f[4] for f in found], pa.bool_())],
+                names=[*keys, "item_id", "cosine", "share", "answer_found"])
 
         item_type = pa.string() if item_key == "string" else pa.int32() if item_key == "int" else pa.int64()
-        out = out.unionByName(docs.select("doc_id", "text").mapInArrow(per_batch(work), schema))
-    return out.groupBy("doc_id", "item_id").agg(F.max(F.struct("share", "cosine", "answer_found")).alias("best")).select(
-        "doc_id", "item_id", "best.cosine", "best.share", "best.answer_found")
+        out = out.unionByName(docs.select(*keys, "text").mapInArrow(per_batch(work), schema))
+    return out.groupBy(*keys, "item_id").agg(F.max(F.struct("share", "cosine", "answer_found")).alias("best")).select(
+        *keys, "item_id", "best.cosine", "best.share", "best.answer_found")
+
+
+def row_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """As ``contaminated``, with ROW_KEY: which rows contain an item, also among null or repeated ids."""
+    return contaminated(with_row_key(docs.select("doc_id", "text")), benchmark, keys=("doc_id", *ROW_KEY))
 
 
 def without_leaks(docs: DataFrame, leaks: DataFrame) -> DataFrame:
-    """``docs`` without the rows that contain an item; columns as they came."""
-    found = leaks.select(F.col("doc_id").alias("__leak")).distinct()
-    return docs.join(found, docs["doc_id"].eqNullSafe(F.col("__leak")), "left_anti")
+    """``docs`` without the rows that ``leaks`` (of ``row_leaks``) lists; columns as they came."""
+    return rows_named(docs, leaks, "left_anti")

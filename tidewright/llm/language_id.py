@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewright.llm.arrays import mix, owners
-from tidewright.llm.common import bucket_of, per_batch
+from tidewright.llm.common import bucket_of, kept_table, per_batch
 
 UNKNOWN = "und"
 FOLDS, TEST_FOLD = 4, 2
@@ -156,7 +156,8 @@ def fit_centroids(training: DataFrame, fit_rows: int = FIT_ROWS, centroids: int
     training = training.where(F.col("text").isNotNull() & F.col("lang").isNotNull())
     n, found = document_frequencies(training)
     idf = (np.log((n + 1) / (found + 1)) + 0.05).astype(np.float32)
-    sizes = training.groupBy("lang").agg(F.count("*").alias("lang_rows")).withColumnRenamed("lang", "g_lang")
+    # A row per language, as many as models come to the driver below: written, it is broadcast by its size, so no text moves for it.
+    sizes = kept_table(training.groupBy("lang").agg(F.count("*").alias("lang_rows")).withColumnRenamed("lang", "g_lang"), "lang-sizes")
     # A row's hash decides by itself whether it is in the sample, so no task ranks a language.
     share = F.pmod(F.xxhash64("doc_id", F.lit("fit")), F.lit(1 << 30)) / F.lit(float(1 << 30))
     sample = training.withColumn("share", share).join(sizes, F.col("lang") == F.col("g_lang")).where(

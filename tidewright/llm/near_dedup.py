@@ -24,7 +24,9 @@ So every two texts that share a band are compared or in one class already.
 
 A text of fewer than five words has one shingle of all of them. A null text or one without
 words is like no other and is a class of its own. Class ids are the least doc_id of the
-class, null ids last. Repeated rows are copies of each other. An empty table gives no rows.
+class, null ids last; a class of null ids only has none, and is named by ``class_key``, the least
+hash of its words. Rows are told apart by id and text, so null ids and two texts under one id
+are compared like all others. Repeated rows are copies of each other. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -37,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewright.llm import arrays as A
-from tidewright.llm.common import kept_table, per_batch
+from tidewright.llm.common import ROW_KEY, kept_table, per_batch, rows_named, with_row_key
 
 SHINGLE_WORDS = 5
 THRESHOLD = 0.8
@@ -120,7 +122,7 @@ def banded(signature: np.ndarray) -> np.ndarray:
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """doc_id, words_a, words_b (128 bits over the words; null without words), bands."""
+    """doc_id, ROW_KEY, words_a, words_b (128 bits over the words; null without words), bands."""
     key = docs.schema["doc_id"].dataType.simpleString()
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -142,10 +144,11 @@ def fingerprints(docs: DataFrame) -> DataFrame:
                 bands[i:j] = banded(dart_signatures(units, owner, j - i))
         flat = pa.array(bands.reshape(-1).view(np.int64))
         lists = pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * BANDS), flat)
-        columns = [batch.column("doc_id")] + [pa.array(whole[:, k].view(np.int64), mask=~has) for k in (0, 1)] + [lists]
-        return pa.RecordBatch.from_arrays(columns, names=["doc_id", "words_a", "words_b", "bands"])
+        columns = [batch.column(c) for c in ("doc_id", *ROW_KEY)] + [pa.array(whole[:, k].view(np.int64), mask=~has) for k in (0, 1)] + [lists]
+        return pa.RecordBatch.from_arrays(columns, names=["doc_id", *ROW_KEY, "words_a", "words_b", "bands"])
 
-    return docs.select("doc_id", "text").mapInArrow(per_batch(work), f"doc_id {key}, words_a long, words_b long, bands array<long>")
+    keys = ", ".join(f"{c} long" for c in ROW_KEY)
+    return with_row_key(docs.select("doc_id", "text")).mapInArrow(per_batch(work), f"doc_id {key}, {keys}, words_a long, words_b long, bands array<long>")
 
 
 def shared_buckets(bands: DataFrame) -> DataFrame:
@@ -354,33 +357,55 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """doc_id, class_id, class_size for every row."""
+def row_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """doc_id, ROW_KEY, class_id, class_key, class_size and ``first`` (id and key of the row that stands for the class) of every row."""
     marks = kept_table(fingerprints(docs), "fingerprints")
-    copies = marks.where("words_a is not null").groupBy("words_a", "words_b").agg(F.min("doc_id").alias("first_id"))
-    copies = kept_table(copies.withColumnsRenamed({"words_a": "c_a", "words_b": "c_b"}), "copies")
-    # Representatives: distinct texts. A row with a null id stands for itself only among null ids.
-    firsts = copies.where("first_id is not null").select(F.col("first_id").alias("f_id"))
-    bands = marks.join(firsts.hint("merge"), F.col("doc_id") == F.col("f_id")).select(F.col("doc_id").alias("id"), "bands").dropDuplicates(["id"])
+    own = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", *ROW_KEY)
+    copies = marks.where("words_a is not null").groupBy("words_a", "words_b").agg(F.min(own).alias("rep"))
+    # Texts are numbered once, as they are written: a text without an id has a number as well.
+    copies = kept_table(copies.select(
+        F.col("words_a").alias("c_a"), F.col("words_b").alias("c_b"), F.monotonically_increasing_id().alias("number"), *[F.col(f"rep.{c}").alias(f"rep_{c}") for c in ("doc_id", *ROW_KEY)]), "copies")
+
+    def represents(of: DataFrame):
+        same = F.col("doc_id").eqNullSafe(F.col("rep_doc_id"))
+        for c in ROW_KEY:
+            same = same & (F.col(c) == F.col(f"rep_{c}"))
+        return of.drop("c_a", "c_b").hint("merge"), same
+
+    bands = marks.where("words_a is not null").join(*represents(copies)).select(F.col("number").alias("id"), "bands").dropDuplicates(["id"])
     shared = shared_buckets(bands)
     pairs = kept_table(candidate_pairs(shared), "pairs")
     ends = pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "end")
-    texts = docs.select("doc_id", "text").join(ends.hint("merge"), F.col("doc_id") == F.col("end"), "left_semi").select(F.col("doc_id").alias("id"), "text").dropDuplicates(["id"])
+    wanted = copies.join(ends.hint("merge"), F.col("number") == F.col("end"), "left_semi")
+    texts = with_row_key(docs.select("doc_id", "text")).join(*represents(wanted)).select(F.col("number").alias("id"), "text").dropDuplicates(["id"])
     links = kept_table(verified(pairs, texts, threshold), "verified")
     near = components(links)
     more = kept_table(links_across(shared, near, texts.withColumn("bytes", F.octet_length("text").cast("bigint")), threshold), "across")
     if not more.isEmpty():
         near = components(links.unionByName(more))
     roots = near.withColumnRenamed("id", "r_id")
-    classes = copies.join(roots, F.col("first_id") == F.col("r_id"), "left").select("c_a", "c_b", F.coalesce("root", "first_id").alias("class_id"))
-    placed = marks.select("doc_id", "words_a", "words_b").join(classes, (F.col("words_a") == F.col("c_a")) & (F.col("words_b") == F.col("c_b")), "left").select(
-        "doc_id", F.when(F.col("c_a").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"))
-    sizes = placed.groupBy("class_id").agg(F.count("*").alias("class_size")).withColumnRenamed("class_id", "z_id")
-    return placed.join(sizes, F.col("class_id").eqNullSafe(F.col("z_id"))).select("doc_id", "class_id", "class_size")
+    classes = copies.join(roots, F.col("number") == F.col("r_id"), "left").select("c_a", "c_b", F.coalesce("root", "number").alias("root"))
+    placed = marks.drop("bands").join(classes, (F.col("words_a") == F.col("c_a")) & (F.col("words_b") == F.col("c_b")), "left").drop("c_a", "c_b")
+    # A row without words is in a class with rows of its own id only.
+    placed = placed.withColumns({"wordless": F.col("root").isNull(), "root": F.coalesce(F.col("root"), F.xxhash64("doc_id"))})
+    key = F.when(~F.col("wordless"), F.concat(*[F.lpad(F.lower(F.hex(c)), 16, "0") for c in ("words_a", "words_b")]))
+    sizes = placed.groupBy("root", "wordless").agg(F.count("*").alias("class_size"), F.min(own).alias("first"), F.min(key).alias("class_key"))
+    sizes = sizes.withColumnsRenamed({"root": "z_root", "wordless": "z_wordless"})
+    joined = placed.join(sizes, (F.col("root") == F.col("z_root")) & (F.col("wordless") == F.col("z_wordless")))
+    return joined.select("doc_id", *ROW_KEY, F.when(F.col("wordless"), F.col("doc_id")).otherwise(F.col("first.doc_id")).alias("class_id"), "class_size", "class_key", "wordless", "first")
+
+
+def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """doc_id, class_id, class_size, class_key for every row."""
+    return row_classes(docs, threshold).select("doc_id", "class_id", "class_size", "class_key")
 
 
 def one_of_each(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """One row of ``docs`` per class, that of the least id; all columns as they came."""
-    classes = near_duplicates(docs, threshold)
-    firsts = classes.where(F.col("doc_id").eqNullSafe(F.col("class_id"))).select(F.col("doc_id").alias("__first")).distinct()
-    return docs.join(firsts, docs["doc_id"].eqNullSafe(F.col("__first")), "left_semi").dropDuplicates(["doc_id"])
+    """One row of ``docs`` per class, that of the least id; all columns as they came.
+
+    Rows without words all stay, but for repetitions of one row.
+    """
+    classes = row_classes(docs, threshold)
+    stays = F.col("wordless") | F.struct("doc_id", *ROW_KEY).eqNullSafe(F.struct(*[F.col(f"first.{c}").alias(c) for c in ("doc_id", *ROW_KEY)]))
+    kept = rows_named(docs, classes.where(stays), "left_semi")
+    return with_row_key(kept).dropDuplicates(["doc_id", *ROW_KEY]).drop(*ROW_KEY)

@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewright.llm.common import kept_table
+from tidewright.llm.common import ROW_KEY, kept_table, rows_named, with_row_key
 from tidewright.llm.text_stats import text_stats
 
 MIN_WORDS = 50
@@ -117,23 +117,30 @@ def score_outliers(stats: DataFrame, model: DataFrame) -> DataFrame:
     return joined.withColumn("distance", F.nanvl(F.round(distance("x", "parts"), 6), F.lit(None).cast("double"))).drop("m_lang", "m_source", "parts")
 
 
-def quality_rules(docs: DataFrame, block_rows: int = 2000, tail: float = TAIL) -> DataFrame:
-    """doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, distance.
-
-    The base rules fail a text with fewer than 50 words or with over half of its words in
-    repeated three-word windows. They don't take part in the estimates.
-    """
-    stats = kept_table(text_stats(docs, ["doc_id", "lang", "source"]), "quality-stats").withColumn(
+def row_verdicts(docs: DataFrame, block_rows: int = 2000, tail: float = TAIL) -> DataFrame:
+    """The columns of ``quality_rules`` and ROW_KEY, a row per row of ``docs``."""
+    stats = kept_table(text_stats(with_row_key(docs.select("doc_id", "text", "lang", "source")), ["doc_id", "lang", "source", *ROW_KEY]), "quality-stats").withColumn(
         "base_failed", (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")))
     vectors = transformed(stats)
     model = outlier_model(vectors.where(~F.col("base_failed")).select("doc_id", "lang", "source", "x"), block_rows)
     scored = score_outliers(vectors, model)
     return scored.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
-        (~F.col("base_failed") & F.coalesce(F.col("distance") <= chi_square(1 - tail, DIMS), F.lit(False))).alias("kept"), "distance")
+        (~F.col("base_failed") & F.coalesce(F.col("distance") <= chi_square(1 - tail, DIMS), F.lit(False))).alias("kept"), "distance", *ROW_KEY)
+
+
+def quality_rules(docs: DataFrame, block_rows: int = 2000, tail: float = TAIL) -> DataFrame:
+    """doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, distance.
+
+    The base rules fail a text with fewer than 50 words or with over half of its words in
+    repeated three-word windows. They don't take part in the estimates.
+    """
+    return row_verdicts(docs, block_rows, tail).drop(*ROW_KEY)
 
 
 def drop_rejected(docs: DataFrame, verdicts: DataFrame) -> DataFrame:
-    """``docs`` without the rows whose id has a verdict that isn't kept; columns as they came."""
-    rejected = verdicts.where(~F.coalesce("kept", F.lit(False))).select(F.col("doc_id").alias("__rejected")).distinct()
-    return docs.join(rejected, docs["doc_id"].eqNullSafe(F.col("__rejected")), "left_anti")
+    """``docs`` without the rows that ``verdicts`` (of ``row_verdicts``) doesn't keep; columns as they came.
+
+    A row is named by id and text; rows of one id and text under two sources go if one of them is rejected.
+    """
+    return rows_named(docs, verdicts.where(~F.coalesce("kept", F.lit(False))), "left_anti")

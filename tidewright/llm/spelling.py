@@ -41,6 +41,8 @@ SLIP = 31
 #: A form occurs so many times as often as the words that belong to it.
 TIMES = 10
 REGIONS = 10
+#: Words whose keys one task makes.
+TASK_WORDS = 1 << 15
 
 RUN = re.compile("[A-Za-zÀ-ÿ]+")
 
@@ -154,6 +156,8 @@ def keyed(words: DataFrame, order: dict[str, int], rows, names: tuple[str, ...])
 def near_words(words: DataFrame) -> DataFrame:
     """one, one_n, two, two_n: each pair of words exactly one edit apart, once, one before two."""
     order = bigram_order(words)
+    # A word makes some thirty keys, so its tasks follow the number of words, not the bytes of their small table.
+    words = words.repartition(max(1, -(-words.count() // TASK_WORDS)), "word")
     probes = keyed(words, order, pivot_rows, ("key", "word", "n", "prefix_end", "pivot"))
     index = keyed(words, order, prefix_rows, ("of_key", "of_word", "of_n", "of_end", "places"))
     met = probes.join(index, (F.col("key") == F.col("of_key")) & (F.col("prefix_end") <= F.col("of_end"))
