@@ -408,6 +408,23 @@ def test_laptop_tiles(spark):
     assert (rows["s"].RAM, rows["s"].ROM, rows["t"].RAM, rows["t"].ROM) == ("RAM 16 GB", "SSD 512 GB", "N/A", "N/A")
 
 
+def test_player_records_from_two_pages(spark):
+    profiles = spark.createDataFrame([(f"https://a.b/ann/profil/spieler/{i}", PROFILE.replace("Centre-Forward", p)) for i, p in ((77, "Centre-Forward"), (78, "Goalkeeper"), (79, ""))], "url string, html string")
+    stats = spark.createDataFrame([("77", STATS)], "player_id string, html string")
+    rows = {r.player_id: r for r in clean.clean_players(P.player_records(profiles, stats)).collect()}
+    assert set(rows) == {"77", "79"} and rows["77"].appearances == 1.0 and rows["79"].appearances is None
+    assert (rows["77"].goalkeeper_or_not, rows["77"].goals_conceded, rows["77"].player_height) == ("0", 0.0, 1.85)
+
+
+def test_profile_of_an_empty_table(spark):
+    empty = spark.createDataFrame([], "a int, b string")
+    assert [tuple(r) for r in quality.profile_table(empty).orderBy("column_name").collect()] == [("a", "int", 0, 0, 0), ("b", "string", 0, 0, 0)]
+    rows = spark.createDataFrame([(1, None), (1, "x"), (None, "y")], "a int, b string")
+    for exact in (True, False):
+        assert [tuple(r) for r in quality.profile_table(rows, exact).orderBy("column_name").collect()] == [("a", "int", 3, 1, 1), ("b", "string", 3, 1, 2)]
+    assert quality.profile_table(rows)._jdf.queryExecution().executedPlan().toString().count("Scan ExistingRDD") == 1
+
+
 def test_links(spark):
     html = '<a href="/a"></a><a href="/b"></a><a href="/c"></a><a href="/a"></a>'
     pages = spark.createDataFrame([(1, html), (2, '<a href="/a"></a>')], "page_id int, html string")

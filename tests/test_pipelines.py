@@ -109,6 +109,19 @@ def test_csv_to_topic(spark, scratch):
     assert len(values) == 1 and '"name":"A","brand":"x","sent":1' in values[0]
 
 
+def test_validated_csv_to_topic(spark, scratch):
+    rows = [("A", 1.0), ("B", -1.0), (None, 2.0), ("C", None), ("A", 3.0)]
+    spark.createDataFrame(rows, "name string, price double").coalesce(1).write.option("header", True).csv(f"{scratch}/csv")
+    contract = C.Contract("small", C.struct((C.STRING, "name"), (C.DOUBLE, "price"), (C.LONG, "sent")))
+    topic = FolderTopic(f"{scratch}/topic")
+    rules = {"no_price": F.col("price").isNull(), "bad_price": F.col("price") < 0}
+    counts = P.publish_csv_validated(spark, f"{scratch}/csv", contract, topic, "name", rules, f"{scratch}/rejects", "sent")
+    assert {(r.reason, r.row_count) for r in counts.collect()} == {("accepted", 2), ("bad_price", 1), ("no_price", 1), ("no_name", 1)}
+    assert sorted(bytes(r.key).decode() for r in spark.read.parquet(topic.path).collect()) == ["A", "A"]
+    refused = spark.read.parquet(f"{scratch}/rejects/rows").collect()
+    assert sorted((r.name or "", r.reject_reasons) for r in refused) == [("", ["no_name"]), ("B", ["bad_price"]), ("C", ["no_price"])]
+
+
 @pytest.mark.parametrize("kind", ["device_forest", "device_boosted", "market_forest"])
 def test_trainers(spark, kind):
     from tidewright.plans.model_queries import source

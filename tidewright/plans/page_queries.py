@@ -133,3 +133,30 @@ def stat_page(cells: int = 13) -> str:
     + ", (c_custkey % 300) || '''' AS minutes_per_goal, c_custkey || '''' AS minutes_played FROM customer")
 def html_stat_fields(spark, sf):
     return P.stat_fields(B.table(spark, sf, "customer").selectExpr("CAST(c_custkey AS STRING) AS player_id", f"{stat_page()} AS html"))
+
+
+_STAT = {name: f"CAST({'0' if place == 5 else f'c_custkey % {place + 2}'} AS DOUBLE)" for name, place in P.STAT_CELLS.items()}
+
+
+@query("html_player_records", """
+SELECT CAST(c_custkey AS VARCHAR) AS player_id, c_name || ' Jr' AS name, CAST(18 + c_custkey % 20 AS DOUBLE) AS age,
+       CAST(c_custkey % 90 + 1 AS DOUBLE) * 1000 AS market_value, round(1 + (60 + c_custkey % 40) / 100.0::DOUBLE, 2) AS player_height,
+       'Centre-Forward' AS position, '0' AS goalkeeper_or_not, """ + ", ".join(f'{v} AS "{k}"' for k, v in _STAT.items()) + """,
+       CAST(c_custkey % 300 AS DOUBLE) AS minutes_per_goal, CAST(c_custkey AS DOUBLE) AS minutes_played, CAST(0 AS DOUBLE) AS goals_conceded
+FROM customer WHERE c_custkey % 11 <> 0 AND c_custkey % 3 <> 0""")
+def html_player_records(spark, sf):
+    """Profile and statistics pages to one cleaned record per player."""
+    customer = B.table(spark, sf, "customer")
+    profiles = customer.selectExpr(f"{PROFILE_URL} AS url", f"{PROFILE_HTML} AS html")
+    stats = customer.selectExpr("CAST(c_custkey AS STRING) AS player_id", f"{stat_page()} AS html")
+    return clean.clean_players(P.player_records(profiles, stats)).select(
+        "player_id", "name", "age", "market_value", F.round("player_height", 2).alias("player_height"), "position", "goalkeeper_or_not",
+        *P.STAT_CELLS, "minutes_per_goal", "minutes_played", "goals_conceded")
+
+
+@query("html_stat_urls", """
+SELECT c_custkey, 'https://stats.example/' || lower(c_mktsegment) || '/leistungsdatendetails/spieler/' || c_custkey || '/plus/1?saison=2024' AS stat_url
+FROM customer WHERE c_custkey % 11 <> 0""")
+def html_stat_urls(spark, sf):
+    rows = B.table(spark, sf, "customer").selectExpr("c_custkey", f"{PROFILE_URL} AS url")
+    return rows.select("c_custkey", P.stat_url("https://stats.example/", F.col("url"), 2024).alias("stat_url")).filter(F.col("stat_url").isNotNull())

@@ -6,19 +6,19 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from tidewright.contracts import PLAYER, PLAYER_SCORED, PLAYER_TO_SCORE, TICK
+from tidewright.contracts import PLAYER, PLAYER_RAW, PLAYER_SCORED, PLAYER_TO_SCORE, TICK
 from tidewright.operators import models as M
 from tidewright.operators import quality, views
 from tidewright.operators.decode import decode_json, encode_json
 from tidewright.plans import bindings as B
 from tidewright.plans.model_queries import scoring_model
 from tidewright.plans.registry import ORACLE_SQL, query
-from tidewright.plans.table_queries import ACCEPTED_SQL
+from tidewright.plans.table_queries import ACCEPTED_SQL, RULES_SQL
 from tidewright.plans.view_queries import TICK_COLUMNS, tick_messages
 from tidewright.session import scratch_path
 from tidewright.sources import tables
 from tidewright.sources.topics import FolderTopic, as_envelope, table_as_stream
-from tidewright.streaming import jobs
+from tidewright.streaming import jobs, pipelines
 from tidewright.streaming.counters import CounterLog, read_counters
 from tidewright.streaming.serving import ServingTable
 
@@ -116,6 +116,35 @@ def stream_relay(spark, sf):
     return served.read(spark).select(*TICK.columns)
 
 
+_RAW_COLUMNS = ", ".join(f'CAST("{f.name}" AS DOUBLE) AS "{f.name}"' if f.dataType.simpleString() == "float" else f'"{f.name}"' for f in PLAYER_RAW.schema.fields)
+
+
+@query("land_players_raw", "WITH " + B.CUSTOMER_PLAYERS_SQL + f""", dated AS (
+  SELECT *, CAST(year(epoch_ms(crawl_timestamp)) AS INTEGER) AS year, CAST(month(epoch_ms(crawl_timestamp)) AS INTEGER) AS month,
+         CAST(day(epoch_ms(crawl_timestamp)) AS INTEGER) AS day FROM players)
+SELECT {_RAW_COLUMNS} FROM dated WHERE appearances IS NOT NULL""")
+def land_players_raw(spark, sf):
+    root = scratch_path(spark, "players-raw")
+    messages = as_envelope(encode_json(B.customer_players(table_as_stream(spark, f"{sf}/customer.parquet"))))
+    jobs.land(views.player_raw(decode_json(messages, PLAYER)), f"{root}/out", f"{root}/checkpoint", tables.DATE_PARTITIONS)
+    return tables.scan(spark, f"{root}/out")
+
+
+@query("publish_validated", "WITH " + B.CUSTOMER_PLAYERS_SQL + f"""
+SELECT 'sent' AS outcome, player_id, '' AS reasons FROM players WHERE {ACCEPTED_SQL}
+UNION ALL SELECT 'rejected', player_id, concat_ws(',', {", ".join(f"CASE WHEN {rule} THEN '{name}' END" for name, rule in RULES_SQL.items())})
+FROM players WHERE NOT ({ACCEPTED_SQL})""")
+def publish_validated(spark, sf):
+    """Valid players go out as messages, the others to a folder with the reasons; all are accounted for."""
+    root = scratch_path(spark, "validated")
+    topic = FolderTopic(f"{root}/topic")
+    rows = B.customer_players(B.table(spark, sf, "customer"))
+    pipelines.publish_validated(spark, rows, PLAYER, topic, "player_id", quality.player_rules(), f"{root}/rejects")
+    sent = decode_json(spark.read.parquet(topic.path), PLAYER).select(F.lit("sent").alias("outcome"), "player_id", F.lit("").alias("reasons"))
+    refused = spark.read.parquet(f"{root}/rejects/rows").select(F.lit("rejected").alias("outcome"), "player_id", F.array_join("reject_reasons", ",").alias("reasons"))
+    return sent.unionByName(refused)
+
+
 @query("stream_relay_once", "WITH " + B.TICKS_SQL + f" SELECT CAST(seq AS VARCHAR) AS message_id, {TICK_COLUMNS} FROM ticks")
 def stream_relay_once(spark, sf):
     """Every message is on the topic twice, as after a producer lost its checkpoint; each is landed once, before any fold."""

@@ -142,13 +142,13 @@ def drop_any_null(spark, sf):
 # --- validation -------------------------------------------------------------------------------
 
 _AMOUNT_BAD = '(isnan(CAST("{c}" AS DOUBLE)) OR "{c}" < 0)'
-_RULES_SQL = {
+RULES_SQL = {
     **{f"missing_{c}": f'"{c}" IS NULL' for c in quality.PLAYER_REQUIRED},
     "goalkeeper": "position = 'Goalkeeper'",
     "unknown_foot": "strong_foot NOT IN ('left', 'right', 'both')",
     **{f"bad_{c}": _AMOUNT_BAD.format(c=c) for c in quality.PLAYER_AMOUNTS},
 }
-ACCEPTED_SQL = " AND ".join(f"NOT coalesce({rule}, false)" for rule in _RULES_SQL.values())
+ACCEPTED_SQL = " AND ".join(f"NOT coalesce({rule}, false)" for rule in RULES_SQL.values())
 
 
 def _checked(spark, sf):
@@ -164,7 +164,7 @@ def validate_records(spark, sf):
 @query("validate_reject_reasons", "WITH " + B.PLAYERS_SQL
        + f" SELECT 'accepted' AS reason, count(*) AS row_count FROM players WHERE {ACCEPTED_SQL} HAVING count(*) > 0"
        + "".join(f" UNION ALL SELECT '{name}', count(*) FROM players WHERE {rule} HAVING count(*) > 0"
-                 for name, rule in _RULES_SQL.items()))
+                 for name, rule in RULES_SQL.items()))
 def validate_reject_reasons(spark, sf):
     return quality.count_reasons(_checked(spark, sf), quality.player_rules())
 

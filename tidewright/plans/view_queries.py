@@ -8,7 +8,7 @@ import uuid
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewright.contracts import DEVICE, PHONE, PLAYER_SPEED, TICK, Contract
+from tidewright.contracts import DEVICE, PHONE, PLAYER_CSV, PLAYER_CSV_SPEED, PLAYER_SPEED, TICK, Contract
 from tidewright.functions.dates import days_before
 from tidewright.operators import keyed, views
 from tidewright.operators.clean import null_out_nan
@@ -145,6 +145,27 @@ def speed_view_players(spark, sf):
     return views.player_speed(null_out_nan(B.players(B.table(spark, sf, "lineitem"))))
 
 
+PLAYERS_CSV_SQL = """csv AS (SELECT CASE WHEN c_custkey % 8 <> 0 THEN CAST(c_custkey AS INTEGER) END AS player_id, * EXCLUDE (player_id),
+  1704067200000 + c_custkey * 3600000 AS processing_timestamp, 'file ' || (c_custkey % 4) AS source_file
+  FROM (SELECT players.*, customer.c_custkey FROM players JOIN customer ON players.player_id = CAST(c_custkey AS VARCHAR)))"""
+
+
+def players_csv(spark, sf):
+    """The rows of player files: a whole number as id, missing for some, and the time of processing."""
+    rows = B.table(spark, sf, "customer").selectExpr("c_custkey", *[c.format(text="STRING") for c in B.CUSTOMER_PLAYERS])
+    return rows.withColumns({
+        "player_id": F.when(F.col("c_custkey") % 8 != 0, F.col("c_custkey").cast("int")), "contract_value_time": F.col("contract_value_time").cast("float"),
+        "processing_timestamp": F.lit(1704067200000) + F.col("c_custkey") * 3600000, "source_file": F.concat(F.lit("file "), F.col("c_custkey") % 4),
+    }).select(*PLAYER_CSV.columns)
+
+
+@query("speed_view_players_csv", "WITH " + B.CUSTOMER_PLAYERS_SQL + ", " + PLAYERS_CSV_SQL + f""",
+tagged AS (SELECT *, processing_timestamp * 1000 AS "@timestamp", 'stream' AS view_type FROM csv)
+SELECT {_sql_columns(PLAYER_CSV_SPEED)} FROM tagged WHERE player_id IS NOT NULL""")
+def speed_view_players_csv(spark, sf):
+    return views.player_csv_speed(decode_json(encode_json(players_csv(spark, sf)), PLAYER_CSV))
+
+
 @query("partition_by_event_time", """
 SELECT event_id AS seq, CAST(year(ts) AS INTEGER) AS year, CAST(month(ts) AS INTEGER) AS month,
        CAST(day(ts) AS INTEGER) AS day FROM events""")

@@ -218,3 +218,18 @@ def stat_fields(pages: DataFrame, keep: Sequence[str] = ("player_id",), html: st
     centred = {name: text("_centred", place + 1) for name, place in STAT_CELLS.items()}
     right = {"minutes_per_goal": text("_right", 2), "minutes_played": text("_right", 3)}
     return cells.select(*keep, *[v.alias(k) for k, v in {**centred, **right}.items()])
+
+
+def stat_url(base: str, url: Column, season: int) -> Column:
+    """Address of a player's season statistics, from the address of the profile."""
+    return X.join_url(base, X.url_slug(url), "/leistungsdatendetails/spieler/", X.url_id(url), f"/plus/1?saison={season}")
+
+
+def player_records(profiles: DataFrame, stats: DataFrame) -> DataFrame:
+    """Raw player records from a profile page and a statistics page each, joined by the player's id.
+
+    A player without a statistics page has NULL stats. Goalkeepers are left out; what the pages don't say is 0.
+    """
+    field = profile_fields(profiles).filter(~F.col("position").eqNullSafe(F.lit("Goalkeeper")))
+    return field.join(stat_fields(stats), "player_id", "left").withColumns(
+        {"goalkeeper_or_not": F.lit("0"), "goals_conceded": F.lit("0"), "clean_sheet": F.lit("0")})

@@ -3,17 +3,17 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidewright import contracts as C
-from tidewright.operators import views
+from tidewright.operators import quality, views
 from tidewright.operators.clean import null_out_nan, typed_devices
 from tidewright.operators.decode import decode_json, encode_json
 from tidewright.operators.models import score_players
@@ -123,3 +123,28 @@ def publish_csv(spark: SparkSession, csv: str, contract: C.Contract, topic: Topi
     if stamp:
         rows = rows.withColumn(stamp, F.unix_millis(F.current_timestamp()))
     topic.publish(encode_json(null_out_nan(rows).select(*contract.columns), F.col(key)))
+
+
+def publish_validated(spark: SparkSession, rows: DataFrame, contract: C.Contract, topic: Topic, key: str,
+                      rules: Mapping[str, Column], rejects: str, stamp: str | None = None) -> DataFrame:
+    """Rows to which no rule applies as messages; the others, with their reasons, to the ``rejects`` folder.
+
+    Rows are judged once and written to the rejects folder's side table first, so both outputs and the returned
+    counts (reason, row_count) come from the same judgement. ``stamp`` gets the time of sending.
+    """
+    judged = f"{rejects}/judged"
+    quality.with_reasons(null_out_nan(rows), {**rules, f"no_{key}": F.col(key).isNull()}).write.mode("overwrite").parquet(judged)
+    checked = spark.read.parquet(judged)
+    good = checked.filter(F.size("reject_reasons") == 0)
+    if stamp:
+        good = good.withColumn(stamp, F.unix_millis(F.current_timestamp()))
+    topic.publish(encode_json(good.select(*contract.columns), F.col(key)))
+    checked.filter(F.size("reject_reasons") > 0).write.mode("overwrite").parquet(f"{rejects}/rows")
+    return quality.reason_counts(checked)
+
+
+def publish_csv_validated(spark: SparkSession, csv: str, contract: C.Contract, topic: Topic, key: str,
+                          rules: Mapping[str, Column], rejects: str, stamp: str | None = None) -> DataFrame:
+    """``publish_validated`` over CSV files with the contract's header, but for ``stamp``."""
+    schema = T.StructType([f for f in contract.schema.fields if f.name != stamp])
+    return publish_validated(spark, tables.scan_csv(spark, csv, schema), contract, topic, key, rules, rejects, stamp)
