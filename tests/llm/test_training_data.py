@@ -317,6 +317,41 @@ def test_decontamination(spark, odd, none):
     assert decontaminate.contaminated(odd, bench).count() == 0
 
 
+def test_decontamination_recall_of_paraphrases(spark, documents):
+    """Every item is planted whole, with a third and with half of its words replaced by words of other texts."""
+    rng = random.Random(17)
+    bench = spark.read.parquet(f"{SF}/benchmark.parquet")
+    items = [(r.item_id, r.text) for r in bench.collect() if len(r.text.split()) >= 10]
+    assert len(items) >= 100
+    pool = [w for r in documents.select("text").collect() for w in r.text.split()]
+    planted, want = [], {}
+    for share in (0.0, 1 / 3, 0.5):
+        for item, text in items:
+            words = text.split()
+            for place in rng.sample(range(len(words)), round(share * len(words))):
+                words[place] = rng.choice(pool)
+            want[1_000_000 + len(planted)] = (share, item)
+            planted.append((1_000_000 + len(planted), " ".join(rng.choices(pool, k=90) + words + rng.choices(pool, k=90))))
+    plain = [(2_000_000 + k, " ".join(rng.choices(pool, k=250))) for k in range(300)]  # the same words, no item
+    docs = documents.select("doc_id", "text").union(spark.createDataFrame(planted + plain, "doc_id long, text string"))
+    found = {(r.doc_id, r.item_id) for r in decontaminate.contaminated(docs, bench).collect()}
+    for share in (0.0, 1 / 3, 0.5):
+        mine = [(d, i) for d, (s, i) in want.items() if s == share]
+        assert sum(pair in found for pair in mine) >= 0.9 * len(mine), share
+    assert not {d for d, _ in found if d >= 2_000_000}
+
+
+def test_heaviest_subsequence():
+    rng = np.random.default_rng(6)
+    for _ in range(40):
+        a, b, w = rng.integers(0, 6, 12), rng.integers(0, 6, 20), rng.random(12)
+        table = np.zeros((13, 21))
+        for i in range(12):
+            for j in range(20):
+                table[i + 1, j + 1] = max(table[i, j + 1], table[i + 1, j], table[i, j] + w[i] if a[i] == b[j] else 0)
+        assert np.isclose(decontaminate.heaviest_subsequence(a, w, b), table[-1, -1])
+
+
 def test_decontamination_of_long_items(spark):
     """Parts of long items, whole ones, and ones with a third of the words replaced, in one block or several."""
     rng = random.Random(9)

@@ -8,7 +8,9 @@ compared by cosine with the passages of about its length, unless it and its surr
 fewer words of the vocabulary than any of them needs. Candidates pass if the longest common
 subsequence of the passage's words with the window and its surroundings holds at least
 COPIED of the passage, or at least REWORDED of it along with the item's answer (its ``answer``
-column, or else its last sentence), which may be as far away as the item is long. An item of
+column, or else its last sentence), which may be as far away as the item is long, or if the
+heaviest common subsequence, words weighed by their inverse frequency, holds at least RARE of
+the passage's weight: words that a paraphrase kept by chance are frequent ones. An item of
 up to PASSAGE_WORDS words is one passage; longer ones give passages of that many words, half
 overlapping, the last one at the end. ``share`` is that of the item's best passage.
 
@@ -36,6 +38,9 @@ RANK, OVERSAMPLE, POWERS = 128, 16, 2
 COSINE = 0.5
 COPIED, REWORDED = 0.7, 0.5
 ANSWER_SHARE = 0.8
+#: Share of a passage's weight. Passages with half of their words replaced keep 0.4 or more in 95 of 100 cases (200 items of the
+#: check tables); texts without the item stayed below 0.25 (1,200 of their documents, 12,556 pairs that the search brought up).
+RARE = 0.4
 #: A block of items holds about so many items and bytes of their texts; its vocabulary is bounded by the bytes.
 BLOCK_ITEMS, BLOCK_BYTES = 2048, 1 << 20
 SLOTS = 256
@@ -182,6 +187,15 @@ def common_subsequence(a: np.ndarray, b: np.ndarray) -> int:
     return len(a) - row.bit_count()
 
 
+def heaviest_subsequence(a: np.ndarray, weights: np.ndarray, b: np.ndarray) -> float:
+    """Weight of the heaviest common subsequence of the words ``a``, which have weights, with ``b``."""
+    row = np.zeros(len(b) + 1)
+    for word, weight in zip(a.tolist(), weights.tolist(), strict=True):
+        taken = np.where(b == word, row[:-1] + weight, 0.0)
+        row[1:] = np.maximum.accumulate(np.maximum(row[1:], taken))
+    return float(row[-1])
+
+
 class Index:
     """Latent vectors of the passages, and the search through a text's windows."""
 
@@ -197,6 +211,9 @@ class Index:
         self.targets = np.full((len(slots), max(map(len, slots))), len(items.vocabulary) + 1, np.int64)
         for row, own in zip(self.targets, slots, strict=True):
             row[:len(own)] = own
+        self.weights = [idf[own] for own in slots]
+        self.target_weights = np.append(idf, (0.0, 0.0))[self.targets]
+        self.heavy = np.maximum(self.target_weights.sum(axis=1), 1e-9)
 
     def window_sums(self, slots: np.ndarray, of: np.ndarray, size: int, step: int, text: np.ndarray, number: np.ndarray) -> np.ndarray:
         """Summed latent rows of windows: each word is read once, into the sum of its block of ``step`` words."""
@@ -229,10 +246,10 @@ class Index:
             text = np.repeat(np.arange(len(counts)), n)
             number = np.arange(len(text)) - np.repeat(np.cumsum(n) - n, n)
             start = of[:-1][text] + number * step
-            # A passage needs REWORDED of its words around the window; all of them are in the vocabulary.
+            # Without a word of the vocabulary around it, a window is like no passage.
             reach = max(size, int(self.items.lengths[mine].max())) // 2
             around = known[np.minimum(of[1:][text], start + size + reach)] - known[np.maximum(of[:-1][text], start - reach)]
-            likely = np.flatnonzero(around >= REWORDED * self.items.lengths[mine].min())
+            likely = np.flatnonzero(around)
             sums = self.window_sums(slots, of, size, step, text[likely], number[likely])
             sums /= np.maximum(np.sqrt(np.einsum("ij,ij->i", sums, sums)), 1e-9)[:, None]
             for k in range(0, len(likely), 2048):
@@ -243,7 +260,7 @@ class Index:
                     yield text[window], mine[item], cosine[hit, item], start[window], np.full(len(hit), size)
 
     def reachable(self, slots: np.ndarray, low: np.ndarray, high: np.ndarray, passage: np.ndarray) -> np.ndarray:
-        """For each candidate: words low to high hold REWORDED of the passage's, in any order (no common subsequence is longer)."""
+        """For each candidate: words low to high hold REWORDED of the passage's words or RARE of their weight, in any order (no common subsequence has more)."""
         out = np.zeros(len(passage), bool)
         width = len(self.items.vocabulary) + 2
         step = max(1, TABLE_BYTES // width)
@@ -252,8 +269,9 @@ class Index:
             held = np.zeros((len(at), width), bool)
             row = np.repeat(np.arange(len(at)), n)
             held[row, slots[np.arange(len(row)) + np.repeat(low[k:k + step] - (np.cumsum(n) - n), n)]] = True
-            found = held[np.arange(len(at))[:, None], self.targets[at]].sum(axis=1)
-            out[k:k + step] = found >= REWORDED * self.items.lengths[at]
+            found = held[np.arange(len(at))[:, None], self.targets[at]]
+            weight = (found * self.target_weights[at]).sum(axis=1)
+            out[k:k + step] = (found.sum(axis=1) >= REWORDED * self.items.lengths[at]) | (weight >= RARE * self.heavy[at])
         return out
 
     def leaks(self, words: np.ndarray, of: np.ndarray) -> list[tuple[int, int, float, float, bool]]:
@@ -268,11 +286,12 @@ class Index:
                 item = self.items.item_of[p]
                 target, answer = self.items.words[p], self.items.answers[item]
                 share = common_subsequence(target, words[lo:hi]) / len(target)
-                if share < REWORDED:
+                rare = share >= COPIED or heaviest_subsequence(target, self.weights[p], words[lo:hi]) >= RARE * self.heavy[p]
+                if share < REWORDED and not rare:
                     continue
                 r = max(r, self.items.sizes[item])
                 found = common_subsequence(answer, words[max(of[t], s - r):min(of[t + 1], s + w + r)]) >= ANSWER_SHARE * len(answer)
-                if share >= COPIED or found:
+                if rare or found:
                     best[t, item] = max(best.get((t, item), (0.0, 0.0, False)), (share, round(c, 4), found))
         return [(t, i, c, s, f) for (t, i), (s, c, f) in best.items()]
 
