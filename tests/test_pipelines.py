@@ -93,6 +93,10 @@ def test_train_export_view_and_compact_jobs(spark, scratch, capsys):
     B.ticks(B.table(spark, SF, "events")).write.parquet(f"{scratch}/ticks")
     main(["train", "tick_linear", "--raw", f"{scratch}/ticks", "--model", f"{scratch}/model"])
     assert "train" in capsys.readouterr().out and M.load(f"{scratch}/model").stages
+    main(["predict-tick", "--model", f"{scratch}/model", "--date", "2024-02-01", "--type", "click", "--buy", "20000"])
+    assert 15_000 < float(capsys.readouterr().out.strip().splitlines()[-1]) < 25_000
+    main(["train-bands", "--raw", f"{scratch}/ticks", "--model", f"{scratch}/bands"])
+    assert {M.load_bands(spark, f"{scratch}/bands/{t}").target for t in ("buy_price", "sell_price")} == {"buy_price", "sell_price"}
     main(["export-csv", "--input", f"{scratch}/ticks", "--output", f"{scratch}/csv"])
     assert spark.read.option("header", True).csv(f"{scratch}/csv").columns == C.TICK.columns
     main(["view", f"{scratch}/ticks", "--rows", "2"])

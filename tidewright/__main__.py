@@ -10,7 +10,9 @@ import datetime as dt
 import sys
 
 from tidewright.operators import models as M
-from tidewright.operators.training import TRAINERS
+from tidewright.operators.features import calendar_features
+from tidewright.operators.metrics import regression_metrics
+from tidewright.operators.training import TRAINERS, fit_tick_bands
 from tidewright.operators.views import DEFAULT_DAYS, parse_days
 from tidewright.session import build_session
 from tidewright.sources import tables
@@ -57,6 +59,14 @@ def parser() -> argparse.ArgumentParser:
     train.add_argument("kind", choices=TRAINERS)
     train.add_argument("--raw", required=True)
     train.add_argument("--model", required=True)
+    bands = job("train-bands", "fit a perceptron on bands of the buy and of the sell price and save both")
+    bands.add_argument("--raw", required=True)
+    bands.add_argument("--model", required=True)
+    tick = job("predict-tick", "sell price of one tick, from a saved tick_linear model")
+    tick.add_argument("--model", required=True)
+    tick.add_argument("--date", type=dt.date.fromisoformat, required=True)
+    tick.add_argument("--type", required=True)
+    tick.add_argument("--buy", type=int, required=True)
     export = job("export-csv", "chosen columns to CSV")
     export.add_argument("--input", required=True)
     export.add_argument("--output", required=True)
@@ -95,6 +105,14 @@ def main(argv: list[str] | None = None) -> int:
         done = TRAINERS[args.kind].fit(tables.scan(spark, args.raw))
         M.save(done.model, args.model)
         done.metrics().show()
+    elif args.job == "train-bands":
+        fitted, scored = fit_tick_bands(tables.scan(spark, args.raw))
+        for target, model in fitted.items():
+            M.save_bands(spark, model, f"{args.model}/{target}")
+            regression_metrics(scored, target, f"predicted_{target}", by=["split"]).show()
+    elif args.job == "predict-tick":
+        one = spark.createDataFrame([(str(args.date), args.type, args.buy)], "price_date string, gold_type string, buy_price int")
+        print(M.load(args.model).transform(calendar_features(one)).first()["prediction"])
     elif args.job == "export-csv":
         if not tables.export_csv(tables.scan(spark, args.input), args.output, args.columns):
             print("no rows to export", file=sys.stderr)

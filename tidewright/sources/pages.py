@@ -54,6 +54,7 @@ INFO_LABEL_NAME = (
     r'(?is)<span\b[^>]*class="info-table__content info-table__content--regular"[^>]*>[^<]*name[^<]*</span>'
 )
 INFO_BOLD = 'class="info-table__content info-table__content--bold"'
+STAT_PATH, STAT_SEASON = "/leistungsdatendetails/spieler/", "/plus/1?saison="
 STAT_CENTRED = 'class="zentriert"'
 STAT_RIGHT = 'class="rechts"'
 # which centred cell (0-based) holds which stat
@@ -222,7 +223,7 @@ def stat_fields(pages: DataFrame, keep: Sequence[str] = ("player_id",), html: st
 
 def stat_url(base: str, url: Column, season: int) -> Column:
     """Address of a player's season statistics, from the address of the profile."""
-    return X.join_url(base, X.url_slug(url), "/leistungsdatendetails/spieler/", X.url_id(url), f"/plus/1?saison={season}")
+    return X.join_url(base, X.url_slug(url), STAT_PATH, X.url_id(url), f"{STAT_SEASON}{season}")
 
 
 def player_records(profiles: DataFrame, stats: DataFrame) -> DataFrame:
