@@ -320,7 +320,7 @@ def test_decontamination(spark, odd, none):
 def test_decontamination_recall_of_paraphrases(spark, documents):
     """Every item is planted whole, with a third and with half of its words replaced by words of other texts."""
     rng = random.Random(17)
-    bench = spark.read.parquet(f"{SF}/benchmark.parquet")
+    bench = spark.read.parquet("/root/testdata/sf0.1/benchmark.parquet")
     items = [(r.item_id, r.text) for r in bench.collect() if len(r.text.split()) >= 10]
     assert len(items) >= 100
     pool = [w for r in documents.select("text").collect() for w in r.text.split()]
