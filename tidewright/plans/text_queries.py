@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tidewright.contracts import PHONE
 from tidewright.functions import numbers as N
 from tidewright.functions import text as X
-from tidewright.operators import clean
+from tidewright.operators import clean, views
+from tidewright.operators.decode import decode_json, encode_json
 from tidewright.operators.expand import date_spine, expand_seasons
 from tidewright.plans import bindings as B
-from tidewright.plans.registry import query
+from tidewright.plans.registry import ORACLE_SQL, query
 from tidewright.sources import pages as P
 
 
@@ -160,7 +162,11 @@ SELECT w.p_partkey, name, words[1] AS brand, array_to_string(words[2:-2], ' ') A
        CASE WHEN p_size % 3 = 0 THEN 'N/A' ELSE CAST(p_size * 1000 AS VARCHAR) END AS sold
 FROM w JOIN part ON w.p_partkey = part.p_partkey""")
 def clean_phones(spark, sf):
-    tiles = B.table(spark, sf, "part").selectExpr(
+    return clean.clean_phones(_phone_tiles(spark, sf))
+
+
+def _phone_tiles(spark, sf):
+    return B.table(spark, sf, "part").selectExpr(
         "p_partkey",
         "concat(p_name, ' Pro ', CASE WHEN p_size % 2 = 0 THEN concat('8GB/', p_size % 5 * 64 + 64, 'GB') "
         "ELSE concat(p_size % 5 * 64 + 64, 'GB') END) AS name",
@@ -169,7 +175,18 @@ def clean_phones(spark, sf):
         "concat('-', p_size, '%') AS percent", "CASE WHEN p_size % 3 <> 0 THEN '4.5' END AS rating",
         "CASE WHEN p_size % 3 <> 0 THEN concat('sold ', p_size, ',0K') END AS sold",
     )
-    return clean.clean_phones(tiles)
+
+
+@query("speed_view_phone_messages", "WITH cleaned AS (" + ORACLE_SQL["clean_phones"] + """)
+SELECT * EXCLUDE (p_partkey), 'https://shop.example/list' AS source, 1704067200000 + p_partkey * 1000 AS crawl_timestamp,
+       (1704067200000 + p_partkey * 1000) * 1000 AS "@timestamp", strftime(epoch_ms(1704067200000 + p_partkey * 1000), '%Y-%m-%d') AS crawl_date_dt,
+       'stream' AS view_type
+FROM cleaned""")
+def speed_view_phone_messages(spark, sf):
+    """Cleaned phone tiles as messages, decoded and tagged: every field of the contract has values."""
+    phones = clean.clean_phones(_phone_tiles(spark, sf)).withColumns({
+        "source": F.lit("https://shop.example/list"), "crawl_timestamp": F.lit(1704067200000) + F.col("p_partkey") * 1000})
+    return views.phone_speed(decode_json(encode_json(phones.drop("p_partkey")), PHONE))
 
 
 # --- generated rows ------------------------------------------------------------------------------
