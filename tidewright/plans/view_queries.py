@@ -252,6 +252,34 @@ def serve_merge_by_key(spark, sf):
     return _served(spark, sf, MERGE, "serve-merge")
 
 
+@query("serve_restarted_writer", ORACLE_SQL["serve_replace_by_key"])
+def serve_restarted_writer(spark, sf):
+    """A second writer numbers its batches from 0 again, and a batch is repeated after it was compacted: no row is lost or wins twice."""
+    rows, served = _user_states(spark, sf), ServingTable(scratch_path(spark, "serve-restart"), ["user_id"], STATE_ORDER)
+    parts = [rows.filter(F.col("event_id") % 3 == i) for i in range(3)]
+    served.apply(parts[0], 0, "first")
+    served.apply(parts[1], 1, "first")
+    served.compact(spark)
+    served.apply(parts[2], 0, "second")
+    served.apply(parts[1], 1, "first")
+    served.compact(spark)
+    served.vacuum(spark, keep=1)
+    return served.read(spark)
+
+
+@query("serve_partial_columns", STATES_SQL + f"""
+SELECT user_id, ts_ms, event_id, last_action, CASE WHEN ts_ms < epoch_ms(TIMESTAMP '{B.HALF}') THEN props END AS props
+FROM placed QUALIFY place = max(place) OVER (PARTITION BY user_id)""")
+def serve_partial_columns(spark, sf):
+    """A later batch lacks a column that the base has: its rows stand whole, with NULL there, and the column stays."""
+    rows, half = _user_states(spark, sf), F.unix_millis(F.lit(B.HALF).cast("timestamp"))
+    served = ServingTable(scratch_path(spark, "serve-partial"), ["user_id"], STATE_ORDER)
+    served.apply(rows.filter(F.col("ts_ms") < half), 0)
+    served.compact(spark)
+    served.apply(rows.filter(F.col("ts_ms") >= half).drop("props"), 1)
+    return served.read(spark)
+
+
 @query("merge_tables_by_key", STATES_SQL + f""",
 cut AS (SELECT epoch_ms(TIMESTAMP '{B.HALF}') AS half),
 base AS (SELECT user_id, ts_ms, event_id, last_action, props FROM placed, cut WHERE ts_ms < half
