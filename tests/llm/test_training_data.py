@@ -495,7 +495,7 @@ def test_token_histogram(spark, documents, odd, none):
 
 def test_queries_have_rows_and_twins(spark):
     con = connect(SF)
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     for name, sql in ORACLE_SQL.items():
         assert compare(QUERIES[name](spark, SF), con, sql) == []
 
