@@ -408,6 +408,26 @@ def test_laptop_tiles(spark):
     assert (rows["s"].RAM, rows["s"].ROM, rows["t"].RAM, rows["t"].ROM) == ("RAM 16 GB", "SSD 512 GB", "N/A", "N/A")
 
 
+def test_fields_of_a_page_are_cut_once(spark):
+    pages = spark.createDataFrame([("s", "<li class=\"item\"></li>", "u")], "source string, html string, url string")
+    cuts = lambda df: df._jdf.queryExecution().optimizedPlan().toString().count("(?=</?")
+    assert cuts(P.phone_tiles(pages)) <= 10 and cuts(P.laptop_tiles(pages)) <= 8 and cuts(P.product_tiles(pages)) <= 7
+    assert cuts(P.profile_fields(pages)) <= 5 and cuts(P.stat_fields(pages, ["source"])) == 1
+
+
+def test_pages_are_made_on_all_cores(spark, tmp_path):
+    from tidewright.plans.catalog import QUERIES
+    key, name = F.col("id"), F.concat(F.lit("N "), F.col("id"))
+    spark.range(40).coalesce(1).select(
+        key.alias("p_partkey"), name.alias("p_name"), F.lit("b").alias("p_brand"), F.lit("t").alias("p_type"), F.lit(3).alias("p_size"), F.lit(1.5).alias("p_retailprice"),
+    ).write.parquet(f"{tmp_path}/part.parquet")
+    spark.range(40).coalesce(1).select(
+        key.alias("c_custkey"), name.alias("c_name"), F.lit(1).alias("c_nationkey"), F.lit(1.5).alias("c_acctbal"), F.lit("S").alias("c_mktsegment"),
+    ).write.parquet(f"{tmp_path}/customer.parquet")
+    for query in ("html_phone_tiles", "html_laptop_tiles", "html_product_tiles", "html_profile_fields", "html_stat_fields"):
+        assert QUERIES[query](spark, str(tmp_path)).rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism, query
+
+
 def test_player_records_from_two_pages(spark):
     profiles = spark.createDataFrame([(f"https://a.b/ann/profil/spieler/{i}", PROFILE.replace("Centre-Forward", p)) for i, p in ((77, "Centre-Forward"), (78, "Goalkeeper"), (79, ""))], "url string, html string")
     stats = spark.createDataFrame([("77", STATS)], "player_id string, html string")

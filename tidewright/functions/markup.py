@@ -9,6 +9,9 @@ Inner elements are elements, too, and come after the one that holds them, in pag
 element that is never closed lasts to the end of the page; a closing tag too many is passed
 over. Comments, scripts and styles hold no elements. A ``>`` inside a quoted attribute does
 not end a tag. A NULL page has a NULL list.
+
+Who needs several elements of one kind cuts once (``cut``) and picks from that (``picked``). Spark
+works out an expression as often as it is written, so callers open shared values as columns first.
 """
 
 from __future__ import annotations
@@ -18,7 +21,7 @@ from pyspark.sql import functions as F
 
 from tidewright.functions.text import blank_to_null
 
-HIDDEN = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
+HIDDEN = r"(?is)<(?:!--.*?-->|script\b.*?</script\s*>|style\b.*?</style\s*>)"
 TAG = r"""(?s)<(?:[^>"']++|"[^"]*+"|'[^']*+')*+>"""
 
 
@@ -56,39 +59,69 @@ def _spans(pieces: Column, tag: str) -> Column:
     return F.aggregate(pieces, nothing, step, finish)
 
 
-def _each(html: Column, tag: str, having: str | None, shape) -> Column:
-    cut = F.split(F.regexp_replace(html, HIDDEN, ""), rf"(?i)(?=</?{tag}\b)")
+def visible(html: Column) -> Column:
+    """Markup without comments, scripts and styles."""
+    return F.regexp_replace(html, HIDDEN, "")
+
+
+def cut(shown: Column, tag: str) -> Column:
+    """``visible`` markup as its pieces at one kind of tag, with the spans of that kind's elements."""
+    pieces = F.split(shown, rf"(?i)(?=</?{tag}\b)")
+    # The pieces are bound by a lambda, so a page is cut once.
+    return F.transform(F.array(pieces), lambda p: F.struct(p.alias("pieces"), _spans(p, tag).alias("spans")))[0]
+
+
+def _each(at: Column, tag: str, having: str | None, shape, place: int | Column | None = None) -> Column:
+    pieces, spans = at["pieces"], at["spans"]
+    if having:
+        spans = F.filter(spans, lambda s: F.regexp_extract(pieces[s["first"]], _opening(tag), 0).rlike(having))
+    if place is not None:
+        spans = F.slice(spans, place, 1)  # the others are not written out
+    return F.transform(spans, lambda s: shape(pieces, s))
 
-    def per_page(pieces: Column) -> Column:
-        spans = _spans(pieces, tag)
-        if having:
-            spans = F.filter(spans, lambda s: F.regexp_extract(pieces[s["first"]], _opening(tag), 0).rlike(having))
-        return F.transform(spans, lambda s: shape(pieces, s))
 
-    # The pieces are bound by a lambda, so the page is cut once and not once per element.
-    return F.transform(F.array(cut), per_page)[0]
+def _bound(html: Column, tag: str, pick) -> Column:
+    return F.transform(F.array(cut(visible(html), tag)), pick)[0]
 
 
 def _body(pieces: Column, span: Column) -> Column:
     return F.array_join(F.slice(pieces, span["first"] + 1, span["past"] - span["first"]), "")
 
 
+def _inner(tag: str):
+    return lambda pieces, s: F.regexp_replace(_body(pieces, s), _opening(tag), "")
+
+
+def _outer(tag: str):
+    def shape(pieces: Column, s: Column) -> Column:
+        close = F.coalesce(F.regexp_extract(F.get(pieces, s["past"]), rf"(?i)^</{tag}[^>]*>", 0), F.lit(""))
+        return F.concat(_body(pieces, s), close)
+    return shape
+
+
 def elements(html: Column, tag: str, having: str | None = None) -> Column:
     """Array of the inner markup of each ``tag`` element whose opening tag matches ``having``."""
-    return _each(html, tag, having, lambda pieces, s: F.regexp_replace(_body(pieces, s), _opening(tag), ""))
+    return _bound(html, tag, lambda at: _each(at, tag, having, _inner(tag)))
 
 
 def outer_elements(html: Column, tag: str, having: str | None = None) -> Column:
     """As ``elements``, with the opening and the closing tag of each."""
-    def shape(pieces: Column, s: Column) -> Column:
-        close = F.coalesce(F.regexp_extract(F.get(pieces, s["past"]), rf"(?i)^</{tag}[^>]*>", 0), F.lit(""))
-        return F.concat(_body(pieces, s), close)
-    return _each(html, tag, having, shape)
+    return _bound(html, tag, lambda at: _each(at, tag, having, _outer(tag)))
+
+
+def picked(at: Column, tag: str, having: str | None = None, place: int | Column = 1) -> Column:
+    """Inner markup of the ``place``-th such element (from 1) of a ``cut``, NULL when there are fewer."""
+    return F.try_element_at(_each(at, tag, having, _inner(tag), place), F.lit(1))
+
+
+def all_picked(at: Column, tag: str, having: str | None = None) -> Column:
+    """``elements`` of a ``cut``."""
+    return _each(at, tag, having, _inner(tag))
 
 
 def element(html: Column, tag: str, having: str | None = None, place: int | Column = 1) -> Column:
     """Inner markup of the ``place``-th such element (from 1), NULL when there are fewer."""
-    return F.try_element_at(elements(html, tag, having), F.lit(place) if isinstance(place, int) else place)
+    return _bound(html, tag, lambda at: picked(at, tag, having, place))
 
 
 def element_text(html: Column, tag: str, having: str | None = None, place: int | Column = 1) -> Column:
@@ -98,5 +131,7 @@ def element_text(html: Column, tag: str, having: str | None = None, place: int |
 
 def without_first(html: Column, tag: str, having: str | None = None) -> Column:
     """The markup without its first such element."""
-    found = F.try_element_at(outer_elements(html, tag, having), F.lit(1))
-    return F.when(found.isNull(), html).otherwise(F.replace(html, found, F.lit("")))
+    def pick(whole: Column) -> Column:
+        found = _bound(whole, tag, lambda at: F.try_element_at(_each(at, tag, having, _outer(tag), 1), F.lit(1)))
+        return F.coalesce(F.replace(whole, found, F.lit("")), whole)  # nothing found: NULL, and whole as it is
+    return F.transform(F.array(html), pick)[0]

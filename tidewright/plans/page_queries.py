@@ -15,6 +15,14 @@ from tidewright.plans import bindings as B
 from tidewright.plans.registry import query
 from tidewright.sources import pages as P
 
+TASKS_PER_CORE = 4  # fixed value
+
+
+def spread(rows: DataFrame) -> DataFrame:
+    """Rows dealt over all cores before pages are made of them: a file of one row group would go through one task."""
+    return rows.repartition(TASKS_PER_CORE * rows.sparkSession.sparkContext.defaultParallelism)
+
+
 # --- device listings, a page per part: a full tile, an advert, a tile with a price only ------------
 
 TILES = """concat(
@@ -37,7 +45,7 @@ TILE_ROWS = f"""tiles AS (
 
 
 def device_pages(spark, sf) -> DataFrame:
-    return B.devices(B.table(spark, sf, "part")).selectExpr("product_id AS page", f"{TILES} AS html")
+    return B.devices(spread(B.table(spark, sf, "part"))).selectExpr("product_id AS page", f"{TILES} AS html")
 
 
 @query("html_product_tiles", f"WITH {B.DEVICES_SQL}, {TILE_ROWS} SELECT page, CAST(place AS INTEGER) AS product_id, {', '.join(TILE_COLUMNS)} FROM tiles")
@@ -72,7 +80,7 @@ def html_phone_tiles(spark, sf):
       '<span class="percent"><span>-</span>', p_size, '%</span></a><ul><li>inner</li></ul>',
       CASE WHEN p_size % 5 <> 0 THEN concat('<div class="rating_Compare has_compare has_quantity"><div><b>4.', p_size % 5, '</b></div>',
         CASE WHEN p_size % 7 <> 0 THEN concat('<span><span></span>', p_size, 'k</span>') ELSE '' END, '</div>') ELSE '' END, '</li></ul>')"""
-    return P.phone_tiles(B.table(spark, sf, "part").selectExpr("p_partkey AS page", f"{tile} AS html"), keep=["page"])
+    return P.phone_tiles(spread(B.table(spark, sf, "part")).selectExpr("p_partkey AS page", f"{tile} AS html"), keep=["page"])
 
 
 # --- price tables, a page per supplier: head, two rows, one row without numbers for some --------------
@@ -89,7 +97,7 @@ def html_price_rows(spark, sf):
       {amount.format("(s_suppkey + 1000)")}, '</td><td>', {amount.format("(s_suppkey + 1000 + s_nationkey)")}, '</td></tr>',
       '<tr><td><h2>Ring <b>', s_nationkey, '</b></h2></td><td><span class="fixW">', CASE WHEN s_suppkey % 4 = 0 THEN 'n/a' ELSE CAST(s_suppkey AS STRING) END,
       '</span></td><td><span class="fixW">', s_nationkey, '</span></td></tr><tr><td>too</td><td>short</td></tr></table>')"""
-    return P.price_rows(B.table(spark, sf, "supplier").selectExpr("s_suppkey AS page", f"{table} AS html"), keep=["page"])
+    return P.price_rows(spread(B.table(spark, sf, "supplier")).selectExpr("s_suppkey AS page", f"{table} AS html"), keep=["page"])
 
 
 # --- player pages, one per customer --------------------------------------------------------------------
@@ -119,7 +127,7 @@ SELECT CAST(c_custkey AS VARCHAR) AS player_id, c_name || ' Jr' AS name, 'Club '
        CAST(2025 + c_custkey % 5 AS VARCHAR) AS contract_value_time, 'https://site.example/' || lower(c_mktsegment) || '/profil/' || c_custkey AS source
 FROM customer WHERE c_custkey % 11 <> 0""")
 def html_profile_fields(spark, sf):
-    return P.profile_fields(B.table(spark, sf, "customer").selectExpr(f"{PROFILE_URL} AS url", f"{PROFILE_HTML} AS html"))
+    return P.profile_fields(spread(B.table(spark, sf, "customer")).selectExpr(f"{PROFILE_URL} AS url", f"{PROFILE_HTML} AS html"))
 
 
 def stat_page(cells: int = 13) -> str:
@@ -132,7 +140,7 @@ def stat_page(cells: int = 13) -> str:
     f"{chr(39) + '-' + chr(39) if place == 5 else f'CAST(c_custkey % {place + 2} AS VARCHAR)'} AS {name if name != 'PPG' else chr(34) + name + chr(34)}" for name, place in P.STAT_CELLS.items())
     + ", (c_custkey % 300) || '''' AS minutes_per_goal, c_custkey || '''' AS minutes_played FROM customer")
 def html_stat_fields(spark, sf):
-    return P.stat_fields(B.table(spark, sf, "customer").selectExpr("CAST(c_custkey AS STRING) AS player_id", f"{stat_page()} AS html"))
+    return P.stat_fields(spread(B.table(spark, sf, "customer")).selectExpr("CAST(c_custkey AS STRING) AS player_id", f"{stat_page()} AS html"))
 
 
 _STAT = {name: f"CAST({'0' if place == 5 else f'c_custkey % {place + 2}'} AS DOUBLE)" for name, place in P.STAT_CELLS.items()}
@@ -146,7 +154,7 @@ SELECT CAST(c_custkey AS VARCHAR) AS player_id, c_name || ' Jr' AS name, CAST(18
 FROM customer WHERE c_custkey % 11 <> 0 AND c_custkey % 3 <> 0""")
 def html_player_records(spark, sf):
     """Profile and statistics pages to one cleaned record per player."""
-    customer = B.table(spark, sf, "customer")
+    customer = spread(B.table(spark, sf, "customer"))
     profiles = customer.selectExpr(f"{PROFILE_URL} AS url", f"{PROFILE_HTML} AS html")
     stats = customer.selectExpr("CAST(c_custkey AS STRING) AS player_id", f"{stat_page()} AS html")
     return clean.clean_players(P.player_records(profiles, stats)).select(

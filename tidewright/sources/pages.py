@@ -73,18 +73,29 @@ def matches(html: Column, pattern: str, group: int = 1) -> Column:
     return F.regexp_extract_all(html, F.lit(pattern), F.lit(group))
 
 
+def opened(rows: DataFrame, keep: Sequence[str], values: Mapping[str, Column]) -> DataFrame:
+    """Values as columns that are worked out once, however often what follows names them."""
+    return rows.select(*keep, F.inline(F.array(F.struct(*[v.alias(n) for n, v in values.items()]))))
+
+
 def extract_records(pages: DataFrame, records: Column, fields: Mapping[str, Column],
-                    keep: Sequence[str], required: Sequence[str] = ()) -> DataFrame:
+                    keep: Sequence[str], required: Sequence[str] = (), shared: Sequence[Mapping[str, Column]] = (),
+                    texts: Sequence[str] = ()) -> DataFrame:
     """One row per repeated element of a page.
 
     ``records`` is the array of a page's elements, ``fields`` are expressions over the column
     ``element``. ``position`` counts from 1 over all elements of the page; incomplete elements are then dropped,
     so positions keep their gaps. ``inline`` keeps that filter above the
-    extraction, so each pattern runs once per element.
+    extraction, so each pattern runs once per element. ``shared`` are values that several fields read, step by step,
+    each over ``element`` and the steps before. Blank ones among ``texts`` become NULL.
     """
-    exploded = pages.select(*keep, F.posexplode(records).alias("_pos", "element"))
-    shaped = exploded.select(*keep, (F.col("_pos") + 1).alias("position"),
-                             F.inline(F.array(F.struct(*[value.alias(name) for name, value in fields.items()]))))
+    rows = pages.select(*keep, F.posexplode(records).alias("_pos", "element"))
+    rows, kept = rows.select(*keep, (F.col("_pos") + 1).alias("position"), "element"), [*keep, "position", "element"]
+    for values in shared:
+        rows, kept = opened(rows, kept, values), [*kept, *values]
+    shaped = opened(rows, [*keep, "position"], fields)
+    if texts:
+        shaped = shaped.withColumns({n: X.blank_to_null(F.col(n)) for n in texts})
     return shaped.dropna(subset=list(required)) if required else shaped
 
 
@@ -111,71 +122,78 @@ def price_rows(pages: DataFrame, keep: Sequence[str] = ("price_date", "source"),
 
 
 def _attribute(tag: Column, name: str) -> Column:
-    return X.blank_to_null(F.trim(X.first_match(tag, rf'\b{name}="([^"]*)"')))
+    return F.trim(F.regexp_extract(tag, rf'\b{name}="([^"]*)"', 1))
+
 
+def _text(at: str, tag: str, having: str | None = None) -> Column:
+    """Text of the first such element of a ``cut`` column."""
+    return plain_text(H.picked(F.col(at), tag, having))
 
-def _tile_name(element: Column) -> Column:
-    """Heading of a tile without the badge of new models."""
-    return X.blank_to_null(plain_text(H.without_first(H.element(element, "h3"), "span", NEW_MODEL_BADGE)))
+
+def _tile_steps(boxes: Mapping[str, str]) -> list[dict[str, Column]]:
+    """What the fields of a tile read: its visible markup, that cut at one kind of tag, the boxes with a class."""
+    shown = F.col("_shown")
+    return [
+        {"_link": F.regexp_extract("element", TILE_LINK, 1), "_shown": H.visible(F.col("element"))},
+        {"_div": H.cut(shown, "div"), "_head": H.element(shown, "h3")},
+        {name: H.picked(F.col("_div"), "div", having) for name, having in boxes.items()},
+    ]
 
 
 def product_tiles(pages: DataFrame, keep: Sequence[str] = ("source",), html: str = "html",
                   more: Mapping[str, Column] | None = None) -> DataFrame:
     """Tiles of a device listing as raw text fields; ``product_id`` is the tile's place.
 
-    ``more`` adds fields over ``element``.
+    ``more`` adds fields over ``element`` and the columns of ``_tile_steps``.
     """
-    element = F.col("element")
-    tag = X.first_match(element, TILE_LINK)
-    rating_box = H.element(element, "div", RATING_BOX)
-    stars = H.element_text(rating_box, "b")
+    tag = F.col("_link")
+    fields = {
+        "link": tag,
+        "name": plain_text(H.without_first(F.col("_head"), "span", NEW_MODEL_BADGE)),
+        "brand": _attribute(tag, "data-brand"),
+        "category": _attribute(tag, "data-cate"),
+        "color": _attribute(tag, "data-color"),
+        "price": _attribute(tag, "data-price"),
+        "price_old": _attribute(tag, "price-old"),
+        "rating": plain_text(H.element(F.col("_rating"), "b")),
+        "sold": plain_text(H.element(F.col("_rating"), "span")),
+    }
     rows = extract_records(
-        pages, H.elements(F.col(html), "li", PRODUCT_TILE),
-        {
-            "link": tag,
-            "name": _tile_name(element),
-            "brand": _attribute(tag, "data-brand"),
-            "category": _attribute(tag, "data-cate"),
-            "color": _attribute(tag, "data-color"),
-            "price": _attribute(tag, "data-price"),
-            "price_old": _attribute(tag, "price-old"),
-            "rating": F.when(stars != NOT_RATED, stars),
-            "sold": H.element_text(rating_box, "span"),
-            **(more or {}),
-        },
-        keep, required=["link"],
-    )
+        pages, H.elements(F.col(html), "li", PRODUCT_TILE), {**fields, **(more or {})},
+        keep, required=["link"], shared=_tile_steps({"_rating": RATING_BOX}), texts=list(fields),
+    ).withColumn("rating", F.when(F.col("rating") != NOT_RATED, F.col("rating")))
     return rows.withColumnRenamed("position", "product_id").drop("link")
 
 
 def laptop_tiles(pages: DataFrame, keep: Sequence[str] = ("source",), html: str = "html") -> DataFrame:
     """Tiles of a laptop listing: RAM and ROM stand in the comparison box, as its first two spans, or not at all."""
-    box = H.elements(H.element(F.col("element"), "div", COMPARE_BOX), "span")
-    size = lambda i: F.when(F.size(box) >= 2, X.blank_to_null(plain_text(F.try_element_at(box, F.lit(i)))))
-    return product_tiles(pages, keep, html, {"RAM": size(1), "ROM": size(2)})
+    box = H.elements(H.picked(F.col("_div"), "div", COMPARE_BOX), "span")
+    rows = product_tiles(pages, keep, html, {"_box": box})
+    size = lambda i: F.when(F.size("_box") >= 2, X.blank_to_null(F.try_element_at("_texts", F.lit(i))))
+    texts = rows.withColumn("_texts", F.transform("_box", plain_text))
+    return texts.withColumns({"RAM": size(1), "ROM": size(2)}).drop("_box", "_texts")
 
 
 def phone_tiles(pages: DataFrame, keep: Sequence[str] = ("source",), html: str = "html") -> DataFrame:
     """Tiles of a phone listing with screen, price and rating text."""
-    element = F.col("element")
-    screen = H.elements(H.element(element, "div", PHONE_SCREEN), "span")
-    rating_box = H.element(element, "div", RATING_BOX)
-    rows = extract_records(
-        pages, H.elements(F.col(html), "li", PRODUCT_TILE),
-        {
-            "link": X.first_match(element, TILE_LINK),
-            "name": _tile_name(element),
-            "screen_size": plain_text(F.try_element_at(screen, F.lit(1))),
-            "resolution": plain_text(F.try_element_at(screen, F.lit(2))),
-            "new_price": H.element_text(element, "strong", PHONE_PRICE),
-            "old_price": H.element_text(element, "p", PHONE_OLD_PRICE),
-            "percent": H.element_text(element, "span", PHONE_PERCENT),
-            "rating": H.element_text(rating_box, "b"),
-            "sold": F.when(rating_box.isNotNull(), F.coalesce(H.element_text(rating_box, "span"), F.lit("0"))),
-        },
-        keep, required=["link"],
-    )
-    return rows.drop("link")
+    shown = F.col("_shown")
+    screen = F.col("_screen")
+    steps = [*_tile_steps({"_rating": RATING_BOX, "_compare": PHONE_SCREEN}), {"_screen": H.elements(F.col("_compare"), "span")}]
+    fields = {
+        "link": F.col("_link"),
+        "name": plain_text(H.without_first(F.col("_head"), "span", NEW_MODEL_BADGE)),
+        "screen_size": plain_text(F.try_element_at(screen, F.lit(1))),
+        "resolution": plain_text(F.try_element_at(screen, F.lit(2))),
+        "new_price": plain_text(H.element(shown, "strong", PHONE_PRICE)),
+        "old_price": plain_text(H.element(shown, "p", PHONE_OLD_PRICE)),
+        "percent": plain_text(H.element(shown, "span", PHONE_PERCENT)),
+        "rating": plain_text(H.element(F.col("_rating"), "b")),
+        "sold": plain_text(H.element(F.col("_rating"), "span")),
+        "_rated": F.col("_rating").isNotNull(),
+    }
+    texts = [n for n in fields if n not in ("screen_size", "resolution", "_rated")]
+    rows = extract_records(pages, H.elements(F.col(html), "li", PRODUCT_TILE), fields, keep, required=["link"], shared=steps, texts=texts)
+    return rows.withColumn("sold", F.when(F.col("_rated"), F.coalesce("sold", F.lit("0")))).drop("link", "_rated")
 
 
 def distinct_links(pages: DataFrame, html: str = "html") -> DataFrame:
@@ -193,28 +211,37 @@ def leading_links(pages: DataFrame, start: int = 2, length: int = 2, keep: Seque
 
 def profile_fields(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
     """Player profile page to one raw record; a page without an id in its address is dropped."""
+    # Each step reads columns of the steps before, so a page is cleaned once and cut once per kind of tag.
     page = F.col(html)
-    body = F.regexp_replace(page, H.TAG, "")
-    labelled_name = page.rlike(INFO_LABEL_NAME)
-    foot = H.element(page, "span", INFO_BOLD, F.when(labelled_name, F.lit(7)).otherwise(F.lit(6)))
-    ages = F.transform(H.elements(page, "li", PROFILE_LABEL), lambda label: F.regexp_extract(plain_text(label), PROFILE_AGE, 1))
-    raw = {name: H.element_text(page, *found) for name, found in PROFILE.items()}
-    raw["age"] = F.try_element_at(F.filter(ages, lambda age: age != ""), F.lit(1))
-    return pages.select(
-        X.url_id(F.col(url)).alias("player_id"),
-        *[raw[c].alias(c) for c in ("name", "player_club", "age", "position", "market_value", "nationality")],
-        F.trim(X.first_match(body, PROFILE_HEIGHT)).alias("player_height"),
-        F.coalesce(F.trim(X.first_match(body, PROFILE_AGENT)), F.lit("None")).alias("player_agent"),
-        plain_text(foot).alias("strong_foot"),
-        X.last_word(X.first_match(body, PROFILE_CONTRACT)).alias("contract_value_time"),
-        F.col(url).alias("source"),
-    ).filter(F.col("player_id").isNotNull())
+    rows = opened(pages, [F.col(url).alias("_url")], {
+        "player_id": X.url_id(F.col(url)), "_shown": H.visible(page), "_body": F.regexp_replace(page, H.TAG, ""),
+        "_foot_place": F.when(page.rlike(INFO_LABEL_NAME), F.lit(7)).otherwise(F.lit(6))})
+    rows = rows.filter(F.col("player_id").isNotNull())
+    tags = sorted({tag for tag, _ in PROFILE.values()} | {"li", "span"})
+    rows = opened(rows, ["_url", "player_id", "_body", "_foot_place"], {f"_{tag}": H.cut(F.col("_shown"), tag) for tag in tags})
+    ages = F.transform(H.all_picked(F.col("_li"), "li", PROFILE_LABEL), lambda label: F.regexp_extract(plain_text(label), PROFILE_AGE, 1))
+    rows = opened(rows, ["_url", "player_id"], {
+        **{name: _text(f"_{tag}", tag, having) for name, (tag, having) in PROFILE.items()},
+        "age": F.try_element_at(F.filter(ages, lambda age: age != ""), F.lit(1)),
+        "player_height": F.regexp_extract("_body", PROFILE_HEIGHT, 1),
+        "player_agent": F.regexp_extract("_body", PROFILE_AGENT, 1),
+        "strong_foot": plain_text(H.picked(F.col("_span"), "span", INFO_BOLD, F.col("_foot_place"))),
+        "_contract": F.regexp_extract("_body", PROFILE_CONTRACT, 1)})
+    found = lambda name: X.blank_to_null(F.col(name))
+    return rows.select(
+        "player_id", *[found(c).alias(c) if c in PROFILE else F.col(c) for c in ("name", "player_club", "age", "position", "market_value", "nationality")],
+        F.trim(found("player_height")).alias("player_height"),
+        F.coalesce(F.trim(found("player_agent")), F.lit("None")).alias("player_agent"),
+        "strong_foot",
+        X.last_word(found("_contract")).alias("contract_value_time"),
+        F.col("_url").alias("source"),
+    )
 
 
 def stat_fields(pages: DataFrame, keep: Sequence[str] = ("player_id",), html: str = "html") -> DataFrame:
     """Season statistics page: cells picked by position and named."""
-    cells = pages.select(*keep, F.inline(F.array(F.struct(
-        H.elements(F.col(html), "td", STAT_CENTRED).alias("_centred"), H.elements(F.col(html), "td", STAT_RIGHT).alias("_right")))))
+    cut = opened(pages, keep, {"_td": H.cut(H.visible(F.col(html)), "td")})
+    cells = opened(cut, keep, {"_centred": H.all_picked(F.col("_td"), "td", STAT_CENTRED), "_right": H.all_picked(F.col("_td"), "td", STAT_RIGHT)})
     text = lambda array, place: plain_text(F.try_element_at(array, F.lit(place)))
     centred = {name: text("_centred", place + 1) for name, place in STAT_CELLS.items()}
     right = {"minutes_per_goal": text("_right", 2), "minutes_played": text("_right", 3)}
