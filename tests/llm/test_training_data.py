@@ -507,3 +507,18 @@ def test_spans_and_hashes():
     hashes = arrays.span_hashes(data, starts, ends)
     assert hashes[0] == hashes[1] != hashes[2]
     assert text_stats.count_batch(pa.array(["a b", None]))["n_words"].tolist() == [2, 0]
+
+
+def test_shuffles_of_a_kept_table_are_dropped(spark):
+    import time
+
+    from tidewright.llm.common import DROP_SHUFFLES, kept_table
+    files = lambda: set(re.findall(r"shuffle_\d+_\d+_\d+\.data", spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString(" ")))
+    before, setting = files(), spark.conf.get(DROP_SHUFFLES)
+    rows = spark.range(5000).groupBy((F.col("id") % 999).alias("k")).count()
+    kept = kept_table(rows, "counts")
+    until = time.time() + 20
+    while files() - before and time.time() < until:
+        time.sleep(0.2)
+    assert not files() - before and spark.conf.get(DROP_SHUFFLES) == setting
+    assert kept.agg(F.sum("count")).first()[0] == 5000 and rows.count() == 999
