@@ -274,3 +274,74 @@ def test_queries_fit_with_the_full_settings(spark, monkeypatch):
         with pytest.raises(InterruptedError):
             QUERIES[name](spark, "unused")
     assert asked == [("device_boosted", {}), ("player_forest", {}), ("device_forest", {})]
+
+
+# --- forests that do not fit the driver -----------------------------------------------------
+
+
+def grown_rows(spark, n=600):
+    rng = random.Random(11)
+    rows = [(i, rng.uniform(0, 10), float(rng.randrange(5)), rng.uniform(-1, 1)) for i in range(n)]
+    return spark.createDataFrame([(i, a, b, c, 10 * a + 7 * (b == 2) + c) for i, a, b, c in rows], "k int, a double, b double, c double, label double")
+
+
+def test_branch_equals_a_whole_tree():
+    """Every row alone in its leaf, equal rows in one leaf with their mean."""
+    import numpy as np
+    from tidewright.operators import grown as G
+    rng = np.random.default_rng(4)
+    bins = rng.permutation(200).astype(np.uint8)[:, None]
+    bins = np.concatenate([bins, rng.integers(0, 3, (200, 1), dtype=np.uint8)], axis=1)
+    y, w = rng.normal(size=200) * 100, rng.integers(1, 4, 200).astype(float)
+    feature, cut, left, value = G.grow(bins, y, w, 1, 60, 1, 0, 2)
+    got = value[G.walk(feature, cut, left, bins)]
+    assert np.allclose(got, y)
+    feature, cut, left, value = G.grow(bins[:, 1:], y, w, 1, 20, 1, 0, 1)
+    got = value[G.walk(feature, cut, left, bins[:, 1:])]
+    for b in range(3):
+        own = bins[:, 1] == b
+        assert np.allclose(got[own], np.average(y[own], weights=w[own]))
+    # The first cut is the best of all.
+    feature, cut, left, value = G.grow(bins, y, w, 1, 1, 1, 0, 2)
+    def loss(f, c):
+        sides = [bins[:, f] <= c, bins[:, f] > c]
+        return sum(np.sum(w[s] * (y[s] - np.average(y[s], weights=w[s])) ** 2) for s in sides)
+    every = {(f, c): loss(f, c) for f in range(2) for c in sorted(set(bins[:, f]))[:-1]}
+    assert math.isclose(every[int(feature[0]), int(cut[0])], min(every.values()))
+
+
+def test_forest_beyond_the_driver(spark, scratch, monkeypatch):
+    """Above the limit a forest is grown in tasks, saved, loaded and scores as well as that of spark.ml."""
+    from tidewright.operators import grown as G
+    rows = grown_rows(spark)
+    train, test = rows.filter("k % 4 > 0"), rows.filter("k % 4 = 0")
+
+    def fitted():
+        return M.fit(M.scaled_pipeline(M.forest("forest_player", numTrees=20, maxDepth=8, seed=3), ["a", "b", "c"]), train)
+
+    def error(model):
+        return regression_metrics(model.transform(test)).first().rmse
+    usual = fitted()
+    assert not isinstance(usual.stages[-1], G.GrownForest)
+    monkeypatch.setattr(G, "WHOLE_LEAVES", 100)
+    errors = [error(usual)]
+    for most in (G.LOCAL_ROWS, 60):  # whole trees in a task; cut level by level first
+        monkeypatch.setattr(G, "LOCAL_ROWS", most)
+        model = fitted()
+        assert isinstance(model.stages[-1], G.GrownForest) and model.stages[-1].getNumTrees == 20
+        errors.append(error(model))
+    assert max(len(t.roots()) for t in model.stages[-1].tops) > 4
+    assert max(errors) < 1.25 * min(errors)
+    M.save(model, f"{scratch}/model")
+    scores = [{(r.k, r.prediction) for r in m.transform(rows.union(rows)).select("k", "prediction").collect()} for m in (model, M.load(f"{scratch}/model"))]
+    assert scores[0] == scores[1] and len(scores[0]) == 600
+    again = {(r.k, round(r.prediction, 9)) for r in fitted().transform(rows).select("k", "prediction").collect()}
+    assert again == {(k, round(p, 9)) for k, p in scores[0]}
+
+
+def test_search_over_forests_beyond_the_driver(spark, monkeypatch):
+    from tidewright.operators import grown as G
+    monkeypatch.setattr(G, "WHOLE_LEAVES", 100)
+    regressor = M.forest("forest_player", numTrees=4)
+    search = M.cross_validate(M.scaled_pipeline(regressor, ["a", "b", "c"]), {regressor.maxDepth: [1, 6]}, grown_rows(spark))
+    assert isinstance(search.bestModel.stages[-1], G.GrownForest) and search.avgMetrics[1] < search.avgMetrics[0]
