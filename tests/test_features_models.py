@@ -345,3 +345,22 @@ def test_search_over_forests_beyond_the_driver(spark, monkeypatch):
     regressor = M.forest("forest_player", numTrees=4)
     search = M.cross_validate(M.scaled_pipeline(regressor, ["a", "b", "c"]), {regressor.maxDepth: [1, 6]}, grown_rows(spark))
     assert isinstance(search.bestModel.stages[-1], G.GrownForest) and search.avgMetrics[1] < search.avgMetrics[0]
+
+
+def test_stream_scored_by_a_forest_beyond_the_driver(spark, line_rows, scratch, monkeypatch):
+    from tidewright.operators import grown as G
+    from tidewright.operators.decode import encode_json
+    from tidewright.sources.topics import FolderTopic
+    from tidewright.streaming import pipelines as P
+    from tidewright.streaming.serving import ServingTable
+    monkeypatch.setattr(G, "WHOLE_LEAVES", 100)
+    model = M.fit(M.player_pipeline(M.forest(numTrees=3, maxDepth=6, labelCol="market_value")), M.training_players(line_rows))
+    requests = B.as_requests(B.customer_players(B.table(spark, SF, "customer")))
+    want = M.score_players(requests.withColumn("kafka_ingest_timestamp", F.current_timestamp()), model)
+    topic = FolderTopic(f"{scratch}/topic")
+    monkeypatch.setattr(P.jobs, "new_messages", lambda spark, topic, checkpoint: topic.read_stream(spark))
+    topic.publish(encode_json(requests, F.col("player_id")))
+    P.run_scoring(spark, model, topic, f"{scratch}/served", f"{scratch}/cp", every=None)
+    served = ServingTable(f"{scratch}/served", C.PLAYER_SCORED.key, C.PLAYER_SCORED.order).read(spark)
+    got = {r.player_id: round(r.predicted_market_value, 6) for r in served.collect()}
+    assert got == {r.player_id: round(r.predicted_market_value, 6) for r in want.collect()} and len(got) > 50

@@ -90,14 +90,15 @@ def run_scoring(spark: SparkSession, model: PipelineModel, topic: Topic, path: s
     """New requests scored and served by player; the model is loaded once, before the stream."""
     requests = decode_json(jobs.new_messages(spark, topic, checkpoint), C.PLAYER_TO_SCORE, {"timestamp": "kafka_ingest_timestamp"})
     served = ServingTable(path, C.PLAYER_SCORED.key, C.PLAYER_SCORED.order)
-    return served.follow(score_players(requests, model), checkpoint, every)
+    return served.follow(requests, checkpoint, every, prepare=lambda batch: score_players(batch, model))
 
 
 def run_scoring_to_topic(spark: SparkSession, model: PipelineModel, topic: Topic, target: Topic, checkpoint: str,
                          every: str | None = jobs.SCORE_EVERY) -> StreamingQuery:
     """As ``run_scoring``, but the scored rows go on as messages."""
     requests = decode_json(jobs.new_messages(spark, topic, checkpoint), C.PLAYER_TO_SCORE, {"timestamp": "kafka_ingest_timestamp"})
-    return jobs.publish(encode_json(score_players(requests, model), F.col("player_id")), target, checkpoint, every)
+    return jobs.publish(requests, target, checkpoint, every,
+                        prepare=lambda batch: encode_json(score_players(batch, model), F.col("player_id")))
 
 
 def messages_once(messages: DataFrame, within: str) -> DataFrame:
