@@ -364,3 +364,22 @@ def test_stream_scored_by_a_forest_beyond_the_driver(spark, line_rows, scratch,
     served = ServingTable(f"{scratch}/served", C.PLAYER_SCORED.key, C.PLAYER_SCORED.order).read(spark)
     got = {r.player_id: round(r.predicted_market_value, 6) for r in served.collect()}
     assert got == {r.player_id: round(r.predicted_market_value, 6) for r in want.collect()} and len(got) > 50
+
+
+def test_boosting_beyond_the_driver(spark, monkeypatch):
+    """Boosting draws nothing, so above the limit it gives the scores of spark.ml, however nodes are spread."""
+    from tidewright.operators import grown as G
+    rows = spark.createDataFrame([(i, float(i * 7 % 23), float(i % 5), (i * 7 % 23) ** 2 + 30.0 * (i % 5 == 2)) for i in range(300)],
+                                 "k int, a double, b double, label double")
+
+    def scores():
+        model = M.fit(M.scaled_pipeline(M.boosted("boosted_device", maxIter=12, maxDepth=3), ["a", "b"]), rows)
+        return model.stages[-1], {r.k: r.prediction for r in model.transform(rows).select("k", "prediction").collect()}
+    usual, want = scores()
+    assert not isinstance(usual, G.GrownForest)
+    monkeypatch.setattr(G, "WHOLE_LEAVES", 10)
+    for most in (G.LOCAL_ROWS, 100):
+        monkeypatch.setattr(G, "LOCAL_ROWS", most)
+        model, got = scores()
+        assert isinstance(model, G.GrownForest) and len(got) == 300
+        assert all(math.isclose(got[k], want[k], rel_tol=1e-6) for k in want)
