@@ -383,3 +383,11 @@ def test_boosting_beyond_the_driver(spark, monkeypatch):
         model, got = scores()
         assert isinstance(model, G.GrownForest) and len(got) == 300
         assert all(math.isclose(got[k], want[k], rel_tol=1e-6) for k in want)
+
+
+def test_player_forest_of_thousands_of_rows_leaves_the_driver(spark):
+    """A hundred trees of depth 20 on 2,500 rows: kept whole, ten thousand such rows no longer fit a driver of 1 GB."""
+    from tidewright.operators import grown as G
+    rows = spark.range(2500).selectExpr("id % 50 + 0D AS a", "id * 7 % 1009 + 0D AS b", "id * 31 % 2503 + 0D AS label")
+    model = M.fit(M.scaled_pipeline(M.forest("forest_player", seed=3), ["a", "b"]), rows).stages[-1]
+    assert isinstance(model, G.GrownForest) and model.getNumTrees == 100
