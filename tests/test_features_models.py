@@ -391,3 +391,31 @@ def test_player_forest_of_thousands_of_rows_leaves_the_driver(spark):
     rows = spark.range(2500).selectExpr("id % 50 + 0D AS a", "id * 7 % 1009 + 0D AS b", "id * 31 % 2503 + 0D AS label")
     model = M.fit(M.scaled_pipeline(M.forest("forest_player", seed=3), ["a", "b"]), rows).stages[-1]
     assert isinstance(model, G.GrownForest) and model.getNumTrees == 100
+
+
+def test_perceptron_counts_equal_rows(spark, monkeypatch):
+    """Above the limit equal rows are counted and the steps are those of spark.ml; no row is left out."""
+    from tidewright.operators import perceptron as P
+    # One part of 50 whole blocks, over which spark.ml takes the same mean.
+    raw = spark.range(6400).coalesce(1).selectExpr("id", "id % 31 / 15D - 1 AS a", "id % 5 / 2D - 1 AS b",
+                                                   "cast((id % 31) div 8 + CASE WHEN id % 5 = 2 AND id % 3 > 0 THEN 1 ELSE 0 END AS double) AS label")
+    rows = VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(raw).persist()
+
+    def fitted(steps):
+        return P.Perceptron(layers=[2, 6, 5], maxIter=steps, blockSize=128, seed=3).fit(rows)
+
+    def tried(model):
+        return {r.id: r.prediction for r in model.transform(rows).select("id", "prediction").collect()}
+    usual, later = fitted(8), tried(fitted(60))
+    called = []
+    monkeypatch.setattr(P, "PLAIN_ROWS", 100)
+    monkeypatch.setattr(P, "TASK_ROWS", 50)
+    monkeypatch.setattr(P, "least", lambda *a, f=P.least: called.append(a) or f(*a))
+    assert usual.weights.toArray() == pytest.approx(fitted(8).weights.toArray(), rel=1e-5) and called
+    found = tried(fitted(60))
+    assert sum(found[k] == v for k, v in later.items()) > 0.9 * 6400
+    monkeypatch.setattr(P, "PLAIN_ROWS", 6400)
+    called.clear()
+    fitted(2)
+    assert not called
+    rows.unpersist()
