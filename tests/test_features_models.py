@@ -310,6 +310,40 @@ def test_branch_equals_a_whole_tree():
     assert math.isclose(every[int(feature[0]), int(cut[0])], min(every.values()))
 
 
+def test_summed_bins_give_the_cuts_of_sorted_rows():
+    """Either way to find the best cuts of a level, nodes without a cut left out or of no gain."""
+    import numpy as np
+    from tidewright.operators import grown as G
+    rng = np.random.default_rng(5)
+    own, value = rng.integers(0, 9, 3000), rng.integers(0, 32, (3000, 3))
+    own[own == 4] = 3
+    value[own == 6] = 7
+    w, y = rng.integers(1, 4, 3000).astype(float), rng.normal(size=3000) + value[:, 1]
+    total = np.bincount(own, w, 9)
+    y -= (np.bincount(own, w * y, 9) / np.maximum(total, 1))[own]
+    found = [{n: (a, b, g) for n, a, b, g in zip(*find(own, value, w, w * y, total, 32), strict=True) if g > 0} for find in (G._counted, G._sorted)]
+    assert [*found[0]] == [*found[1]] == [0, 1, 2, 3, 5, 7, 8]
+    for n, (a, b, g) in found[0].items():
+        assert found[1][n][:2] == (a, b) and math.isclose(found[1][n][2], g, rel_tol=1e-6)
+
+
+def test_device_rows_are_cleaned_once(spark, scratch):
+    """What fits read is a table of cleaned rows, cleaned on all cores; the rows are those of the plain steps."""
+    from tidewright.operators.clean import clean_products, typed_devices
+    from tidewright.plans import model_queries as Q
+    part = spark.range(40).coalesce(1).selectExpr(
+        "IF(id % 9 = 0, null, id div 2) AS p_partkey", "IF(id % 7 = 0, null, concat('red ', id, ' box')) AS p_name", "concat('Brand#', id % 3) AS p_brand",
+        "IF(id % 5 = 0, null, 'TIN') AS p_type", "CAST(IF(id % 11 = 0, null, id % 50) AS INT) AS p_size", "IF(id % 13 = 0, null, id * 1.5D) AS p_retailprice")
+    part.write.parquet(f"{scratch}/part.parquet")
+    got = Q.source(spark, scratch, "device_forest")
+    want = typed_devices(clean_products(B.devices(B.table(spark, scratch, "part"))))
+    assert got.columns == want.columns and sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    assert all("/cleaned-" in f for f in got.inputFiles()) and len(got.inputFiles()) > 1
+    spark.range(9).coalesce(1).selectExpr("id AS c_custkey", "'a' AS c_name", "1 AS c_nationkey", "id * 2D AS c_acctbal", "'b' AS c_mktsegment").write.parquet(
+        f"{scratch}/customer.parquet")
+    assert Q.source(spark, scratch, "player_forest").rdd.getNumPartitions() > 1
+
+
 def test_forest_beyond_the_driver(spark, scratch, monkeypatch):
     """Above the limit a forest is grown in tasks, saved, loaded and scores as well as that of spark.ml."""
     from tidewright.operators import grown as G
