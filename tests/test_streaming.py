@@ -88,6 +88,40 @@ def test_relay_leaves_out_what_was_sent_again(spark, scratch):
     assert stamps(ServingTable(f"{scratch}/served", ["crawl_timestamp"], ["crawl_timestamp"]).read(spark)) == list(range(5))
 
 
+def test_large_topic_files_are_read_by_many_tasks(spark, scratch, monkeypatch):
+    """Both ways to publish cut a file into row groups."""
+    import glob
+
+    import pyarrow.parquet as pq
+    from tidewright.sources import topics
+    monkeypatch.setattr(topics, "ROW_GROUP", 50_000)
+    # The writer looks at its size after some hundred rows.
+    rows = spark.range(4000).coalesce(1).selectExpr("CAST(id AS STRING) AS key", "repeat(sha2(CAST(id AS STRING), 512), 2) AS value")
+    FolderTopic(f"{scratch}/topic/plain").publish(rows)
+    jobs.publish(FolderTopic(f"{scratch}/topic/plain").read_stream(spark), FolderTopic(f"{scratch}/topic/streamed"), f"{scratch}/cp")
+    for kind in ("plain", "streamed"):
+        files = glob.glob(f"{scratch}/topic/{kind}/**/*.parquet", recursive=True)
+        assert sum(pq.ParquetFile(f).num_row_groups for f in files) > 2 * len(files)
+    assert spark.read.option("recursiveFileLookup", "true").parquet(f"{scratch}/topic").groupBy("key").count().filter("count = 2").count() == 4000
+
+
+def test_state_parts_follow_the_cores(spark, scratch):
+    """Not the shuffle's number, which every micro-batch would open and commit."""
+    import os
+    topic, usual = FolderTopic(f"{scratch}/topic"), spark.conf.get("spark.sql.shuffle.partitions")
+    for _ in range(2):
+        publish(spark, topic, range(5))
+    try:
+        for parts, want in (("70", 32), ("3", 3)):
+            spark.conf.set("spark.sql.shuffle.partitions", parts)
+            contract = C.Contract("ticks", C.TICK.schema, key=("crawl_timestamp",), order=("crawl_timestamp",))
+            pipelines.run_relay(spark, topic, f"{scratch}/served{parts}", f"{scratch}/cp{parts}", contract, every=None, starting="earliest")
+            assert len(os.listdir(f"{scratch}/cp{parts}/state/0")) in (want, want + 1)  # beside the schema there
+            assert spark.conf.get("spark.sql.shuffle.partitions") == parts
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", usual)
+
+
 def test_latest_rows_keep_state_per_window(spark, scratch):
     topic = FolderTopic(f"{scratch}/topic")
     hour = 3_600_000

@@ -112,7 +112,8 @@ def run_relay(spark: SparkSession, topic: Topic, path: str, checkpoint: str, con
     """Rows of one contract from a topic into serving; a message sent again ``within`` that time is left out."""
     messages = jobs.new_messages(spark, topic, checkpoint) if starting == "latest" else topic.read_stream(spark, starting)
     served = ServingTable(path, contract.key, contract.order)
-    return served.follow(decode_json(messages_once(messages, within), contract), checkpoint, every)
+    with jobs.state_on_cores(spark):
+        return served.follow(decode_json(messages_once(messages, within), contract), checkpoint, every)
 
 
 def publish_csv(spark: SparkSession, csv: str, contract: C.Contract, topic: Topic, key: str,
