@@ -419,6 +419,62 @@ def test_boosting_beyond_the_driver(spark, monkeypatch):
         assert all(math.isclose(got[k], want[k], rel_tol=1e-6) for k in want)
 
 
+def test_rounds_in_a_task_equal_rounds_of_jobs(spark, scratch, monkeypatch):
+    """One task boosts all rounds, no job between two of them; more values than it may hold are boosted round by round, to the same scores."""
+    from tidewright.operators import grown as G
+    rows = spark.range(400).selectExpr("id AS k", "id * 7 % 23 + 0D AS a", "id % 5 + 0D AS b", "id * 31 % 401 + 0D AS label")
+    monkeypatch.setattr(G, "WHOLE_LEAVES", 10)
+    monkeypatch.setattr(G, "LOCAL_ROWS", 100)
+    calls, jobs_of_a_round = [], G.grown
+    monkeypatch.setattr(G, "grown", lambda *a: calls.append(1) or jobs_of_a_round(*a))
+
+    def scores():
+        model = M.fit(M.scaled_pipeline(M.boosted("boosted_device", maxIter=11, maxDepth=6), ["a", "b"]), rows)
+        return model, {r.k: r.prediction for r in model.transform(rows).select("k", "prediction").collect()}
+    model, got = scores()
+    assert not calls and model.stages[-1].getNumTrees == 11 and len(got) == 400
+    monkeypatch.setattr(G, "TASK_VALUES", 100)
+    want = scores()[1]
+    assert len(calls) == 11 and all(math.isclose(got[k], want[k], rel_tol=1e-6, abs_tol=1e-6) for k in want)
+    M.save(model, f"{scratch}/model")
+    again = {r.k: r.prediction for r in M.load(f"{scratch}/model").transform(rows).select("k", "prediction").collect()}
+    assert again == got
+
+
+@pytest.mark.parametrize("features", [3, 11])
+def test_rounds_in_a_task_cut_as_a_branch(features, monkeypatch):
+    """Nodes cut one by one, level by level from sums or from sorted rows: the trees of the plain branch, and every row kept."""
+    import numpy as np
+    from tidewright.operators import boosting as K, grown as G
+    rng = np.random.default_rng(7)
+    bins = rng.integers(0, 20, (3000, features), dtype=np.uint8)
+    bins[:40] = bins[40:80]
+    label = np.where(bins[:, 0] == 3, 500.0, 0.0) + bins[:, 1] ** 2 + rng.normal(size=3000)
+    for branch_rows, sums in ((40_000, 4), (200, 4), (200, 0), (1, 4)):
+        monkeypatch.setattr(K, "BRANCH_ROWS", branch_rows)
+        monkeypatch.setattr(K, "SUMS_PER_VALUE", sums)
+        left, total = label, np.zeros(3000)
+        for number, nodes in enumerate(K.boosted(bins, label, 4, 9, 0.1)):
+            plain = G.grow(bins, left, np.ones(3000), 1, 9, None, 0, features)
+            found, want = nodes[3][G.walk(*nodes[:3], bins)], plain[3][G.walk(*plain[:3], bins)]
+            assert len(nodes[0]) == len(plain[0]) and np.allclose(found, want, rtol=1e-6, atol=1e-6)
+            total += found if number == 0 else 0.1 * found
+            left = 2 * (label - total)
+    rows = K.tree(K._words(bins), label, 9, K._starts(bins))[1]
+    kept = np.concatenate([K._bins(w)[:, :features] for w, _, _ in rows])
+    assert sorted(map(bytes, kept)) == sorted(map(bytes, bins)) and math.isclose(sum(y.sum() for _, y, _ in rows), label.sum())
+
+
+def test_bounds_of_few_and_many_values(spark):
+    """Halfway between neighbours where a feature has as many values as bins or fewer, else quantiles; whatever the parts."""
+    from tidewright.operators import grown as G
+    rows = spark.range(1000).selectExpr("array(id % 4 + 0D, IF(id % 2 = 0, 0D, -0D), CAST(id AS DOUBLE), 5D) AS features")
+    want = [[0.5, 1.5, 2.5], [], [124.5, 249.5, 374.5, 499.5, 624.5, 749.5, 874.5], []]
+    for parts in (1, 7, 60):
+        got = G.bounds(rows.repartition(parts), 8)
+        assert got[:2] == want[:2] and got[3] == [] and all(abs(a - b) <= 1 for a, b in zip(got[2], want[2], strict=True))
+
+
 def test_player_forest_of_thousands_of_rows_leaves_the_driver(spark):
     """A hundred trees of depth 20 on 2,500 rows: kept whole, ten thousand such rows no longer fit a driver of 1 GB."""
     from tidewright.operators import grown as G
