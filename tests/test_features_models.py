@@ -433,6 +433,14 @@ def test_rounds_in_a_task_equal_rounds_of_jobs(spark, scratch, monkeypatch):
         return model, {r.k: r.prediction for r in model.transform(rows).select("k", "prediction").collect()}
     model, got = scores()
     assert not calls and model.stages[-1].getNumTrees == 11 and len(got) == 400
+    # Whole trees are summed in bundles; branch by branch gives the same scores, and no row is none.
+    trees, keys = model.stages[-1], spark.createDataFrame([(bytearray([i % 9, i % 5]),) for i in range(45)], "_bins binary")
+    bundled = {bytes(r["_bins"]): r.prediction for r in trees._scored(keys).collect()}
+    with monkeypatch.context() as m:
+        m.setattr(G, "all", lambda some: False, raising=False)
+        single = {bytes(r["_bins"]): r.prediction for r in trees._scored(keys).collect()}
+    assert len(bundled) == 45 and all(math.isclose(bundled[k], single[k], rel_tol=1e-9, abs_tol=1e-9) for k in single) and len(single) == 45
+    assert trees._scored(keys.limit(0)).count() == 0
     monkeypatch.setattr(G, "TASK_VALUES", 100)
     want = scores()[1]
     assert len(calls) == 11 and all(math.isclose(got[k], want[k], rel_tol=1e-6, abs_tol=1e-6) for k in want)
