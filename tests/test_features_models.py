@@ -468,6 +468,13 @@ def test_rounds_in_a_task_cut_as_a_branch(features, monkeypatch):
             assert len(nodes[0]) == len(plain[0]) and np.allclose(found, want, rtol=1e-6, atol=1e-6)
             total += found if number == 0 else 0.1 * found
             left = 2 * (label - total)
+    # As branches: bit for bit the trees and labels of rounds whose trees are one branch each.
+    left = label
+    for number, nodes in enumerate(G.rounds_of_branches(bins, label, 3, 9, 0.1)):
+        plain = G.grow(bins, left, np.ones(3000), 1, 9, None, 0, features)
+        assert all((a == b).all() for a, b in zip(nodes, plain, strict=True))
+        found = plain[3][G.walk(*plain[:3], bins)]
+        left = 2 * (left - found) if number == 0 else left - 2 * 0.1 * found
     rows = K.tree(K._words(bins), label, 9, K._starts(bins))[1]
     kept = np.concatenate([K._bins(w)[:, :features] for w, _, _ in rows])
     assert sorted(map(bytes, kept)) == sorted(map(bytes, bins)) and math.isclose(sum(y.sum() for _, y, _ in rows), label.sum())
